@@ -85,9 +85,9 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     out = []
     for f in df.schema.fields:
         if f.dataType.typeName() in ("double", "float"):
-            out.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
+            out.append(F.round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
         else:
-            out.append(F.col(f.name))
+            out.append(F.col(f"`{f.name}`"))
     return df.select(*out)
 
 

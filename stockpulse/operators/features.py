@@ -113,12 +113,28 @@ def rolling_features(df: DataFrame, mean_windows: Sequence[int] = FeatureConfig(
     for n in mean_windows:
         fr = w.rowsBetween(-n, -1)
         cols.append(F.coalesce(_guard(F.avg(y).over(fr), fr), F.lit(0.0)).alias(f"rolling_mean_{n}"))
+    integral = dict(df.dtypes).get(target) in ("int", "bigint", "smallint", "tinyint")
     for n in std_windows:
         fr = w.rowsBetween(-n, -1)
-        cols.append(F.coalesce(_guard(F.stddev_samp(y).over(fr), fr), F.lit(0.0)).alias(f"rolling_std_{n}"))
+        std = exact_std(F.col(target), fr) if integral else F.stddev_samp(y).over(fr)
+        cols.append(F.coalesce(_guard(std, fr), F.lit(0.0)).alias(f"rolling_std_{n}"))
     return df.select("*", *cols)
 
 
+def exact_std(x: Column, frame) -> Column:
+    """Sample std of an integer column over a window frame from exact
+    integer moments: var = (n*sum(x^2) - sum(x)^2) / (n(n-1)).  The
+    numerator is an exact integer, so the result is the correctly rounded
+    value (no streaming-update drift; identical across engines).  NULL for
+    fewer than two rows, like ``stddev_samp``."""
+    xl = x.cast("long")
+    n = F.count(xl).over(frame)
+    s1 = F.sum(xl).over(frame)
+    s2 = F.sum(xl * xl).over(frame)
+    num = (n * s2 - s1 * s1).cast("double")
+    return F.when(n >= 2, F.sqrt(num / (n * (n - 1)).cast("double")))
+
+
 # ----------------------------------------------------------------- D15
 def split_label(df: DataFrame, train_end: int = PanelConfig().train_end,
                 val_end: int = PanelConfig().val_end, day: str = "day_index") -> DataFrame:

@@ -110,7 +110,9 @@ def scenario_frame(df: DataFrame, pct: float = 0.75, mode: str = "exact") -> Dat
     tags = F.array(F.when(ev == 1, F.lit("Holiday_Event")),
                    F.when(v >= cut, F.lit("High_Volatility")),
                    F.when((ev == 0) & (v < cut), F.lit("Normal_Demand")))
-    return df.withColumn("scenario", F.explode(F.filter(tags, lambda t: t.isNotNull())))
+    # explode then drop the NULL tags (a scalar subquery may not sit inside
+    # a higher-order function such as filter())
+    return df.withColumn("scenario", F.explode(tags)).where(F.col("scenario").isNotNull())
 
 
 def scenario_kpis(df: DataFrame, pct: float = 0.75, mode: str = "exact") -> DataFrame:

@@ -29,6 +29,21 @@ def minmax(df: DataFrame, c: str, out: str) -> DataFrame:
     return df.withColumn(out, norm)
 
 
+def minmax_many(df: DataFrame, cols: dict) -> DataFrame:
+    """K1 for several columns: every min/max comes from ONE aggregate over
+    the same input (merged scalar subqueries), so the normalisations do not
+    nest."""
+    aggs = []
+    for c in cols:
+        aggs += [F.min(c).alias(f"{c}__mn"), F.max(c).alias(f"{c}__mx")]
+    mm = df.agg(*aggs)
+    out = []
+    for c, o in cols.items():
+        mn, mx = mm.select(f"{c}__mn").scalar(), mm.select(f"{c}__mx").scalar()
+        out.append(F.when(isclose(mn, mx), F.lit(0.0)).otherwise((F.col(c) - mn) / (mx - mn)).alias(o))
+    return df.select("*", *out)
+
+
 def category_penalty(segments: DataFrame, method: str = "Conformal") -> DataFrame:
     """B7 input: category -> coverage error of the chosen method."""
     return (segments.where((F.col("Segment_Type") == "cat_id") & (F.col("Method") == method))
@@ -51,9 +66,8 @@ def risk_scores(test: DataFrame, segments: DataFrame, cfg: DecisionConfig = Deci
             .withColumn("raw_volatility", F.col("rolling_std_28"))
             .withColumn("raw_calib_penalty", F.coalesce(F.col("cat_coverage_error"), F.lit(0.0)))
             .drop("cat_coverage_error"))
-    for raw, comp in (("raw_width", "comp_width"), ("raw_error", "comp_error"),
-                      ("raw_volatility", "comp_volat"), ("raw_calib_penalty", "comp_calib")):
-        df = minmax(df, raw, comp)
+    df = minmax_many(df, {"raw_width": "comp_width", "raw_error": "comp_error",
+                          "raw_volatility": "comp_volat", "raw_calib_penalty": "comp_calib"})
     score = (F.lit(w["interval_width"]) * F.col("comp_width") + F.lit(w["forecast_error"]) * F.col("comp_error")
              + F.lit(w["historical_volatility"]) * F.col("comp_volat")
              + F.lit(w["calibration_penalty"]) * F.col("comp_calib")) * 100.0

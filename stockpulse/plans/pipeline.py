@@ -51,6 +51,15 @@ class Pipeline:
             _MATERIALIZED[key] = self._write_stage(f, "features", partition_by=("split",))
         return _MATERIALIZED[key]
 
+    def _stage(self, name: str, df: DataFrame) -> DataFrame:
+        """Stage boundary: written (and read back) when materializing."""
+        if not self.materialize:
+            return df
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, repr(self.cfg), name)
+        if key not in _MATERIALIZED:
+            _MATERIALIZED[key] = self._write_stage(df, name)
+        return _MATERIALIZED[key]
+
     def _write_stage(self, df: DataFrame, name: str, partition_by=()) -> DataFrame:
         """Write a stage output as Parquet under the session's checkpoint
         folder (shared storage on a cluster) and read it back: lineage is
@@ -95,11 +104,12 @@ class Pipeline:
 
     @cached_property
     def conformal_test(self) -> DataFrame:
-        return H.conformal_intervals(self.test, self.thresholds)
+        return self._stage("conformal_intervals", H.conformal_intervals(self.test, self.thresholds))
 
     @cached_property
     def quantile_test(self) -> DataFrame:
-        return FC.baseline_quantile_frame(self.test, alpha=self.cfg.uncertainty.alpha)
+        return self._stage("quantile_intervals",
+                           FC.baseline_quantile_frame(self.test, alpha=self.cfg.uncertainty.alpha))
 
     @cached_property
     def intervals_long(self) -> DataFrame:
@@ -120,23 +130,24 @@ class Pipeline:
     @cached_property
     def curve(self) -> DataFrame:
         u = self.cfg.uncertainty
-        return J.calibration_curve(self.test, self.cal, u.confidence_levels, self.quantile_test,
-                                   u.qr_native_level, self.n_cal, u.quantile_mode)
+        return self._stage("calibration_curve", J.calibration_curve(
+            self.test, self.cal, u.confidence_levels, self.quantile_test, u.qr_native_level, self.n_cal,
+            u.quantile_mode))
 
     @cached_property
     def long90(self) -> DataFrame:
         u = self.cfg.uncertainty
-        return J.methods_at_level(self.test, self.cal, self.quantile_test, u.qr_native_level,
-                                  n_cal=self.n_cal, mode=u.quantile_mode)
+        return self._stage("methods_at_level", J.methods_at_level(
+            self.test, self.cal, self.quantile_test, u.qr_native_level, n_cal=self.n_cal, mode=u.quantile_mode))
 
     @cached_property
     def segments(self) -> DataFrame:
-        return J.segment_calibration(self.long90, self.cfg.uncertainty.qr_native_level)
+        return self._stage("segments", J.segment_calibration(self.long90, self.cfg.uncertainty.qr_native_level))
 
     # -------------------------------------------------------- stage 6
     @cached_property
     def scored(self) -> DataFrame:
-        return K.risk_scores(self.conformal_test, self.segments, self.cfg.decision)
+        return self._stage("scored", K.risk_scores(self.conformal_test, self.segments, self.cfg.decision))
 
     @cached_property
     def leveled(self) -> DataFrame:
@@ -144,7 +155,7 @@ class Pipeline:
 
     @cached_property
     def recs(self) -> DataFrame:
-        return K.recommendations(self.leveled, self.cfg.decision)
+        return self._stage("triage", K.recommendations(self.leveled, self.cfg.decision))
 
     @cached_property
     def risk(self) -> DataFrame:

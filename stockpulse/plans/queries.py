@@ -30,7 +30,9 @@ from stockpulse.sources import testdata as TD
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REG: dict[str, Query] = {}
-MATERIALIZE = False   # bench / serving set this to reuse the checkpointed feature table
+# The feature table is the shared stage boundary: written once per session
+# and sf_dir under spark.checkpoint.dir and read back by every query.
+MATERIALIZE = True
 
 
 def query(name: str):

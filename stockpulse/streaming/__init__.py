@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference pipeline is batch-only: it has no streams, watermarks,
+windows over event time or state stores (SURVEY section 2.N).  This
+sub-package therefore holds no operators; every stage is a batch
+DataFrame transformation that Structured Streaming's ``foreachBatch``
+could call unchanged on a micro-batch of newly landed days if that is ever
+needed.
+"""
