@@ -93,9 +93,11 @@ class UncertaintyConfig:
     confidence_levels: tuple = CONFIDENCE_LEVELS
     qr_native_level: float = QR_NATIVE_LEVEL
     volatility_pct: float = HIGH_VOLATILITY_PCT
-    # "exact" -> percentile (exact, map-based); "approx" -> percentile_approx;
-    # "select" -> exact distributed selection (bounded driver work)
-    quantile_mode: str = "exact"
+    # "auto"   -> exact percentile up to 5M rows, exact distributed selection above;
+    # "exact"  -> percentile (value->count map merged in one task);
+    # "select" -> exact distributed selection (bounded memory, a few passes);
+    # "approx" -> percentile_approx
+    quantile_mode: str = "auto"
     approx_accuracy: int = 100_000
 
 

@@ -37,6 +37,20 @@ def narrow_plan(df: DataFrame, float_columns: Sequence[str] | None = None) -> di
     return plan
 
 
+def narrow_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """C4/C5 as a table: per integer column its observed range and the
+    smallest safe integer type (one aggregate); doubles -> float."""
+    r = integer_ranges(df, columns)
+    rows = []
+    for c in columns:
+        mn, mx = F.col(f"{c}__min"), F.col(f"{c}__max")
+        t = F.when((mn >= -128) & (mx <= 127), "byte").when((mn >= -32768) & (mx <= 32767), "short") \
+             .when((mn >= -2**31) & (mx <= 2**31 - 1), "int").otherwise("long")
+        rows.append(F.struct(F.lit(c).alias("column"), mn.cast("long").alias("min"), mx.cast("long").alias("max"),
+                             t.alias("target_type")))
+    return r.select(F.inline(F.array(*rows)))
+
+
 def narrow_schema(df: DataFrame, plan: Mapping[str, str]) -> DataFrame:
     """One select of casts (ANSI casts raise on overflow, so a plan
     built from the observed ranges is safe)."""

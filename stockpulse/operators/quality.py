@@ -15,13 +15,14 @@ from stockpulse.config import ZERO_RATE_BOUNDS
 
 
 def overview(df: DataFrame) -> DataFrame:
-    """Row count, column count and dtype histogram."""
+    """Row count, column count and the dtype histogram (one row per
+    dtype); head(5) is ``df.limit(5)``."""
     types: dict[str, int] = {}
     for f in df.schema.fields:
         types[f.dataType.simpleString()] = types.get(f.dataType.simpleString(), 0) + 1
-    m = F.create_map(*[x for k, v in sorted(types.items()) for x in (F.lit(k), F.lit(v))])
+    rows = F.array(*[F.struct(F.lit(k).alias("dtype"), F.lit(v).alias("n_columns")) for k, v in sorted(types.items())])
     return df.agg(F.count(F.lit(1)).alias("rows")).select(
-        "rows", F.lit(len(df.columns)).alias("columns"), m.alias("dtype_counts"))
+        "rows", F.lit(len(df.columns)).alias("columns"), F.inline(rows))
 
 
 def missing_report(df: DataFrame) -> DataFrame:
@@ -49,15 +50,15 @@ def duplicate_rows(df: DataFrame, key_columns: Sequence[str] | None = None) -> D
 def distinct_counts(df: DataFrame, columns: Sequence[str], list_max: int = 15) -> DataFrame:
     """Exact distinct count per column, with the sorted value list when
     it has at most ``list_max`` values."""
-    aggs = []
+    a = df.agg(*[F.count_distinct(c).alias(f"{c}__n") for c in columns])
+    rows = []
     for c in columns:
-        aggs += [F.count_distinct(c).alias(f"{c}__n"), F.array_sort(F.collect_set(c)).alias(f"{c}__v")]
-    # collect_set is bounded: only kept for display when the count is small;
-    # for high-cardinality columns use approx_distinct_counts instead.
-    a = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("column"), F.col(f"{c}__n").alias("n_distinct"),
-                     F.when(F.col(f"{c}__n") <= list_max, F.col(f"{c}__v")).alias("values"))
-            for c in columns]
+        # value list from a bounded subquery: at most list_max + 1 sorted
+        # distinct values ever leave the tasks (TakeOrderedAndProject)
+        vals = (df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).limit(list_max + 1)
+                  .agg(F.array_sort(F.collect_list(c))).scalar())
+        rows.append(F.struct(F.lit(c).alias("column"), F.col(f"{c}__n").alias("n_distinct"),
+                             F.when(F.col(f"{c}__n") <= list_max, vals).alias("values")))
     return a.select(F.inline(F.array(*rows)))
 
 

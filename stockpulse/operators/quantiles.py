@@ -25,15 +25,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def global_quantiles(df: DataFrame, col: str, probs: Sequence[float], mode: str = "exact",
-                     accuracy: int = 100_000) -> DataFrame:
-    """One-row DataFrame with columns q0..q{k-1} for the requested probs."""
+AUTO_SELECT_ROWS = 5_000_000
+
+
+def global_quantiles(df: DataFrame, col: str, probs: Sequence[float], mode: str = "auto",
+                     accuracy: int = 100_000, n: int | None = None) -> DataFrame:
+    """One-row DataFrame with columns q0..q{k-1} for the requested probs.
+
+    ``auto`` = ``exact`` up to ``AUTO_SELECT_ROWS`` input rows and the exact
+    distributed selection above (same values, bounded memory)."""
     v = F.col(col).cast("double")
     probs = [float(p) for p in probs]
+    if mode == "auto":
+        n = n if n is not None else df.count()
+        mode = "select" if n > AUTO_SELECT_ROWS else "exact"
     if mode == "exact":
         a = df.agg(F.percentile(v, probs).alias("_q"))
     elif mode == "approx":
         a = df.agg(F.percentile_approx(v, probs, accuracy).alias("_q"))
+    elif mode == "disc_auto":
+        n = n if n is not None else df.count()
+        return global_quantiles(df, col, probs, "disc" if n <= AUTO_SELECT_ROWS else "select_disc", accuracy, n)
+    elif mode == "select_disc":
+        # exact order statistics: prob p picks 1-based rank ceil(n p)
+        n = n if n is not None else df.count()
+        base = df.select(v.alias("v")).where(F.col("v").isNotNull())
+        st = base.agg(F.min("v").alias("mn"), F.max("v").alias("mx")).first()
+        ranks = [max(min(int(__import__("math").ceil(n * p)) - 1, n - 1), 0) for p in probs]
+        vals = order_statistics(base, sorted(set(ranks)), n, st["mn"], st["mx"], 4096, 100_000, 32)
+        spark = df.sparkSession
+        return spark.createDataFrame([tuple(vals[r] for r in ranks)],
+                                     ", ".join(f"q{i} double" for i in range(len(probs))))
     elif mode == "disc":
         exprs = [F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY CAST(`{col}` AS DOUBLE))")
                  for p in probs]

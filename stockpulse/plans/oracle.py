@@ -801,3 +801,28 @@ FROM impact"""
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+# ---------------------------------------------------------------- additions
+ORACLE["dataset_overview"] = F_ + """, t AS (SELECT count(*) AS rows FROM feat)
+SELECT rows, 52 AS columns, dtype, n_columns FROM t, (VALUES ('date', 1), ('double', 12), ('int', 26), ('string', 13)) v(dtype, n_columns)"""
+
+_NARROW = ("sales", "year", "month", "week", "day_of_month", "day_of_week", "is_weekend", "quarter",
+           "day_index", "wday", "is_zero_sales", "has_price", "wm_yr_wk", "snap_active")
+ORACLE["narrowing_plan"] = F_ + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CAST(min({c}) AS BIGINT) AS min, CAST(max({c}) AS BIGINT) AS max,
+       CASE WHEN min({c}) >= -128 AND max({c}) <= 127 THEN 'byte' WHEN min({c}) >= -32768 AND max({c}) <= 32767 THEN 'short'
+            WHEN min({c}) >= -2147483648 AND max({c}) <= 2147483647 THEN 'int' ELSE 'long' END AS target_type FROM feat"""
+    for c in _NARROW)
+
+ORACLE["dev_subset"] = F_ + f"""
+SELECT {KEYS}, sales, split FROM feat
+WHERE store_id IN ('AFRICA_1', 'ASIA_2', 'EUROPE_1') AND day_index <= 100
+  AND item_id IN (SELECT DISTINCT item_id FROM feat ORDER BY item_id LIMIT 5)"""
+
+ORACLE["score_ecdf"] = F_ + """
+SELECT DISTINCT method, round(upper - lower, 6) AS width,
+       round(cume_dist() OVER (PARTITION BY method ORDER BY upper - lower), 6) AS ecdf FROM ilong"""
+
+ORACLE["conformal_thresholds_select"] = F_ + """
+SELECT n_calibration, round(q_sym, 6) AS q_hat_symmetric, round(q_lo, 6) AS q_hat_lo_asymmetric,
+       round(q_hi, 6) AS q_hat_hi_asymmetric FROM thr"""

@@ -38,26 +38,36 @@ class Pipeline:
     # -------------------------------------------------------- stage 2
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
-        return TD.m5_tables(self.spark, self.sf_dir, self.cfg.panel)
+        maps = None
+        if self.materialize:
+            from pyspark import StorageLevel
+            maps = TD.series_day_maps(self.spark, self.sf_dir, self.cfg.panel).persist(StorageLevel.MEMORY_AND_DISK)
+            self._persisted = maps
+        return TD.m5_tables(self.spark, self.sf_dir, self.cfg.panel, maps)
 
     @cached_property
     def features(self) -> DataFrame:
-        t = self.tables
-        f = FE.build_features(t["sales_long"], t["calendar"], t["prices"], self.cfg.panel, self.cfg.features)
+        def build():
+            t = self.tables
+            return FE.build_features(t["sales_long"], t["calendar"], t["prices"], self.cfg.panel, self.cfg.features)
+        out = self._stage("features", build, partition_by=("split",))
+        if getattr(self, "_persisted", None) is not None:
+            self._persisted.unpersist()
+            self._persisted = None
+        return out
+
+    def _key(self, name: str):
+        return (self.spark.sparkContext.applicationId, self.sf_dir, repr(self.cfg), name)
+
+    def _stage(self, name: str, build, partition_by=()) -> DataFrame:
+        """Stage boundary.  ``build`` returns the stage's lazy DataFrame;
+        when materializing it is written once per session (and read back),
+        and later pipelines reuse the written table without re-planning."""
         if not self.materialize:
-            return f
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, repr(self.cfg))
+            return build()
+        key = self._key(name)
         if key not in _MATERIALIZED:
-            _MATERIALIZED[key] = self._write_stage(f, "features", partition_by=("split",))
-        return _MATERIALIZED[key]
-
-    def _stage(self, name: str, df: DataFrame) -> DataFrame:
-        """Stage boundary: written (and read back) when materializing."""
-        if not self.materialize:
-            return df
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, repr(self.cfg), name)
-        if key not in _MATERIALIZED:
-            _MATERIALIZED[key] = self._write_stage(df, name)
+            _MATERIALIZED[key] = self._write_stage(build(), name, partition_by)
         return _MATERIALIZED[key]
 
     def _write_stage(self, df: DataFrame, name: str, partition_by=()) -> DataFrame:
@@ -77,7 +87,7 @@ class Pipeline:
 
     @cached_property
     def states(self) -> list[str]:
-        return [c[len("snap_"):] for c in self.tables["calendar"].columns if c.startswith("snap_")]
+        return [c[len("snap_"):] for c in self.features.columns if c.startswith("snap_")]
 
     # -------------------------------------------------------- stage 3
     @cached_property
@@ -94,7 +104,10 @@ class Pipeline:
 
     @cached_property
     def n_cal(self) -> int:
-        return self.cal.count()
+        key = self._key("n_cal")
+        if key not in _MATERIALIZED:
+            _MATERIALIZED[key] = self.cal.count()
+        return _MATERIALIZED[key]
 
     # -------------------------------------------------------- stage 4
     @cached_property
@@ -104,12 +117,12 @@ class Pipeline:
 
     @cached_property
     def conformal_test(self) -> DataFrame:
-        return self._stage("conformal_intervals", H.conformal_intervals(self.test, self.thresholds))
+        return self._stage("conformal_intervals", lambda: H.conformal_intervals(self.test, self.thresholds))
 
     @cached_property
     def quantile_test(self) -> DataFrame:
         return self._stage("quantile_intervals",
-                           FC.baseline_quantile_frame(self.test, alpha=self.cfg.uncertainty.alpha))
+                           lambda: FC.baseline_quantile_frame(self.test, alpha=self.cfg.uncertainty.alpha))
 
     @cached_property
     def intervals_long(self) -> DataFrame:
@@ -130,24 +143,24 @@ class Pipeline:
     @cached_property
     def curve(self) -> DataFrame:
         u = self.cfg.uncertainty
-        return self._stage("calibration_curve", J.calibration_curve(
+        return self._stage("calibration_curve", lambda: J.calibration_curve(
             self.test, self.cal, u.confidence_levels, self.quantile_test, u.qr_native_level, self.n_cal,
             u.quantile_mode))
 
     @cached_property
     def long90(self) -> DataFrame:
         u = self.cfg.uncertainty
-        return self._stage("methods_at_level", J.methods_at_level(
+        return self._stage("methods_at_level", lambda: J.methods_at_level(
             self.test, self.cal, self.quantile_test, u.qr_native_level, n_cal=self.n_cal, mode=u.quantile_mode))
 
     @cached_property
     def segments(self) -> DataFrame:
-        return self._stage("segments", J.segment_calibration(self.long90, self.cfg.uncertainty.qr_native_level))
+        return self._stage("segments", lambda: J.segment_calibration(self.long90, self.cfg.uncertainty.qr_native_level))
 
     # -------------------------------------------------------- stage 6
     @cached_property
     def scored(self) -> DataFrame:
-        return self._stage("scored", K.risk_scores(self.conformal_test, self.segments, self.cfg.decision))
+        return self._stage("scored", lambda: K.risk_scores(self.conformal_test, self.segments, self.cfg.decision))
 
     @cached_property
     def leveled(self) -> DataFrame:
@@ -155,7 +168,7 @@ class Pipeline:
 
     @cached_property
     def recs(self) -> DataFrame:
-        return self._stage("triage", K.recommendations(self.leveled, self.cfg.decision))
+        return self._stage("triage", lambda: K.recommendations(self.leveled, self.cfg.decision))
 
     @cached_property
     def risk(self) -> DataFrame:

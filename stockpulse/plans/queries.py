@@ -511,3 +511,118 @@ def _rescaled(p: Pipeline):
 def _head(p: Pipeline):
     """M12."""
     return M.headline_kpis(p.impact)
+
+
+# ------------------------------------------------------------ more A / C / E / I / M
+@query("dataset_overview")
+def _overview(p: Pipeline):
+    """Rows, columns and dtype histogram of the feature table."""
+    return E.overview(p.features)
+
+
+NARROW_INT_COLUMNS = ("sales", "year", "month", "week", "day_of_month", "day_of_week", "is_weekend", "quarter",
+                      "day_index", "wday", "is_zero_sales", "has_price", "wm_yr_wk", "snap_active")
+
+
+@query("narrowing_plan")
+def _narrow(p: Pipeline):
+    """Observed integer ranges and the smallest safe types."""
+    from stockpulse.operators.layout import narrow_report
+    return narrow_report(p.features, NARROW_INT_COLUMNS)
+
+
+DEV_STORES = ("AFRICA_1", "ASIA_2", "EUROPE_1")
+
+
+@query("dev_subset")
+def _dev(p: Pipeline):
+    """A10: dev-mode subset - store list, first 100 days, first 5 items
+    (sorted; the item list is a semi join on a 5-row side).  Subsetting is
+    the feature of this operator."""
+    f = p.features.where(F.col("store_id").isin(*DEV_STORES) & (F.col("day_index") <= 100))
+    items = p.features.select("item_id").distinct().orderBy("item_id").limit(5)
+    return f.join(F.broadcast(items), "item_id", "left_semi").select(*KEYS, "sales", "split")
+
+
+@query("score_ecdf")
+def _score_ecdf(p: Pipeline):
+    """Empirical CDF of widths per method (cume_dist)."""
+    df = p.intervals_long.withColumn("width", F.col("upper") - F.col("lower"))
+    return G.score_ecdf(df, "width").select("method", "width", "ecdf").distinct()
+
+
+@query("conformal_thresholds_select")
+def _thr_select(p: Pipeline):
+    """H3/H4 through the exact distributed-selection quantile path (the
+    at-scale mode); must equal conformal_thresholds' thresholds."""
+    u = p.cfg.uncertainty
+    t = H.calibrate(p.cal, u.alpha, n=p.n_cal, mode="select")
+    return t.select("n_calibration", "q_hat_symmetric", "q_hat_lo_asymmetric", "q_hat_hi_asymmetric")
+
+
+@query("validation_report")
+def _vreport(p: Pipeline):
+    """E18 + E22: check table, split index and target stats (no oracle:
+    formatted text)."""
+    return E.validation_report(p.features, p.states)
+
+
+@query("inspect_sample")
+def _sample(p: Pipeline):
+    """Seeded 5 % Bernoulli sample of the impact rows (no oracle:
+    sampling is engine-specific)."""
+    return M.inspect_sample(p.impact, 0.05, 42).select(*KEYS, "actual", "point", "Risk_Level")
+
+
+@query("sample_items")
+def _sample_items(p: Pipeline):
+    """5 seeded pseudo-random items and all their rows (no oracle)."""
+    return M.sample_items(p.impact, 5, 42).select(*KEYS, "actual", "point")
+
+
+# ------------------------------------------------------------ F (Spark ML; rows-only checks)
+ML_FEATURES = ("sell_price", "price_rel_to_mean", "has_price", "has_any_event", "snap_active", "day_of_week",
+               "is_weekend", "month", "lag_7", "lag_14", "lag_28", "rolling_mean_7", "rolling_mean_14",
+               "rolling_mean_28", "rolling_std_7", "rolling_std_28")
+
+
+@query("tweedie_forecast")
+def _tweedie(p: Pipeline):
+    """Tweedie GLM (log link, power 1.5) trained on
+    train, scored on val and test; accuracy per split."""
+    model = FC.fit_point_model(p.features, FC.tweedie_model(list(ML_FEATURES)), train_splits=("train",))
+    scored = FC.predict_clipped(model, p.features.where(F.col("split").isin("val", "test")))
+    preds = scored.select(*KEYS, "split", F.col("sales").alias("actual"), "point")
+    return G.point_metrics(preds, ["split"])
+
+
+@query("gbt_importance")
+def _gbt(p: Pipeline):
+    """GBT with early stopping on val; top-15 features by
+    gain with split counts."""
+    model = FC.fit_point_model(p.features, FC.gbt_model(list(ML_FEATURES), max_iter=30, max_depth=4))
+    return FC.feature_importance(model, list(ML_FEATURES)).limit(15)
+
+
+@query("quantile_forecast")
+def _qforecast(p: Pipeline):
+    """IRLS quantile regression (q05 / q50 / q95),
+    clipped, non-crossing, interval on test; crossing report."""
+    from pyspark.ml.feature import VectorAssembler
+    cols = ["lag_7", "rolling_mean_7", "rolling_mean_28", "rolling_std_28"]
+    va = VectorAssembler(inputCols=cols, outputCol="features")
+    train = va.transform(p.features.where(F.col("split") == "train").select("sales", *cols))
+    models = FC.quantile_models(train, "features", "sales", (0.05, 0.5, 0.95), iters=6)
+    test = va.transform(p.features.where(F.col("split") == "test").select(*KEYS, "sales", *cols))
+    q = FC.quantile_interval(FC.predict_quantiles(models, test), 0.1)
+    return FC.crossing_report(q)
+
+
+@query("param_search")
+def _search(p: Pipeline):
+    """seeded random search (3 trials) over GLM regularisation and
+    iterations, minimising validation RMSE."""
+    def make(reg, max_iter):
+        return FC.tweedie_model(list(ML_FEATURES), reg=reg, max_iter=int(max_iter))
+    return FC.random_search(p.features, make, {"reg": ("loguniform", 1e-4, 1e-1), "max_iter": ("int", 5, 25)},
+                            n_trials=3, seed=42)

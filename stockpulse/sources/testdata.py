@@ -108,15 +108,21 @@ def daily_shipments(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelCo
                  F.max("p_retailprice").alias("max_price")))
 
 
-def sell_prices(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig()) -> DataFrame:
-    """The price fact: one row per (store_id, item_id, wm_yr_wk) with shipments."""
-    return (daily_shipments(spark, sf_dir, cfg)
-            .groupBy("store_id", "item_id", week_of("day_index").alias("wm_yr_wk"))
-            .agg(F.max("max_price").alias("sell_price")))
+def sell_prices(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig(),
+                maps: DataFrame | None = None) -> DataFrame:
+    """The price fact: one row per (store_id, item_id, wm_yr_wk) with shipments.
+
+    Aggregated from the per-series day maps (already hash-partitioned by
+    series), so this aggregate and the later price join need no exchange
+    of their own and lineitem is scanned once for sales and prices."""
+    m = maps if maps is not None else series_day_maps(spark, sf_dir, cfg)
+    e = m.select("item_id", "store_id", F.explode("day_sales").alias("day_index", "v"))
+    return (e.groupBy("store_id", "item_id", week_of("day_index").alias("wm_yr_wk"))
+             .agg(F.max("v.max_price").alias("sell_price")))
 
 
 def series_day_maps(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig()) -> DataFrame:
-    """One row per observed series with a ``day_index -> sales`` map.
+    """One row per observed series with a ``day_index -> (qty, max_price)`` map.
 
     Shipments are summed per item-store-day first (map-side partial
     aggregation), so each map holds at most ``n_days`` entries whatever the
@@ -125,7 +131,8 @@ def series_day_maps(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelCo
     """
     daily = daily_shipments(spark, sf_dir, cfg)
     return (daily.groupBy("item_id", "store_id")
-                 .agg(F.map_from_entries(F.collect_list(F.struct("day_index", "qty"))).alias("day_sales")))
+                 .agg(F.map_from_entries(F.collect_list(
+                     F.struct("day_index", F.struct("qty", "max_price")))).alias("day_sales")))
 
 
 def with_hierarchy(df: DataFrame) -> DataFrame:
@@ -136,15 +143,16 @@ def with_hierarchy(df: DataFrame) -> DataFrame:
               .withColumn("state_id", F.split_part(F.col("store_id"), F.lit("_"), F.lit(1))))
 
 
-def sales_long(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig()) -> DataFrame:
+def sales_long(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig(),
+               maps: DataFrame | None = None) -> DataFrame:
     """Dense long panel: id columns, d, day_index, sales (0 where nothing shipped)."""
-    m = series_day_maps(spark, sf_dir, cfg)
+    m = maps if maps is not None else series_day_maps(spark, sf_dir, cfg)
     long = m.select("item_id", "store_id", "day_sales",
                     F.explode(F.sequence(F.lit(1), F.lit(cfg.n_days))).alias("day_index"))
     long = long.select(
         "item_id", "store_id", "day_index",
         F.concat(F.lit("d_"), F.col("day_index").cast("string")).alias("d"),
-        F.coalesce(F.try_element_at("day_sales", F.col("day_index")), F.lit(0)).alias("sales"))
+        F.coalesce(F.try_element_at("day_sales", F.col("day_index"))["qty"], F.lit(0)).alias("sales"))
     return with_hierarchy(long).select("id", "item_id", "dept_id", "cat_id", "store_id", "state_id",
                                        "d", "day_index", "sales")
 
@@ -160,7 +168,7 @@ def sales_wide(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig(
     n_days = n_days or cfg.wide_days
     first_day = first_day or (cfg.n_days - n_days + 1)
     m = with_hierarchy(series_day_maps(spark, sf_dir, cfg))
-    day_cols = [F.coalesce(F.try_element_at("day_sales", F.lit(d)), F.lit(0)).alias(f"d_{d}")
+    day_cols = [F.coalesce(F.try_element_at("day_sales", F.lit(d))["qty"], F.lit(0)).alias(f"d_{d}")
                 for d in range(first_day, first_day + n_days)]
     return m.select("id", "item_id", "dept_id", "cat_id", "store_id", "state_id", *day_cols)
 
@@ -199,7 +207,12 @@ def calendar(spark: SparkSession, cfg: PanelConfig = PanelConfig(),
         *snaps)
 
 
-def m5_tables(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig()) -> dict[str, DataFrame]:
-    """The three raw inputs of the pipeline, derived from the test tables."""
-    return {"calendar": calendar(spark, cfg), "prices": sell_prices(spark, sf_dir, cfg),
-            "sales_long": sales_long(spark, sf_dir, cfg)}
+def m5_tables(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig(),
+              maps: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The three raw inputs of the pipeline, derived from the test tables.
+
+    Pass a persisted ``series_day_maps`` frame as ``maps`` to build sales and
+    prices from one scan of lineitem (a cached scan keeps the series hash
+    partitioning, so the windows downstream still need no exchange)."""
+    return {"calendar": calendar(spark, cfg), "prices": sell_prices(spark, sf_dir, cfg, maps),
+            "sales_long": sales_long(spark, sf_dir, cfg, maps)}

@@ -166,3 +166,24 @@ def test_sensitivity_grid_equals_rowwise(spark):
         direct = L.policy_kpis(L.policy_costs(df, h, 0.4)).first()
         assert g[(h, 0.4)].Baseline_Total_Cost == pytest.approx(direct.Baseline_Total_Cost)
         assert g[(h, 0.4)].Net_Savings == pytest.approx(direct.Net_Savings)
+
+
+def test_discrete_selection_matches_percentile_disc(spark):
+    rng = np.random.default_rng(5)
+    vals = np.concatenate([np.zeros(500), rng.exponential(3.0, 1500)])
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    n = len(vals)
+    probs = [(r + 0.5) / n for r in (0, 17, 499, 500, 1234, n - 1)]
+    a = global_quantiles(df, "x", probs, mode="disc").first()
+    b = global_quantiles(df, "x", probs, mode="select_disc", n=n).first()
+    s = np.sort(vals)
+    for i, r in enumerate((0, 17, 499, 500, 1234, n - 1)):
+        assert a[f"q{i}"] == s[r] == b[f"q{i}"]
+
+
+def test_distinct_counts_bounded_list(spark):
+    from stockpulse.operators.quality import distinct_counts
+    df = spark.createDataFrame([(str(i % 20), str(i % 3)) for i in range(100)], "a string, b string")
+    out = {r.column: r for r in distinct_counts(df, ["a", "b"]).collect()}
+    assert out["a"].n_distinct == 20 and out["a"]["values"] is None
+    assert out["b"].n_distinct == 3 and list(out["b"]["values"]) == ["0", "1", "2"]
