@@ -548,7 +548,7 @@ def _dev(p: Pipeline):
 def _score_ecdf(p: Pipeline):
     """Empirical CDF of widths per method (cume_dist)."""
     df = p.intervals_long.withColumn("width", F.col("upper") - F.col("lower"))
-    return G.score_ecdf(df, "width").select("method", "width", "ecdf").distinct()
+    return G.score_ecdf(df, "width").select("method", "width", "ecdf")
 
 
 @query("conformal_thresholds_select")

@@ -187,3 +187,17 @@ def test_distinct_counts_bounded_list(spark):
     out = {r.column: r for r in distinct_counts(df, ["a", "b"]).collect()}
     assert out["a"].n_distinct == 20 and out["a"]["values"] is None
     assert out["b"].n_distinct == 3 and list(out["b"]["values"]) == ["0", "1", "2"]
+
+
+def test_distributed_ecdf_equals_cume_dist(spark):
+    from pyspark.sql import Window
+    from stockpulse.operators.metrics import score_ecdf
+    rng = np.random.default_rng(11)
+    rows = [("A" if i % 3 else "B", float(v)) for i, v in enumerate(np.round(rng.exponential(2.0, 3000), 1))]
+    rows += [("A", 0.0)] * 1000   # a hot value
+    df = spark.createDataFrame(rows, "method string, w double")
+    got = {(r.method, r.w): r.ecdf for r in score_ecdf(df, "w", partitions=7).collect()}
+    ref = {(r.method, r.w): r.e for r in df.select("method", "w", F.cume_dist().over(
+        Window.partitionBy("method").orderBy("w")).alias("e")).distinct().collect()}
+    assert got.keys() == ref.keys()
+    assert all(abs(got[k] - ref[k]) < 1e-12 for k in ref)
