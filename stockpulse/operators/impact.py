@@ -91,13 +91,14 @@ KPI_NAMES = ("Total_Demand", "Total_Sold", "Stockout_Units", "Overstock_Units",
 
 
 def policy_kpis_long(kpis: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """L11 / report form: one row per (policy, KPI)."""
+    """L11 / report form: one row per (group, policy, KPI)."""
     cols = [f"{p}_{k}" for p in POLICIES for k in KPI_NAMES]
-    long = kpis.unpivot(list(by) or None if by else [], cols, "name", "value") if by else \
-        kpis.select(F.lit(1).alias("_k"), *cols).unpivot(["_k"], cols, "name", "value").drop("_k")
+    ids = list(by) or ["_k"]
+    base = kpis.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]) if by else \
+        kpis.select(F.lit(0).alias("_k"), *[F.col(c).cast("double").alias(c) for c in cols])
+    long = base.unpivot(ids, cols, "name", "value")
     return long.select(*by, F.split_part(F.col("name"), F.lit("_"), F.lit(1)).alias("policy"),
-                       F.regexp_replace(F.col("name"), "^[A-Za-z]+_", "").alias("kpi"),
-                       F.col("value").cast("double").alias("value"))
+                       F.regexp_replace(F.col("name"), "^[A-Za-z]+_", "").alias("kpi"), "value")
 
 
 # ------------------------------------------------------------------ L6/L7

@@ -826,3 +826,7 @@ SELECT DISTINCT method, round(upper - lower, 6) AS width,
 ORACLE["conformal_thresholds_select"] = F_ + """
 SELECT n_calibration, round(q_sym, 6) AS q_hat_symmetric, round(q_lo, 6) AS q_hat_lo_asymmetric,
        round(q_hi, 6) AS q_hat_hi_asymmetric FROM thr"""
+
+ORACLE["scenario_savings_ranking"] = ORACLE["scenario_kpis"].replace(
+    f"SELECT {_kpi_select('scenario, ')} FROM kp",
+    "SELECT scenario, Count, round(Net_Savings, 6) AS Net_Savings, round(Cost_Reduction_Pct, 6) AS Cost_Reduction_Pct FROM kp")

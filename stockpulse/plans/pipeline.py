@@ -50,12 +50,24 @@ class Pipeline:
         def build():
             t = self.tables
             return FE.build_features(t["sales_long"], t["calendar"], t["prices"], self.cfg.panel, self.cfg.features)
+        if self.materialize and self._key("features") not in _MATERIALIZED:
+            self.raw_panel  # noqa: B018 - written while the day maps are cached
         out = self._stage("features", build, partition_by=("split",))
         if getattr(self, "_persisted", None) is not None:
             self._persisted.unpersist()
             self._persisted = None
         return out
 
+    @cached_property
+    def raw_panel(self) -> DataFrame:
+        """Stage-2 merge output: sales panel + calendar + raw weekly price
+        (before any fill) - what the join audits and missing report read."""
+        def build():
+            from stockpulse.operators import panel as P
+            t = self.tables
+            return P.join_prices(P.join_calendar(t["sales_long"], t["calendar"]), t["prices"])
+        return self._stage("raw_panel", build)
+
     def _key(self, name: str):
         return (self.spark.sparkContext.applicationId, self.sf_dir, repr(self.cfg), name)
 

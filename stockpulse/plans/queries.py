@@ -73,8 +73,7 @@ def _melt2(p: Pipeline):
 @query("panel_join")
 def _panel_join(p: Pipeline):
     """B2 + B3 + C1: calendar and raw price joined onto the panel."""
-    t = p.tables
-    df = P.fill_events(P.join_prices(P.join_calendar(t["sales_long"], t["calendar"]), t["prices"]))
+    df = P.fill_events(p.raw_panel)
     return df.select(*KEYS, "d", "sales", "wm_yr_wk", "event_name_1", "event_type_1",
                      "event_name_2", "event_type_2", F.col("sell_price").alias("raw_price"))
 
@@ -153,9 +152,7 @@ def _feature_table(p: Pipeline):
 @query("missing_report")
 def _missing(p: Pipeline):
     """E2 on the raw panel join (before the fills)."""
-    t = p.tables
-    df = P.join_prices(P.join_calendar(t["sales_long"], t["calendar"]), t["prices"])
-    return E.missing_report(df)
+    return E.missing_report(p.raw_panel)
 
 
 @query("duplicate_rows")
@@ -626,3 +623,9 @@ def _search(p: Pipeline):
         return FC.tweedie_model(list(ML_FEATURES), reg=reg, max_iter=int(max_iter))
     return FC.random_search(p.features, make, {"reg": ("loguniform", 1e-4, 1e-1), "max_iter": ("int", 5, 25)},
                             n_trials=3, seed=42)
+
+
+@query("scenario_savings_ranking")
+def _scen_rank(p: Pipeline):
+    """Scenarios ranked by net savings."""
+    return L.scenario_savings_ranking(L.scenario_kpis(p.impact, p.cfg.simulation.high_volatility_pct))

@@ -201,3 +201,11 @@ def test_distributed_ecdf_equals_cume_dist(spark):
         Window.partitionBy("method").orderBy("w")).alias("e")).distinct().collect()}
     assert got.keys() == ref.keys()
     assert all(abs(got[k] - ref[k]) < 1e-12 for k in ref)
+
+
+def test_policy_kpis_long(spark):
+    df = spark.createDataFrame([(3, 2.0, 4.0, 10.0)], "actual int, Baseline_Order double, Proposed_Order double, sell_price double")
+    k = L.policy_kpis(L.policy_costs(df))
+    long = {(r.policy, r.kpi): r.value for r in L.policy_kpis_long(k).collect()}
+    assert long[("Baseline", "Stockout_Units")] == 1.0 and long[("Proposed", "Overstock_Units")] == 1.0
+    assert len(long) == 18
