@@ -126,10 +126,12 @@ def calibration_summary(cal: DataFrame, thresholds: DataFrame, actual="actual",
     """Thresholds + coverage bounds + abs-score statistics (one row)."""
     sc = conformity_scores(cal, actual, point)
     s = F.col("abs_score")
-    stats = sc.agg(F.min(s).alias("score_min"), F.percentile(s, 0.25).alias("score_p25"),
-                   F.percentile(s, 0.5).alias("score_median"), F.percentile(s, 0.75).alias("score_p75"),
-                   F.max(s).alias("score_max"), F.avg(s).alias("score_mean"),
-                   F.stddev_pop(s).alias("score_std"))
+    from stockpulse.operators.quantiles import quantile_columns
+    n = thresholds.select("n_calibration").first()[0]
+    qc = quantile_columns(sc, "abs_score", [0.25, 0.5, 0.75], ["score_p25", "score_median", "score_p75"], n=n)
+    stats = sc.agg(F.min(s).alias("score_min"), F.max(s).alias("score_max"), F.avg(s).alias("score_mean"),
+                   F.stddev_pop(s).alias("score_std")).select(
+        "score_min", *qc, "score_max", "score_mean", "score_std")
     t = thresholds
     return t.select(
         "n_calibration", "alpha", (1 - F.col("alpha")).alias("coverage_target"),

@@ -137,12 +137,13 @@ def interval_scores(df: DataFrame, train: DataFrame | None, by: Sequence[str] =
         *interval_aggs(alpha),
         F.avg(F.abs(F.col("actual").cast("double"))).alias("_mean_abs_y"),
         F.min(w).alias("width_min"),
-        F.percentile(w, 0.25).alias("width_p25"),
-        F.percentile(w, 0.50).alias("width_median"),
-        F.percentile(w, 0.75).alias("width_p75"),
-        F.percentile(w, 0.95).alias("width_p95"),
         F.max(w).alias("width_max"),
         F.stddev_pop(w).alias("width_std"))
+    from stockpulse.operators.quantiles import grouped_quantiles
+    wq = grouped_quantiles(df.withColumn("_w", w), "_w", [0.25, 0.5, 0.75, 0.95], list(by))
+    wq = wq.select(*by, *[F.col(f"q{i}").alias(n) for i, n in
+                          enumerate(["width_p25", "width_median", "width_p75", "width_p95"])])
+    agg = agg.join(wq, list(by), "left") if by else agg.join(wq)
     if train is not None:
         # mean over all train differences (taken inside each key group),
         # evaluated once as a scalar subquery
@@ -209,7 +210,9 @@ def quantile_grid(df: DataFrame, value: str, by: Sequence[str] = ("method",), po
     """I11 at scale: the ECDF sampled on a fixed probability grid (one
     aggregate, no global sort)."""
     probs = [i / points for i in range(points + 1)]
-    q = df.groupBy(*by).agg(F.percentile(F.col(value), probs).alias("_q"))
+    from stockpulse.operators.quantiles import grouped_quantiles
+    g = grouped_quantiles(df, value, probs, list(by))
+    q = g.select(*by, F.array(*[F.col(f"q{i}") for i in range(len(probs))]).alias("_q"))
     return q.select(*by, F.posexplode("_q").alias("i", value)).select(
         *by, (F.col("i") / points).alias("prob"), value)
 

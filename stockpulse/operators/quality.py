@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpulse.config import ZERO_RATE_BOUNDS
+from stockpulse.operators.quantiles import quantile_columns
 
 
 def overview(df: DataFrame) -> DataFrame:
@@ -74,10 +75,10 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     rows = []
     for c in columns:
         x = F.col(c).cast("double")
+        qc = quantile_columns(df, c, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
         rows.append(df.agg(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-                           F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                           F.percentile(x, 0.25).alias("p25"), F.percentile(x, 0.5).alias("p50"),
-                           F.percentile(x, 0.75).alias("p75"), F.max(x).alias("max")))
+                           F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+                    .select("column", "count", "mean", "std", "min", *qc, "max"))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
@@ -88,19 +89,21 @@ def global_stats(long: DataFrame, value: str = "sales") -> DataFrame:
     """min/max/mean/median/population std, zero cells and % over all
     day cells (long form)."""
     x = F.col(value).cast("double")
+    med = quantile_columns(long.select(x.alias("_x")), "_x", [0.5], ["median"])[0]
     return long.agg(F.count(F.lit(1)).alias("cells"), F.min(x).alias("min"), F.max(x).alias("max"),
-                    F.avg(x).alias("mean"), F.median(x).alias("median"), F.stddev_pop(x).alias("std_pop"),
+                    F.avg(x).alias("mean"), F.stddev_pop(x).alias("std_pop"),
                     F.count_if(x == 0).alias("zero_cells"),
-                    (F.avg((x == 0).cast("double")) * 100).alias("zero_pct"))
+                    (F.avg((x == 0).cast("double")) * 100).alias("zero_pct")).select(
+        "cells", "min", "max", "mean", med, "std_pop", "zero_cells", "zero_pct")
 
 
 def series_mean_distribution(long: DataFrame, value: str = "sales",
                              keys: Sequence[str] = ("item_id", "store_id")) -> DataFrame:
     """Distribution (min/25/50/75/max) of per-series means."""
     m = long.groupBy(*keys).agg(F.avg(F.col(value).cast("double")).alias("m"))
-    return m.agg(F.count(F.lit(1)).alias("series"), F.min("m").alias("min"),
-                 F.percentile("m", 0.25).alias("p25"), F.percentile("m", 0.5).alias("p50"),
-                 F.percentile("m", 0.75).alias("p75"), F.max("m").alias("max"))
+    qc = quantile_columns(m, "m", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    return m.agg(F.count(F.lit(1)).alias("series"), F.min("m").alias("min"), F.max("m").alias("max")) \
+            .select("series", "min", *qc, "max")
 
 
 def hierarchy_counts(long: DataFrame) -> DataFrame:

@@ -155,3 +155,52 @@ def order_statistics(base: DataFrame, ranks: Sequence[int], n: int, mn: float, m
     if missing:
         raise RuntimeError(f"selection did not converge for ranks {missing}")
     return done
+
+
+def quantile_columns(df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str],
+                     mode: str = "auto", n: int | None = None):
+    """Global quantiles as scalar-subquery columns named ``names`` (exact;
+    distributed selection above ``AUTO_SELECT_ROWS`` rows)."""
+    q = global_quantiles(df, col, probs, mode=mode, n=n)
+    return [q.select(f"q{i}").scalar().alias(nm) for i, nm in enumerate(names)]
+
+
+def grouped_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str],
+                      mode: str = "auto", max_groups: int = 64) -> DataFrame:
+    """Quantiles per group: (by..., q0..qk).
+
+    ``auto``: the exact ``percentile`` aggregate while the input is at most
+    ``AUTO_SELECT_ROWS`` rows; above, each group (at most ``max_groups``,
+    e.g. forecasting methods) is solved by the exact distributed selection
+    so no task merges a whole group's value map; beyond ``max_groups``
+    groups, ``percentile_approx``."""
+    v = F.col(col).cast("double")
+    probs = [float(p) for p in probs]
+    if mode == "auto":
+        n = df.count()
+        if n <= AUTO_SELECT_ROWS:
+            mode = "exact"
+        else:
+            keys = df.select(*by).distinct().limit(max_groups + 1).collect()
+            mode = "select" if len(keys) <= max_groups else "approx"
+    if mode == "exact":
+        a = df.groupBy(*by).agg(F.percentile(v, probs).alias("_q"))
+    elif mode == "approx":
+        a = df.groupBy(*by).agg(F.percentile_approx(v, probs, 100_000).alias("_q"))
+    elif mode == "select":
+        keys = df.select(*by).distinct().collect()
+        rows = []
+        for k in keys:
+            cond = None
+            for c in by:
+                e = F.col(c).eqNullSafe(k[c])
+                cond = e if cond is None else (cond & e)
+            vals = select_quantiles(df.where(cond), col, probs)
+            rows.append((*[k[c] for c in by], *vals))
+        schema = df.select(*by).schema
+        for i in range(len(probs)):
+            schema = schema.add(f"q{i}", "double")
+        return df.sparkSession.createDataFrame(rows, schema)
+    else:
+        raise ValueError(mode)
+    return a.select(*by, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])

@@ -88,11 +88,13 @@ def sku_stats(df: DataFrame, keys: Sequence[str] = SKU) -> DataFrame:
 def residual_histogram(df: DataFrame, bins: int = 20, keys: Sequence[str] = SKU) -> DataFrame:
     """M9: residual (actual - point) histogram per SKU, ``bins`` buckets
     over each SKU's own [min, max] (one grouped pass + one aggregate)."""
-    from pyspark.sql import Window
     r = (F.col("actual").cast("double") - F.col("point"))
-    w = Window.partitionBy(*keys)
     d = df.select(*keys, r.alias("residual"))
-    d = d.withColumn("_mn", F.min("residual").over(w)).withColumn("_mx", F.max("residual").over(w))
+    # per-SKU bounds by a partially aggregated groupBy (a hot SKU never sits
+    # in one window partition); joined back without a hint (size-checked
+    # broadcast by the planner, skew-aware sort-merge join otherwise)
+    bounds = d.groupBy(*keys).agg(F.min("residual").alias("_mn"), F.max("residual").alias("_mx"))
+    d = d.join(bounds, list(keys))
     width = (F.col("_mx") - F.col("_mn")) / bins
     b = F.when(F.col("_mx") == F.col("_mn"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("residual") - F.col("_mn")) / width), F.lit(bins - 1))).cast("int")

@@ -38,25 +38,29 @@ class Pipeline:
     # -------------------------------------------------------- stage 2
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
-        maps = None
-        if self.materialize:
-            from pyspark import StorageLevel
-            maps = TD.series_day_maps(self.spark, self.sf_dir, self.cfg.panel).persist(StorageLevel.MEMORY_AND_DISK)
-            self._persisted = maps
-        return TD.m5_tables(self.spark, self.sf_dir, self.cfg.panel, maps)
+        return TD.m5_tables(self.spark, self.sf_dir, self.cfg.panel)
 
     @cached_property
     def features(self) -> DataFrame:
         def build():
-            t = self.tables
+            maps = None
+            if self.materialize:
+                # one lineitem scan feeds both the sales panel and the price
+                # fact: the compact per-series day maps are cached only for the
+                # duration of this write (a cached scan keeps the series hash
+                # partitioning, so the windows need no further exchange)
+                from pyspark import StorageLevel
+                maps = TD.series_day_maps(self.spark, self.sf_dir, self.cfg.panel) \
+                    .persist(StorageLevel.MEMORY_AND_DISK)
+                self._persisted = maps
+            t = TD.m5_tables(self.spark, self.sf_dir, self.cfg.panel, maps)
             return FE.build_features(t["sales_long"], t["calendar"], t["prices"], self.cfg.panel, self.cfg.features)
-        if self.materialize and self._key("features") not in _MATERIALIZED:
-            self.raw_panel  # noqa: B018 - written while the day maps are cached
-        out = self._stage("features", build, partition_by=("split",))
-        if getattr(self, "_persisted", None) is not None:
-            self._persisted.unpersist()
-            self._persisted = None
-        return out
+        try:
+            return self._stage("features", build, partition_by=("split",))
+        finally:
+            if getattr(self, "_persisted", None) is not None:
+                self._persisted.unpersist()
+                self._persisted = None
 
     @cached_property
     def raw_panel(self) -> DataFrame:

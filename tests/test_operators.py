@@ -209,3 +209,15 @@ def test_policy_kpis_long(spark):
     long = {(r.policy, r.kpi): r.value for r in L.policy_kpis_long(k).collect()}
     assert long[("Baseline", "Stockout_Units")] == 1.0 and long[("Proposed", "Overstock_Units")] == 1.0
     assert len(long) == 18
+
+
+def test_grouped_quantiles_select_equals_exact(spark):
+    from stockpulse.operators.quantiles import grouped_quantiles
+    rng = np.random.default_rng(9)
+    rows = [("A" if i % 2 else "B", float(v)) for i, v in enumerate(rng.gamma(1.5, 2.0, 4000))]
+    df = spark.createDataFrame(rows, "m string, x double")
+    probs = [0.25, 0.5, 0.95]
+    a = {r.m: [r.q0, r.q1, r.q2] for r in grouped_quantiles(df, "x", probs, ["m"], mode="exact").collect()}
+    b = {r.m: [r.q0, r.q1, r.q2] for r in grouped_quantiles(df, "x", probs, ["m"], mode="select").collect()}
+    for k in a:
+        assert np.allclose(a[k], b[k], rtol=0, atol=1e-9)
