@@ -36,31 +36,28 @@ class Pipeline:
         self.spark, self.sf_dir, self.cfg, self.materialize = spark, sf_dir, cfg, materialize
 
     # -------------------------------------------------------- stage 2
+    @cached_property
+    def day_maps(self) -> DataFrame:
+        """Stage-1 boundary: one row per observed series with its bounded
+        ``day -> (units, max price)`` map - the only stage that scans the
+        shipment tables.  When materializing it is written once and read
+        back hash-repartitioned by series: only these compact rows are
+        exchanged, and every series window downstream reuses that
+        partitioning."""
+        m = self._stage("day_maps", lambda: TD.series_day_maps(self.spark, self.sf_dir, self.cfg.panel))
+        return m.repartition("item_id", "store_id") if self.materialize else m
+
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
-        return TD.m5_tables(self.spark, self.sf_dir, self.cfg.panel)
+        maps = self.day_maps if self.materialize else None
+        return TD.m5_tables(self.spark, self.sf_dir, self.cfg.panel, maps)
 
     @cached_property
     def features(self) -> DataFrame:
         def build():
-            maps = None
-            if self.materialize:
-                # one lineitem scan feeds both the sales panel and the price
-                # fact: the compact per-series day maps are cached only for the
-                # duration of this write (a cached scan keeps the series hash
-                # partitioning, so the windows need no further exchange)
-                from pyspark import StorageLevel
-                maps = TD.series_day_maps(self.spark, self.sf_dir, self.cfg.panel) \
-                    .persist(StorageLevel.MEMORY_AND_DISK)
-                self._persisted = maps
-            t = TD.m5_tables(self.spark, self.sf_dir, self.cfg.panel, maps)
+            t = self.tables
             return FE.build_features(t["sales_long"], t["calendar"], t["prices"], self.cfg.panel, self.cfg.features)
-        try:
-            return self._stage("features", build, partition_by=("split",))
-        finally:
-            if getattr(self, "_persisted", None) is not None:
-                self._persisted.unpersist()
-                self._persisted = None
+        return self._stage("features", build, partition_by=("split",))
 
     @cached_property
     def raw_panel(self) -> DataFrame:

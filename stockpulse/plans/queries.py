@@ -57,7 +57,7 @@ KEYS = ["item_id", "store_id", "day_index"]
 @query("melt_wide_sales")
 def _melt(p: Pipeline):
     """B1 + D1: wide last-28-day table melted back to long."""
-    wide = TD.sales_wide(p.spark, p.sf_dir, p.cfg.panel)
+    wide = TD.sales_wide(p.spark, p.sf_dir, p.cfg.panel, maps=p.day_maps if p.materialize else None)
     long = P.melt(wide, ["id", "item_id", "store_id"], method="generate")
     return P.add_day_index(long).select("id", "item_id", "store_id", "d", "day_index", "sales")
 
@@ -65,7 +65,7 @@ def _melt(p: Pipeline):
 @query("melt_unpivot")
 def _melt2(p: Pipeline):
     """B1 via Spark's unpivot (must equal melt_wide_sales)."""
-    wide = TD.sales_wide(p.spark, p.sf_dir, p.cfg.panel)
+    wide = TD.sales_wide(p.spark, p.sf_dir, p.cfg.panel, maps=p.day_maps if p.materialize else None)
     long = P.melt(wide, ["id", "item_id", "store_id"], method="unpivot")
     return P.add_day_index(long).select("id", "item_id", "store_id", "d", "day_index", "sales")
 

@@ -158,7 +158,8 @@ def sales_long(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig(
 
 
 def sales_wide(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig(),
-               first_day: int | None = None, n_days: int | None = None) -> DataFrame:
+               first_day: int | None = None, n_days: int | None = None,
+               maps: DataFrame | None = None) -> DataFrame:
     """Wide sales table (6 id columns + d_<first>..d_<last>), as the raw M5 file.
 
     Built straight from the per-series map: one column per day, no pivot
@@ -167,7 +168,7 @@ def sales_wide(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig(
     """
     n_days = n_days or cfg.wide_days
     first_day = first_day or (cfg.n_days - n_days + 1)
-    m = with_hierarchy(series_day_maps(spark, sf_dir, cfg))
+    m = with_hierarchy(maps if maps is not None else series_day_maps(spark, sf_dir, cfg))
     day_cols = [F.coalesce(F.try_element_at("day_sales", F.lit(d))["qty"], F.lit(0)).alias(f"d_{d}")
                 for d in range(first_day, first_day + n_days)]
     return m.select("id", "item_id", "dept_id", "cat_id", "store_id", "state_id", *day_cols)
