@@ -45,7 +45,12 @@ class Pipeline:
         exchanged, and every series window downstream reuses that
         partitioning."""
         m = self._stage("day_maps", lambda: TD.series_day_maps(self.spark, self.sf_dir, self.cfg.panel))
-        return m.repartition("item_id", "store_id") if self.materialize else m
+        if not self.materialize:
+            return m
+        # explicit partition count: AQE would coalesce these few compact rows
+        # into one partition, but each row expands n_days-fold downstream
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return m.repartition(n, "item_id", "store_id")
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
