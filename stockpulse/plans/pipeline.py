@@ -68,11 +68,9 @@ class Pipeline:
     def raw_panel(self) -> DataFrame:
         """Stage-2 merge output: sales panel + calendar + raw weekly price
         (before any fill) - what the join audits and missing report read."""
-        def build():
-            from stockpulse.operators import panel as P
-            t = self.tables
-            return P.join_prices(P.join_calendar(t["sales_long"], t["calendar"]), t["prices"])
-        return self._stage("raw_panel", build)
+        from stockpulse.operators import panel as P
+        t = self.tables   # built on the written day-map stage: no shipment scan
+        return P.join_prices(P.join_calendar(t["sales_long"], t["calendar"]), t["prices"])
 
     def _key(self, name: str):
         return (self.spark.sparkContext.applicationId, self.sf_dir, repr(self.cfg), name)
