@@ -40,11 +40,23 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.line_end, = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.inner: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
 
     def _learn(self, pieces: set[str], cache: dict[str, bytes], lead: str) -> None:
-        todo = list(pieces)
+        plain = [w for w in pieces if lead and w and "\n" not in w and not w[0].isspace() and not w[-1].isspace()]
+        for at in range(0, len(plain), 10_000):
+            runs = [plain[k:k + 500] for k in range(at, min(at + 10_000, len(plain)), 500)]
+            # one call for many words: a line end between two words is a token of its own
+            for run, e in zip(runs, self.tokenizer.encode_batch_fast(["\n".join([lead + w for w in run]) for run in runs], add_special_tokens=False)):
+                ids = np.array(e.ids, "<u4")
+                ends = np.append(np.flatnonzero(ids == self.line_end), len(ids))
+                data, ends = ids.tobytes(), (4 * ends).tolist()
+                if len(ends) != len(run):
+                    raise ValueError("the tokenizer joins line ends with other text")
+                cache.update(zip(run, [data[a:z] for a, z in zip([0, *(x + 4 for x in ends)], ends)]))
+        todo = list(pieces - cache.keys())
         for at in range(0, len(todo), 20_000):
             some = todo[at:at + 20_000]
             for w, e in zip(some, self.tokenizer.encode_batch_fast([lead + w for w in some], add_special_tokens=False)):

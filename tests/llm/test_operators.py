@@ -136,21 +136,21 @@ def test_quotation_windows():
 
 
 def test_toxicity_held_out(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     got = {r["doc_id"]: r for r in queries.op2_toxicity(spark, sf).collect()}
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
-    assert len(got) == 1000 and all(r["held_out"] == (fold_of(i, 5) == 0) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for i, r in got.items())
+    assert len(got) == 10_000 and all(r["held_out"] == (fold_of(i, 5) == 0) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for i, r in got.items())
     held = [(labels[i], r["score"]) for i, r in got.items() if r["held_out"] and i in labels]
     pos, neg = [s for y, s in held if y], [s for y, s in held if not y]
     auc = np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg])
-    assert auc > 0.8, auc
+    assert auc > 0.93, auc
 
 
 def test_toxicity_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 0), (2, 1), (2, None), (5, 1), (None, 1), (9, 0)], "doc_id long, toxic int")
     assert toxicity.classify(odd, labels).count() == odd.count()
     assert toxicity.classify(empty, labels).count() == 0
-    assert {r["score"] for r in toxicity.classify(odd, labels.limit(0)).collect()} == {pytest.approx(0, abs=1e-6)}
+    assert all(r["score"] < 1e-6 for r in toxicity.classify(odd, labels.limit(0)).collect())
 
 
 # 3: SimHash
