@@ -10,9 +10,9 @@ sampled at every eighth place. All windows of the benchmark are searched
 backwards together; occurrences are located by walking to a sampled place;
 their spans are merged for each document.
 
-The benchmark meets the shards in blocks of at most ``BLOCK_WORDS`` window
-words, one after the other, so what is sent to the executors at once has a
-bound however large the benchmark is. Documents are never shuffled.
+The benchmark meets the shards in blocks of about ``BLOCK_WORDS`` window
+words (dealt by hash), one after the other, so what is sent to the executors
+at once has a bound however large the benchmark is. Documents are never shuffled.
 
 Results for odd input: a null or empty text has no words; an item without
 words has no windows; windows that several items share count for each; items
@@ -30,10 +30,10 @@ from itertools import chain, repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockpulse.llm.common import free_name
+from stockpulse.llm.common import free_name, written
 
 WINDOW = 10
 SHARD_WORDS = 1_000_000
@@ -232,13 +232,12 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _blocks(windows: DataFrame, words: int) -> Iterator[list]:
-    """The windows in blocks of at most ``words`` words (one window at least), read one after the other."""
-    size = F.size("items") + F.length("words")
-    part = windows.withColumn("part", F.spark_partition_id())
-    at = F.sum(size).over(Window.partitionBy("part").orderBy("words").rowsBetween(Window.unboundedPreceding, -1))
-    placed = part.withColumn("block", F.floor(F.coalesce(at, F.lit(0)) / F.lit(words * 8)))
-    for p, b in sorted((r["part"], r["block"]) for r in placed.select("part", "block").distinct().collect()):
-        yield [(bytes(r["words"]), r["items"]) for r in placed.where((F.col("part") == p) & (F.col("block") == b)).select("words", "items").collect()]
+    """The windows in blocks of about ``words`` words, dealt by hash and read one after the other."""
+    windows = written(windows, "benchmark-windows")
+    total = windows.agg(F.sum(F.size(F.split(F.col("words").cast("string"), " ")) + F.size("items"))).first()[0] or 0
+    n = -(-total // words)
+    for k in range(n):
+        yield [(bytes(r["words"]), r["items"]) for r in windows.where(F.pmod(F.xxhash64("words"), F.lit(n)) == k).collect()]
 
 
 def leak_column(benchmark: DataFrame, text: Column, window: int = WINDOW, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS) -> Column:

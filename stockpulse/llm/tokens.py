@@ -18,7 +18,13 @@ from stockpulse.llm.common import written
 CACHE_WORDS = 800_000
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_ODD_SPACE = re.compile(r"\s | \s|^ | $")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+
+
+def _odd(t: str) -> bool:
+    """Whether a space of the text may stand at another white space or at an end."""
+    return "  " in t or " \n" in t or "\n " in t or t[:1] == " " or t[-1:] == " " or _OTHER_SPACE.search(t) is not None
+
 
 
 def default_tokenizer() -> str:
@@ -45,7 +51,7 @@ class Encoder:
         self.first: dict[str, bytes] = {}
 
     def _learn(self, pieces: set[str], cache: dict[str, bytes], lead: str) -> None:
-        plain = [w for w in pieces if lead and w and "\n" not in w and not w[0].isspace() and not w[-1].isspace()]
+        plain = [w for w in pieces if lead and w and "\n" not in w and not w[-1].isspace()]
         for at in range(0, len(plain), 10_000):
             runs = [plain[k:k + 500] for k in range(at, min(at + 10_000, len(plain)), 500)]
             # one call for many words: a line end between two words is a token of its own
@@ -63,17 +69,19 @@ class Encoder:
                 cache[w] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [_LONE_SPACE.split(t) if _ODD_SPACE.search(t) else t.split(" ") for t in texts]
+        cut = [_LONE_SPACE.split(t) if _odd(t) else t.split(" ") for t in texts]
         for cache in (self.inner, self.first):
             if len(cache) > CACHE_WORDS:
                 cache.clear()
-        self._learn({c[0] for c in cut} - self.first.keys(), self.first, "")
-        words: set[str] = set()
-        for c in cut:
-            words.update(c[1:])
-        self._learn(words - self.inner.keys(), self.inner, " ")
-        inner, first = self.inner, self.first
-        return [first[c[0]] + b"".join([inner[w] for w in c[1:]]) for c in cut]
+        heads = [c.pop(0) for c in cut]
+        self._learn(set(heads) - self.first.keys(), self.first, "")
+        get = self.inner.get
+        got = [list(map(get, c)) for c in cut]
+        late = [k for k, g in enumerate(got) if None in g]
+        self._learn({w for k in late for w, g in zip(cut[k], got[k]) if g is None}, self.inner, " ")
+        for k in late:
+            got[k] = list(map(get, cut[k]))
+        return [self.first[h] + b"".join(g) for h, g in zip(heads, got)]
 
 
 @functools.lru_cache(maxsize=2)
