@@ -1,7 +1,7 @@
 """Elias-Fano coding of monotone integer lists with select and successor.
 
-A list of n values below u keeps the low bits of each value, l = floor(log2(u
-/ n)) of them, in a packed array and the high parts in unary: bit (v >> l) + i
+A list of n values, less the first one all below u, keeps the low bits of each
+value, l = floor(log2(u / n)) of them, in a packed array and the high parts in unary: bit (v >> l) + i
 is set for the i-th value. That is about 2 + l bits for a value. ``select``
 goes through the number of set bits before each 64-bit word.
 """
@@ -12,7 +12,7 @@ import struct
 
 import numpy as np
 
-_HEAD = struct.Struct("<QQQQ")
+_HEAD = struct.Struct("<QQQQQ")
 
 
 def _pack_bits(values: np.ndarray, width: int) -> bytes:
@@ -44,7 +44,8 @@ class EliasFano:
 
     def __init__(self, data):
         buf = np.frombuffer(data, "u1") if not isinstance(data, np.ndarray) else data
-        self.n, self.u, self.low_bits, words = _HEAD.unpack(bytes(buf[:_HEAD.size]))
+        self.n, self.u, self.low_bits, words, base = _HEAD.unpack(bytes(buf[:_HEAD.size]))
+        self.base = np.uint64(base)
         at, packed = _HEAD.size, (self.n * self.low_bits + 7) // 8
         low = packed + 8 + -packed % 8 if packed else 0
         self.low = buf[at:at + low]
@@ -57,22 +58,24 @@ class EliasFano:
         self.zeros = np.arange(words + 1, dtype="i8") * 64 - self.before
 
     @staticmethod
-    def encode(values: np.ndarray, universe: int | None = None) -> bytes:
+    def encode(values: np.ndarray) -> bytes:
         """Values are >= 0 and never fall."""
         v = np.ascontiguousarray(values, "u8")
-        n, u = len(v), int(universe if universe is not None else (int(v[-1]) + 1 if len(v) else 1))
+        n, base = len(v), int(v[0]) if len(v) else 0
+        v = v - np.uint64(base)
+        u = int(v[-1]) + 1 if n else 1
         low = min(56, max(0, (u // n).bit_length() - 1)) if n else 0
         lows = _pack_bits(v & np.uint64((1 << low) - 1), low)
         place = (v >> np.uint64(low)).astype("i8") + np.arange(n)
         words = (int(place[-1]) >> 6) + 1 if n else 0
         high = np.zeros(words * 64, "u1")
         high[place] = 1
-        return _HEAD.pack(n, u, low, words) + lows + np.packbits(high, bitorder="little").tobytes()
+        return _HEAD.pack(n, u, low, words, base) + lows + np.packbits(high, bitorder="little").tobytes()
 
     def select(self, i: np.ndarray) -> np.ndarray:
         """The values at places ``i``."""
         i = np.asarray(i, "i8")
-        return (self._select_bit(i) - i).astype("u8") << np.uint64(self.low_bits) | _read_bits(self.low, i, self.low_bits)
+        return ((self._select_bit(i) - i).astype("u8") << np.uint64(self.low_bits) | _read_bits(self.low, i, self.low_bits)) + self.base
 
     def _in_word(self, word: np.ndarray, k: np.ndarray) -> np.ndarray:
         """The place of the k-th set bit (from 0) of each 64-bit word, by halving."""
@@ -95,8 +98,9 @@ class EliasFano:
         x = np.asarray(x, "u8")
         if not self.n or not len(x):
             return np.full(len(x), -1, "i8")
-        at = np.full(len(x), -1, "i8")
-        todo = np.flatnonzero(x < np.uint64(self.u))
+        at, below = np.full(len(x), -1, "i8"), x < self.base
+        x = x - self.base
+        todo = np.flatnonzero(~below & (x < np.uint64(self.u)))
         high = (x[todo] >> np.uint64(self.low_bits)).astype("i8")
         low = x[todo] & np.uint64((1 << self.low_bits) - 1)
         # values with a lesser high part stand before the high-th zero bit
@@ -133,4 +137,4 @@ class EliasFano:
             return np.zeros(0, "u8")
         ones = np.flatnonzero(np.unpackbits(self.high.view("u1"), bitorder="little"))[:self.n]
         i = np.arange(self.n)
-        return (ones - i).astype("u8") << np.uint64(self.low_bits) | _read_bits(self.low, i, self.low_bits)
+        return ((ones - i).astype("u8") << np.uint64(self.low_bits) | _read_bits(self.low, i, self.low_bits)) + self.base
