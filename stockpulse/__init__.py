@@ -9,7 +9,6 @@ expressions, windows, grouping sets and Spark ML.  Sub-packages:
 * ``operators``  – the stage operators (panel, features, quality, metrics,
                    conformal, calibration, risk, impact, serving, forecast)
 * ``plans``      – end-to-end stage compositions and the query registry
-* ``streaming``  – incremental (micro-batch) scoring of newly landed days
 """
 
 from stockpulse.config import EngineConfig  # noqa: F401

@@ -69,9 +69,16 @@ class PanelConfig:
     n_days: int = 730               # day_index 1..n_days
     train_end: int = 674
     val_end: int = 702
-    # columns of the fixed-width wide table used by the melt operator
+    # day columns of the wide table (the last ones of the window)
     wide_days: int = 28
 
+    @classmethod
+    def spanning(cls, first, last, eval_days: int = 28) -> "PanelConfig":
+        """The window from ``first`` to ``last`` (dates, inclusive): its last
+        ``eval_days`` are the test split, those before them the validation split."""
+        n = (last - first).days + 1
+        return cls(first.isoformat(), n, max(0, n - 2 * eval_days), max(0, n - eval_days), n)
+
 
 @dataclass(frozen=True)
 class FeatureConfig:
@@ -123,7 +130,7 @@ class SimulationConfig:
 
 @dataclass(frozen=True)
 class EngineConfig:
-    panel: PanelConfig = field(default_factory=PanelConfig)
+    panel: PanelConfig | None = None  # None: the whole span of the tables' dates
     features: FeatureConfig = field(default_factory=FeatureConfig)
     uncertainty: UncertaintyConfig = field(default_factory=UncertaintyConfig)
     decision: DecisionConfig = field(default_factory=DecisionConfig)

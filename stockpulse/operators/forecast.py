@@ -141,11 +141,18 @@ def gbt_model(feature_cols: Sequence[str], string_cols: Sequence[str] = (), labe
     return Pipeline(stages=[*assemble(None, feature_cols, string_cols), GBTRegressor(**kw)])
 
 
+def fit_rows(features: DataFrame, pipeline, train_splits=("train",), val_split: str = "val") -> DataFrame:
+    """The rows a pipeline is fitted on: validation rows come in, flagged
+    ``is_val``, only for an estimator that stops early on flagged rows."""
+    last = pipeline.getStages()[-1]
+    early = last.hasParam("validationIndicatorCol") and last.isDefined("validationIndicatorCol")
+    splits = (*train_splits, val_split) if early else train_splits
+    return features.where(F.col("split").isin(*splits)).withColumn("is_val", F.col("split") == val_split)
+
+
 def fit_point_model(features: DataFrame, pipeline, train_splits=("train",), val_split: str = "val"):
     """Fit on train (+ val rows flagged for early stopping)."""
-    use = features.where(F.col("split").isin(*train_splits, val_split))
-    use = use.withColumn("is_val", F.col("split") == val_split)
-    return pipeline.fit(use)
+    return pipeline.fit(fit_rows(features, pipeline, train_splits, val_split))
 
 
 def predict_clipped(model, df: DataFrame) -> DataFrame:

@@ -14,19 +14,14 @@ from stockpulse.config import DEFAULT
 from stockpulse.operators.forecast import Z95
 from stockpulse.sources.testdata import FIXTURE_STATES
 
-PC = DEFAULT.panel
-START = PC.start_date
-N_DAYS = PC.n_days
+# the window: the whole span of the shipments' dates, its last 2 x 28 days the validation and test splits
+START = "(SELECT CAST(min(l_shipdate) AS DATE) FROM lineitem)"
+N_DAYS = "(SELECT CAST(date_diff('day', CAST(min(l_shipdate) AS DATE), CAST(max(l_shipdate) AS DATE)) + 1 AS INTEGER) FROM lineitem)"
 W = "PARTITION BY item_id, store_id ORDER BY day_index"
 ALPHA = DEFAULT.uncertainty.alpha
 LEVELS = DEFAULT.uncertainty.confidence_levels
 
 
-def _end_ts() -> str:
-    import datetime as dt
-    return (dt.date.fromisoformat(START) + dt.timedelta(days=N_DAYS)).isoformat()
-
-
 def r6(e: str, name: str) -> str:
     return f"round(CAST({e} AS DOUBLE), 6) AS {name}"
 
@@ -47,14 +42,13 @@ ship AS (
   SELECT concat_ws('_', p.p_type, CAST(1 + p.p_size % 2 AS VARCHAR),
                    lpad(CAST(1 + p.p_partkey % 2 AS VARCHAR), 3, '0')) AS item_id,
          concat_ws('_', replace(r.r_name, ' ', ''), CAST(1 + s.s_suppkey % 2 AS VARCHAR)) AS store_id,
-         CAST(date_diff('day', DATE '{START}', CAST(l.l_shipdate AS DATE)) + 1 AS INTEGER) AS day_index,
+         CAST(date_diff('day', {START}, CAST(l.l_shipdate AS DATE)) + 1 AS INTEGER) AS day_index,
          l.l_quantity, p.p_retailprice
   FROM lineitem l
   JOIN part p ON l.l_partkey = p.p_partkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN nation n ON s.s_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE l.l_shipdate >= TIMESTAMP '{START} 00:00:00' AND l.l_shipdate < TIMESTAMP '{_end_ts()} 00:00:00'
 ),
 daily AS (
   SELECT item_id, store_id, day_index, CAST(sum(l_quantity) AS INTEGER) AS qty, max(p_retailprice) AS max_price
@@ -65,7 +59,7 @@ prices AS (
   FROM daily GROUP BY 1, 2, 3
 ),
 series AS (SELECT DISTINCT item_id, store_id FROM daily),
-days AS (SELECT CAST(i AS INTEGER) AS day_index FROM range(1, {N_DAYS + 1}) t(i)),
+days AS (SELECT CAST(unnest(range(1, {N_DAYS} + 1)) AS INTEGER) AS day_index),
 cal AS (
   SELECT day_index, 'd_' || CAST(day_index AS VARCHAR) AS d, dt AS date,
     CAST(1 + floor((day_index - 1) / 7.0) AS INTEGER) AS wm_yr_wk,
@@ -80,7 +74,7 @@ cal AS (
     CASE WHEN month(dt) = 1 AND day(dt) = 1 THEN 'Parade' END AS event_name_2,
     CASE WHEN month(dt) = 1 AND day(dt) = 1 THEN 'Cultural' END AS event_type_2,
     {SNAPS}
-  FROM (SELECT day_index, CAST(DATE '{START}' + (day_index - 1) AS DATE) AS dt FROM days) x
+  FROM (SELECT day_index, CAST({START} + (day_index - 1) AS DATE) AS dt FROM days) x
 ),
 sales_long AS (
   SELECT concat_ws('_', s.item_id, s.store_id) AS id, s.item_id,
@@ -134,7 +128,7 @@ feat AS (
     coalesce(avg(CAST(sales AS DOUBLE)) OVER ({W} ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING), 0.0) AS rolling_mean_28,
     coalesce(CASE WHEN count(sales) OVER ({W} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) >= 2 THEN sqrt(CAST(count(sales) OVER ({W} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) * sum(CAST(sales AS BIGINT) * sales) OVER ({W} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) - sum(CAST(sales AS BIGINT)) OVER ({W} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) * sum(CAST(sales AS BIGINT)) OVER ({W} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS DOUBLE) / CAST(count(sales) OVER ({W} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) * (count(sales) OVER ({W} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) - 1) AS DOUBLE)) END, 0.0) AS rolling_std_7,
     coalesce(CASE WHEN count(sales) OVER ({W} ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) >= 2 THEN sqrt(CAST(count(sales) OVER ({W} ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) * sum(CAST(sales AS BIGINT) * sales) OVER ({W} ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) - sum(CAST(sales AS BIGINT)) OVER ({W} ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) * sum(CAST(sales AS BIGINT)) OVER ({W} ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) AS DOUBLE) / CAST(count(sales) OVER ({W} ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) * (count(sales) OVER ({W} ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING) - 1) AS DOUBLE)) END, 0.0) AS rolling_std_28,
-    CASE WHEN day_index <= {PC.train_end} THEN 'train' WHEN day_index <= {PC.val_end} THEN 'val' ELSE 'test' END AS split
+    CASE WHEN day_index <= {N_DAYS} - 56 THEN 'train' WHEN day_index <= {N_DAYS} - 28 THEN 'val' ELSE 'test' END AS split
   FROM f1
 ),
 preds AS (
@@ -347,7 +341,7 @@ ORACLE: dict[str, str] = {}
 
 # ---------------------------------------------------------------- B / C / D
 ORACLE["melt_wide_sales"] = F_ + f"""
-SELECT id, item_id, store_id, d, day_index, sales FROM sales_long WHERE day_index > {N_DAYS - PC.wide_days}"""
+SELECT id, item_id, store_id, d, day_index, sales FROM sales_long"""
 ORACLE["melt_unpivot"] = ORACLE["melt_wide_sales"]
 
 ORACLE["panel_join"] = F_ + f"""

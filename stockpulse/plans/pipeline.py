@@ -3,15 +3,15 @@
 ``Pipeline(spark, sf_dir)`` exposes every stage output as a lazy
 DataFrame: prepare (features) -> forecast (predictions) -> intervals
 (quantile + conformal) -> calibrate (curve, segments) -> triage (risk) ->
-impact.  With ``materialize=True`` the feature table - the wide, shared
-stage boundary - is written once through ``DataFrame.checkpoint()`` into
-the folder the session names in ``spark.checkpoint.dir`` (reliable
-storage: a lost executor does not recompute the panel), and every
-downstream stage reads it back.
+impact.  With ``materialize=True`` the stage tables - the feature table above
+all - are written once as Parquet below the folder the session names in
+``spark.checkpoint.dir`` (reliable storage: a lost executor does not
+recompute the panel), and every downstream stage reads them back.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +33,8 @@ _MATERIALIZED: dict = {}
 class Pipeline:
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: EngineConfig = DEFAULT,
                  materialize: bool = False):
+        if cfg.panel is None:
+            cfg = replace(cfg, panel=TD.whole_window(spark, sf_dir))
         self.spark, self.sf_dir, self.cfg, self.materialize = spark, sf_dir, cfg, materialize
 
     # -------------------------------------------------------- stage 2

@@ -36,9 +36,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
     for k, v in ENGINE_CONF.items():
         b = b.config(k, v)
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        # local runs only: a cluster session already names a shared folder
-        b = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="stockpulse-ckpt-"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -48,10 +45,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def apply_engine_conf(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL confs to an existing session (idempotent)."""
     for k, v in ENGINE_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static or locked conf on a managed cluster
-            pass
     return spark
 
 
@@ -64,10 +59,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="stockpulse-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:
-            pass
+        spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
     return d

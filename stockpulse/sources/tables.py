@@ -94,8 +94,9 @@ def load_m5_tables(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, D
         return load_csv(spark, p, schema, date_columns=dates)
 
     return {
-        "calendar": _read("calendar", CALENDAR_SCHEMA.add("snap_CA", T.IntegerType())
-                          .add("snap_TX", T.IntegerType()).add("snap_WI", T.IntegerType())),
+        # a new schema for each call: StructType.add changes the object it is called on
+        "calendar": _read("calendar", T.StructType([*CALENDAR_SCHEMA.fields, *(
+            T.StructField(f"snap_{s}", T.IntegerType()) for s in ("CA", "TX", "WI"))])),
         "prices": _read("prices", PRICES_SCHEMA),
         "sales": _read("sales"),
     }

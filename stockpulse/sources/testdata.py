@@ -57,6 +57,12 @@ def _ts_bounds(cfg: PanelConfig):
     return lo, hi
 
 
+def whole_window(spark: SparkSession, sf_dir: str) -> PanelConfig:
+    """The window that spans all shipments: two values from the column statistics."""
+    first, last = read_table(spark, sf_dir, "lineitem", ["l_shipdate"]).agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
+    return PanelConfig.spanning(first.date(), last.date()) if first else PanelConfig()
+
+
 def item_id_expr(p_type="p_type", p_size="p_size", p_partkey="p_partkey") -> Column:
     return F.concat_ws(
         "_", F.col(p_type),
@@ -147,12 +153,15 @@ def sales_long(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig(
                maps: DataFrame | None = None) -> DataFrame:
     """Dense long panel: id columns, d, day_index, sales (0 where nothing shipped)."""
     m = maps if maps is not None else series_day_maps(spark, sf_dir, cfg)
-    long = m.select("item_id", "store_id", "day_sales",
-                    F.explode(F.sequence(F.lit(1), F.lit(cfg.n_days))).alias("day_index"))
-    long = long.select(
+    # both sides keep the series partitioning of the day maps; a day row carries
+    # its own keys only, so the work is linear in the number of days
+    grid = m.select("item_id", "store_id", F.explode(F.sequence(F.lit(1), F.lit(cfg.n_days))).alias("day_index"))
+    sold = m.select("item_id", "store_id", F.explode("day_sales").alias("day_index", "v")) \
+        .select("item_id", "store_id", "day_index", F.col("v.qty").alias("qty"))
+    long = grid.join(sold, ["item_id", "store_id", "day_index"], "left").select(
         "item_id", "store_id", "day_index",
         F.concat(F.lit("d_"), F.col("day_index").cast("string")).alias("d"),
-        F.coalesce(F.try_element_at("day_sales", F.col("day_index"))["qty"], F.lit(0)).alias("sales"))
+        F.coalesce("qty", F.lit(0)).alias("sales"))
     return with_hierarchy(long).select("id", "item_id", "dept_id", "cat_id", "store_id", "state_id",
                                        "d", "day_index", "sales")
 

@@ -221,3 +221,30 @@ def test_grouped_quantiles_select_equals_exact(spark):
     b = {r.m: [r.q0, r.q1, r.q2] for r in grouped_quantiles(df, "x", probs, ["m"], mode="select").collect()}
     for k in a:
         assert np.allclose(a[k], b[k], rtol=0, atol=1e-9)
+
+
+def test_glm_is_fitted_on_train_rows_only(spark):
+    from stockpulse.operators import forecast as FC
+    df = spark.createDataFrame([("train", 1.0), ("train", 2.0), ("val", 3.0), ("test", 4.0)], "split string, x double")
+    assert sorted(r["split"] for r in FC.fit_rows(df, FC.tweedie_model(["x"])).collect()) == ["train", "train"]
+    assert sorted((r["split"], r["is_val"]) for r in FC.fit_rows(df, FC.gbt_model(["x"])).collect()) == [("train", False), ("train", False), ("val", True)]
+
+
+def test_whole_window_keeps_all_shipments(spark):
+    from pyspark.sql import functions as F
+    from stockpulse.sources import testdata as TD
+    sf = "/root/testdata/sf0.001"
+    cfg = TD.whole_window(spark, sf)
+    sold = TD.sales_long(spark, sf, cfg).agg(F.sum("sales")).first()[0]
+    assert sold == spark.read.parquet(f"{sf}/lineitem.parquet").agg(F.sum("l_quantity")).first()[0]
+    assert cfg.n_days - cfg.val_end == cfg.val_end - cfg.train_end == 28
+
+
+def test_calendar_schema_is_not_changed_by_reading(spark, tmp_path):
+    from stockpulse.sources import tables as TB
+    n = len(TB.CALENDAR_SCHEMA.fields)
+    for name in ("calendar", "prices", "sales"):
+        (tmp_path / f"{name}.csv").write_text("a\n1\n")
+    for _ in range(2):
+        TB.load_m5_tables(spark, {k: str(tmp_path / f"{k}.csv") for k in ("calendar", "prices", "sales")})
+    assert len(TB.CALENDAR_SCHEMA.fields) == n
