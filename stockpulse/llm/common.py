@@ -51,6 +51,21 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+_held: dict = {}
+
+
+def hold(key, make):
+    """What a Python worker keeps from task to task: one object at a time.
+
+    Workers serve one stage after the other, so a new object (a model or an
+    encoder with its word cache) takes the place of the last stage's.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def with_length(docs: DataFrame) -> DataFrame:
     """``docs`` with n_chars, if there is such a column, set to the text's length in code points."""
     return docs.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else docs

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockpulse.llm.common import fold, free_name
+from stockpulse.llm.common import fold, free_name, hold
 
 FOLDS = 5
 #: Labelled rows of each language that the model is fitted on.
@@ -43,7 +43,7 @@ LEXICON = 20_000
 STEPS, RATE, DECAY = 30, 0.1, 1e-4
 UNKNOWN = "und"
 #: Words in the cache of a worker, and cells of a padded block.
-CACHE, CELLS = 400_000, 1 << 19
+CACHE, CELLS = 300_000, 1 << 18
 
 
 def normal(token: str) -> str:
@@ -275,7 +275,7 @@ def predict(model: Model, spark, text: Column) -> Column:
 
     @F.pandas_udf("lang string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = _loaded(sent, key)
+        own = hold(("langid", key), lambda: pickle.loads(sent.value))
         for texts in batches:
             out, some, size = [], [], 0
             for t in texts:
@@ -290,17 +290,6 @@ def predict(model: Model, spark, text: Column) -> Column:
     return run(text)
 
 
-_models: dict[int, Model] = {}
-
-
-def _loaded(sent, key: int) -> Model:
-    """The worker's copy of the model, kept with its word cache from task to task."""
-    if key not in _models:
-        _models.clear()
-        _models[key] = pickle.loads(sent.value)
-    return _models[key]
-
-
 def identify(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row of ``docs``."""
     model = train(docs, per_lang)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import functools
+import os
 import re
 from collections.abc import Iterable, Iterator
 
@@ -12,10 +12,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockpulse.llm.common import written
+from stockpulse.llm.common import hold, written
 
 #: Entries of an encoder's word cache; beyond it the cache starts anew.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 500_000
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -84,11 +84,10 @@ class Encoder:
         return [self.first[h] + b"".join(g) for h, g in zip(heads, got)]
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str | None) -> Encoder:
-    import os
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return Encoder(path or default_tokenizer())
+    path = path or default_tokenizer()
+    return hold(("encoder", path), lambda: Encoder(path))
 
 
 def slices(texts: pa.Array, limit: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockpulse.llm.common import fold, written
+from stockpulse.llm.common import fold, hold, written
 
 FOLDS = 5
 #: Labelled rows of each label that lexicon and model are learned from (two thirds and one third).
@@ -46,7 +46,7 @@ PER_CLASS = 3000
 TERMS, LEAST_ROWS, LEAST_ODDS = 600, 4, 2.5
 CONTEXT = 6
 #: Words of a worker's cache.
-CACHE = 1_000_000
+CACHE = 600_000
 
 # Marks of quotation and words that report speech.
 QUOTES = "\"“”„«»‹›"
@@ -257,9 +257,6 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, folds:
     return model
 
 
-_models: dict[int, Model] = {}
-
-
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score, predicted, n_matches, n_quoted) of every row of ``docs``."""
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
@@ -267,10 +264,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.pandas_udf("score double, n_matches long, n_quoted long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        if key not in _models:
-            _models.clear()
-            _models[key] = pickle.loads(sent.value)
-        own = _models[key]
+        own = hold(("toxicity", key), lambda: pickle.loads(sent.value))
         for texts in batches:
             texts = list(texts)
             marks = [own.matches(t) for t in texts]
