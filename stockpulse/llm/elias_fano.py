@@ -19,12 +19,16 @@ def _pack_bits(values: np.ndarray, width: int) -> bytes:
     """Values of ``width`` bits each, one after the other, little end first."""
     if not width or not len(values):
         return b""
-    out, shifts = [], np.arange(width, dtype="u8")
-    for at in range(0, len(values), 1 << 15):  # a multiple of 8 values ends on a byte
-        bits = (values[at:at + (1 << 15), None] >> shifts).astype("u1") & 1
-        out.append(np.packbits(bits.ravel(), bitorder="little").tobytes())
-    got = b"".join(out)
-    return got + b"\0" * (8 + -len(got) % 8)
+    n, size = len(values), (len(values) * width + 7) // 8
+    bit = np.arange(n, dtype="i8") * width
+    shift = (bit & 63).astype("u8")
+    # a value is shorter than a word of 64 bits, so one begins in every word
+    first = (np.arange((int(bit[-1]) >> 6) + 1, dtype="i8") * 64 + width - 1) // width
+    out = np.zeros(len(first) + 1, "<u8")
+    out[:-1] = np.bitwise_or.reduceat(values << shift, first)
+    over = np.flatnonzero(shift + np.uint64(width) > 64)
+    out[(bit[over] >> 6) + 1] |= values[over] >> (np.uint64(64) - shift[over])
+    return out.tobytes()[:size].ljust(size + 8 + -size % 8, b"\0")
 
 
 def _read_bits(packed: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
@@ -32,11 +36,8 @@ def _read_bits(packed: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     if not width:
         return np.zeros(len(at), "u8")
     bit = at.astype("i8") * width
-    byte = bit >> 3
-    got = np.zeros(len(at), "u8")
-    for k in range((width + 7) // 8 + 1):
-        got |= packed[byte + k].astype("u8") << np.uint64(8 * k) if k < 8 else np.uint64(0)
-    return (got >> (bit & 7).astype("u8")) & np.uint64((1 << width) - 1)
+    eights = np.ndarray((len(packed) - 7,), "<u8", packed, strides=(1,))
+    return (eights[bit >> 3] >> (bit & 7).astype("u8")) & np.uint64((1 << width) - 1)
 
 
 class EliasFano:
@@ -103,20 +104,24 @@ class EliasFano:
         todo = np.flatnonzero(~below & (x < np.uint64(self.u)))
         high = (x[todo] >> np.uint64(self.low_bits)).astype("i8")
         low = x[todo] & np.uint64((1 << self.low_bits) - 1)
-        # values with a lesser high part stand before the high-th zero bit
-        bit = self._select_zero(high - 1) + 1
-        i = bit - high
-        while len(todo):
-            inside = bit < len(self.high) * 64
-            b = np.where(inside, bit, 0)
-            inside &= (self.high[b >> 6] >> (b & 63).astype("u8")) & np.uint64(1) == 1
-            todo, low, bit, i = todo[inside], low[inside], bit[inside], i[inside]
-            have = _read_bits(self.low, i, self.low_bits)
+        # values with this high part stand between the zero bits before and at it; halve that range by the low bits
+        first = np.flatnonzero(np.diff(high, prepend=-1))  # queries in order: once for a run with the same high part
+        runs, some = np.diff(first, append=len(high)), high[first]
+        i = np.repeat(self._select_zero(some - 1) + 1 - some, runs)
+        end = np.repeat(self._select_zero(some) - some, runs)
+        while True:
+            on = i < end
+            if not on.all():
+                todo, low, i, end = todo[on], low[on], i[on], end[on]
+            if not len(todo):
+                return at
+            mid = (i + end) >> 1
+            have = _read_bits(self.low, mid, self.low_bits)
             same = have == low
-            at[todo[same]] = i[same]
-            on = have < low
-            todo, low, bit, i = todo[on], low[on], bit[on] + 1, i[on] + 1
-        return at
+            at[todo[same]] = mid[same]
+            less = have < low
+            i, end = np.where(less, mid + 1, i), np.where(less | same, end, mid)
+            i = np.where(same, end, i)
 
     def _select_zero(self, k: np.ndarray) -> np.ndarray:
         """Places of the k-th zero bits; -1 for k = -1."""

@@ -36,6 +36,7 @@ import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -49,41 +50,85 @@ FOLDS = 10
 K = 5.0
 #: Tokens that a task counts or looks up at a time.
 ROUND = 4_000_000
-_HASHES = 1_000_000
+#: Bytes of text whose words are hashed at a time.
+_BLOCK = 8_000_000
+#: Bytes of a word that are hashed by steps over all words; a longer one is hashed by itself.
+_LONG = 64
 _U8 = struct.Struct("<QQ")
 _STEP = 1 / 16
 
-
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
 END = xxhash.xxh64_intdigest(b"")
-_hashes = _Hashes()
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], "u8")
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    """A one-to-one mixing of 64-bit integers."""
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(33))
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of ``data`` begin, and a 64-bit hash of each, A-Z as a-z; eight bytes of every word at a step."""
+    data = data.lower()
+    buf = np.frombuffer(data + b" " * 8, "u1")
+    gap = _SPACE[buf[:len(data) + 1]]
+    edges = np.flatnonzero(np.diff(gap, prepend=True))
+    starts, size = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return starts, np.zeros(0, "u8")
+    eights = np.ndarray((len(buf) - 7,), "<u8", buf, strides=(1,))
+    h = _mix(size.astype("u8"))
+    some = np.flatnonzero(size <= _LONG)
+    for at in range(0, _LONG, 8):
+        some = some[size[some] > at] if at else some
+        if not len(some):
+            break
+        h[some] = _mix(h[some] ^ (eights[starts[some] + at] & _MASKS[np.minimum(size[some] - at, 8)]))
+    for k in np.flatnonzero(size > _LONG).tolist():
+        h[k] = xxhash.xxh64_intdigest(data[starts[k]:starts[k] + size[k]])
+    return starts, h
 
 
 def _rounds(batches: Iterable[pa.RecordBatch], texts_at: int, keep=None) -> Iterator[tuple[list[tuple[int, int]], np.ndarray, np.ndarray]]:
     """Runs of documents: (their batch and row), word hashes of all with an end after each, lengths with the end."""
     rows, parts, lengths, size = [], [], [], 0
-    end = np.array([END], "u8")
+    block: list[bytes] = []
+
+    def hashed() -> int:
+        """Hash the documents that wait in ``block``; the tokens they have."""
+        # every text has a line end behind it, which belongs to no word
+        ends = np.cumsum([len(t) + 1 for t in block])
+        starts, h = word_hashes(b"\n".join(block))
+        doc = np.searchsorted(ends, starts, side="right")
+        out = np.full(len(h) + len(block), END, "u8")
+        out[np.arange(len(h)) + doc] = h
+        parts.append(out)
+        lengths.append(np.bincount(doc, minlength=len(block)) + 1)
+        block.clear()
+        return len(out)
+
+    waiting = 0
     for k, b in enumerate(batches):
-        for i, t in enumerate(b.column(texts_at)):
-            words = (t.as_py() or "").encode("utf-8", "surrogatepass").lower().split()
-            if len(_hashes) > _HASHES:
-                _hashes.clear()
-            parts += [np.fromiter(map(_hashes.__getitem__, words), "u8", len(words)), end]
-            lengths.append(len(words) + 1)
+        for i, t in enumerate(b.column(texts_at).cast(pa.binary())):
+            block.append(t.as_py() or b"")
             rows.append((k, i))
             if keep is not None:
                 keep.append(tuple(c[i].as_py() for n, c in enumerate(b.columns) if n != texts_at))
-            size += len(words) + 1
+            waiting += len(block[-1]) + 1
+            if waiting >= _BLOCK:
+                size, waiting = size + hashed(), 0
             if size >= ROUND:
-                yield rows, np.concatenate(parts), np.array(lengths)
-                rows, parts, lengths, size = [], [], [], 0
+                yield rows, np.concatenate(parts), np.concatenate(lengths)
+                rows, size = [], 0
+                parts.clear()
+                lengths.clear()
+    if block:
+        hashed()
     if rows:
-        yield rows, np.concatenate(parts), np.array(lengths)
+        yield rows, np.concatenate(parts), np.concatenate(lengths)
 
 
 def _pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -220,7 +265,8 @@ class Bigrams:
             if s in self.paths:
                 w = np.flatnonzero(shard == s)
                 contexts, follow, probs, low = self._shard(s)
-                c = contexts.find(r1[w])
+                first = np.flatnonzero(np.diff(r1[w], prepend=-1))
+                c = np.repeat(contexts.find(r1[w[first]]), np.diff(first, append=len(w)))
                 w, c = w[c >= 0], c[c >= 0]
                 at = follow.find(c * self.words.V + r2[w])
                 out[w[at >= 0]] = low + _STEP * probs[at[at >= 0]]
@@ -286,26 +332,33 @@ class Model:
 
     def coded(self, stream: np.ndarray):
         """Of a stream of hashes: sorted different hashes' (rank, count, before), and each token's place among them."""
-        u, inv = np.unique(stream, return_inverse=True)
-        return *self.words.find(u), inv
+        codes, u = pd.factorize(stream)
+        order = np.argsort(u)
+        place = np.empty(len(u), "i8")
+        place[order] = np.arange(len(u))
+        return *self.words.find(u[order]), place[codes]
 
     def pairs(self, stream: np.ndarray):
-        """Different bigrams with both words known, in order: shard, rank of each word, and each token's place among them (-1: none), from the second on."""
+        """Bigrams of the stream: key and place of those with both words known, and a function from keys to (shard, rank of each word)."""
         rank, count, before, inv = self.coded(stream)
         a, b = inv[:-1], inv[1:]
         known = np.flatnonzero((rank[a] >= 0) & (rank[b] >= 0))
-        key, back = np.unique(a[known] * len(rank) + b[known], return_inverse=True)
-        u1, u2 = key // len(rank), key % len(rank)
-        place = np.full(len(a), -1, "i8")
-        place[known] = back
-        shard = self.words.bigram_shard(before[u1], count[u1], before[u2]) if len(key) else key
-        return shard, rank[u1], rank[u2], place, (rank, count, inv)
+
+        def places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            u1, u2 = key // len(rank), key % len(rank)
+            shard = self.words.bigram_shard(before[u1], count[u1], before[u2]) if len(key) else key
+            return shard, rank[u1], rank[u2]
+
+        return a[known] * len(rank) + b[known], known, places, (rank, count, inv)
 
     def scores(self, stream: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
         """Per document: known tokens, base score, score. ``stream``: an end, then all documents, each with its end."""
         words = self.words
-        shard, r1, r2, place, (rank, count, inv) = self.pairs(stream)
-        seen = self.bigrams.find(shard, r1, r2)
+        keys, known, places, (rank, count, inv) = self.pairs(stream)
+        keys, back = np.unique(keys, return_inverse=True)
+        place = np.full(len(stream) - 1, -1, "i8")
+        place[known] = back
+        seen = self.bigrams.find(*places(keys))
         c1, c2 = count[inv[:-1]], count[inv[1:]]
         low = np.log10(words.prob(c2)) + np.where(c1 > 0, np.log10(self.k / (c1 + self.k)), 0.0)
         got = np.where(place >= 0, np.append(seen, np.nan)[place], np.nan)
@@ -343,8 +396,11 @@ def train(docs: DataFrame, k: float = K) -> Model:
 
     def count_bigrams(batches):
         for _, h, _ in _rounds(batches, 0):
-            shard, r1, r2, place, _ = model.pairs(_stream(h))
-            counts = np.bincount(place[place >= 0], minlength=len(r1))
+            keys, _, places, _ = model.pairs(_stream(h))
+            keys.sort()
+            first = np.flatnonzero(np.diff(keys, prepend=-1))
+            counts = np.diff(first, append=len(keys))
+            shard, r1, r2 = places(keys[first])
             yield from _records(shard, (r1 * model.words.V + r2).astype("u8"), counts)
 
     def build_bigrams(s: int, keys: np.ndarray, counts: np.ndarray) -> tuple:
