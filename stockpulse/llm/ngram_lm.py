@@ -48,10 +48,10 @@ from stockpulse.llm.elias_fano import EliasFano
 FOLDS = 10
 #: Weight of the lower order, in tokens.
 K = 5.0
-#: Tokens that a task counts or looks up at a time.
-ROUND = 4_000_000
+#: Tokens that a task counts or looks up at a time; bounds a worker's memory, changes no result.
+ROUND = 2_000_000
 #: Bytes of text whose words are hashed at a time.
-_BLOCK = 8_000_000
+_BLOCK = 4_000_000
 #: Bytes of a word that are hashed by steps over all words; a longer one is hashed by itself.
 _LONG = 64
 _U8 = struct.Struct("<QQ")
@@ -211,10 +211,12 @@ class Words:
         self.tokens = np.concatenate([[0], np.cumsum([by[s][3] if s in by else 0 for s in range(shards)])]).astype("i8")
         self.V, self.N, self.once = int(self.base[-1]), int(self.tokens[-1]), sum(m[4] for m in manifest)
         self.unknown = min(0.5, max(self.once, 0.1) / self.N) if self.N else 1.0
+        self.opened: dict[int, tuple[EliasFano, EliasFano]] = {}
 
-    @functools.cache
     def _shard(self, s: int) -> tuple[EliasFano, EliasFano]:
-        return tuple(map(EliasFano, _lists(self.paths[s], 2)))
+        if s not in self.opened:
+            self.opened[s] = tuple(map(EliasFano, _lists(self.paths[s], 2)))
+        return self.opened[s]
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of sorted hashes: rank (-1: unknown), count, tokens before."""
@@ -252,8 +254,8 @@ class Bigrams:
     def __init__(self, words: Words, manifest: list[tuple[int, str]]):
         self.words, self.paths = words, dict(manifest)
 
-    @functools.cache
-    def _shard(self, s: int):
+    def _shard(self, s: int) -> tuple[EliasFano, EliasFano, np.ndarray, float]:
+        """Opened for one search; only the file's pages stay in the system's cache."""
         contexts, follow, probs = _lists(self.paths[s], 3)
         low, = struct.unpack("<d", bytes(probs[:8]))
         return EliasFano(contexts), EliasFano(follow), probs[8:], low
