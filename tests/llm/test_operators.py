@@ -528,3 +528,16 @@ def test_fm_index_on_repeats():
         w = p[p > 0]
         want = [k for k in range(len(seq) - len(w) + 1) if (seq[k:k + len(w)] == w).all()]
         assert sorted(index.locate(np.arange(a, max(a, z))).tolist()) == want
+
+
+def test_word_hashes():
+    """Every separator, words around the step and block lengths, and many words with one high part."""
+    import re
+    data = ("Abc abc  ABC x\x0b\n\x1c " + " ".join("q" * n for n in (7, 8, 9, 16, 63, 64, 65, 200)) + " " + "Q" * 200 + " é日本 abcdefgh abcdefghi").encode()
+    starts, h = ngram_lm.word_hashes(data)
+    want = [(m.start(), m.group()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", data.lower())]
+    assert starts.tolist() == [at for at, _ in want]
+    assert len(set(h.tolist())) == len({w for _, w in want}) == len(set(zip(h.tolist(), (w for _, w in want))))
+    assert all(len(x) == 0 for text in (b"", b" \n") for x in ngram_lm.word_hashes(text))
+    dense = EliasFano(EliasFano.encode(np.append(np.arange(0, 9000, 3), 1 << 40)))
+    assert dense.find(np.arange(9000)).tolist() == [k // 3 if k % 3 == 0 else -1 for k in range(9000)]
