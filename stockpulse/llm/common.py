@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,10 +60,13 @@ def hold(key, make):
     """What a Python worker keeps from task to task: one object at a time.
 
     Workers serve one stage after the other, so a new object (a model or an
-    encoder with its word cache) takes the place of the last stage's.
+    encoder with its word cache) takes the place of the last stage's, and
+    the memory of that one goes back to the machine.
     """
     if key not in _held:
         _held.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _held[key] = make()
     return _held[key]
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stockpulse.llm.common import hold, written
 
 #: Entries of an encoder's word cache; beyond it the cache starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -90,7 +90,7 @@ def encoder(path: str | None) -> Encoder:
     return hold(("encoder", path), lambda: Encoder(path))
 
 
-def slices(texts: pa.Array, limit: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
+def slices(texts: pa.Array, limit: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
     """Cut a column of texts (null: empty) into runs of about ``limit`` characters: (first row, texts)."""
     at, size, run = 0, 0, []
     for i, t in enumerate(texts):
@@ -116,6 +116,7 @@ def token_batches(batches: Iterable[pa.RecordBatch], end_id: int, tokenizer: str
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).slice(at, len(texts)), pa.array(np.full(len(n), part, "int32")), pa.array(before), pa.array(n), pa.array(ids, pa.binary())],
                 ["doc_id", "part", "local_start", "n_tokens", "ids"])
+        pa.default_memory_pool().release_unused()
 
 
 def token_table(docs: DataFrame, end_id: int, tokenizer: str | None = None) -> DataFrame:
