@@ -104,7 +104,7 @@ class UncertaintyConfig:
     # "exact"  -> percentile (value->count map merged in one task);
     # "select" -> exact distributed selection (bounded memory, a few passes);
     # "approx" -> percentile_approx
-    quantile_mode: str = "auto"
+    quantile_mode: str = "select"
     approx_accuracy: int = 100_000
 
 

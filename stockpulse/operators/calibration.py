@@ -37,7 +37,7 @@ def level_metrics(alpha_col: str = "alpha") -> list:
 
 
 def conformal_level_intervals(test: DataFrame, cal: DataFrame, levels: Sequence[float],
-                              n_cal: int | None = None, mode: str = "auto") -> DataFrame:
+                              n_cal: int | None = None, mode: str = "select") -> DataFrame:
     """Stage-5 conformal intervals for every level ('higher' quantile, both
     bounds clipped at 0): test rows x levels via ``inline`` (levels are a
     config list, so the fan-out is bounded)."""
@@ -56,7 +56,7 @@ def conformal_level_intervals(test: DataFrame, cal: DataFrame, levels: Sequence[
 
 def calibration_curve(test: DataFrame, cal: DataFrame, levels: Sequence[float],
                       quantile_test: DataFrame | None = None, native_level: float = 0.9,
-                      n_cal: int | None = None, mode: str = "auto") -> DataFrame:
+                      n_cal: int | None = None, mode: str = "select") -> DataFrame:
     """J1 + J2: one row per (method, level).
 
     Conformal at every level, plus the quantile method at its native level
@@ -77,7 +77,7 @@ def calibration_curve(test: DataFrame, cal: DataFrame, levels: Sequence[float],
 
 def methods_at_level(test: DataFrame, cal: DataFrame, quantile_test: DataFrame, level: float = 0.9,
                      extra: Sequence[str] = ("rolling_std_28",), n_cal: int | None = None,
-                     mode: str = "auto") -> DataFrame:
+                     mode: str = "select") -> DataFrame:
     """Long table (Method, keys, actual, lower, upper, extras) of both
     methods at one level (the frame the J3/J5 analyses group)."""
     keys = ["item_id", "store_id", "day_index"]
@@ -88,7 +88,7 @@ def methods_at_level(test: DataFrame, cal: DataFrame, quantile_test: DataFrame,
 
 
 def volatility_regimes(long: DataFrame, feature: str = "rolling_std_28", pct: float = 0.75,
-                       mode: str = "auto") -> DataFrame:
+                       mode: str = "select") -> DataFrame:
     """cutoff = pct-quantile of the volatility feature over the frame;
     >= cutoff -> 'High Volatility' else 'Normal'; per method x regime."""
     cut = global_quantiles(long, feature, [pct], mode=mode).select("q0").scalar()

@@ -45,7 +45,7 @@ def higher_rank(n: int, level: float) -> int:
 # ------------------------------------------------------------------ H3-H5
 def calibrate(cal: DataFrame, alpha: float = 0.1, correction: bool = True,
               actual="actual", point="point", n: int | None = None,
-              mode: str = "auto") -> DataFrame:
+              mode: str = "select") -> DataFrame:
     """H3-H5: one-row threshold table.
 
     Columns: n_calibration, alpha, level_sym, level_lo, level_hi,
@@ -57,8 +57,8 @@ def calibrate(cal: DataFrame, alpha: float = 0.1, correction: bool = True,
         raise ValueError("empty calibration split")
     lvl = corrected_level(n, alpha) if correction else 1 - alpha
     lo, hi = asymmetric_levels(n, alpha, correction)
-    qs = global_quantiles(sc, "abs_score", [lvl], mode=mode, n=n)
-    qa = global_quantiles(sc, "signed_score", [lo, hi], mode=mode, n=n)
+    qs = global_quantiles(sc, "abs_score", [lvl], mode=mode)
+    qa = global_quantiles(sc, "signed_score", [lo, hi], mode=mode)
     return qs.select(
         F.lit(n).cast("long").alias("n_calibration"), F.lit(alpha).alias("alpha"),
         F.lit(lvl).alias("level_sym"), F.lit(lo).alias("level_lo"), F.lit(hi).alias("level_hi"),
@@ -69,7 +69,7 @@ def calibrate(cal: DataFrame, alpha: float = 0.1, correction: bool = True,
 
 def thresholds_for_alphas(cal: DataFrame, alphas: Sequence[float], method: str = "linear",
                           actual="actual", point="point", n: int | None = None,
-                          mode: str = "auto") -> DataFrame:
+                          mode: str = "select") -> DataFrame:
     """Q-hat for many alphas from the kept scores, one pass.
 
     ``method='linear'`` is the Stage-4 threshold (linear interpolation);
@@ -80,10 +80,10 @@ def thresholds_for_alphas(cal: DataFrame, alphas: Sequence[float], method: str =
     levels = [corrected_level(n, a) for a in alphas]
     if method == "higher":
         probs = [(higher_rank(n, lv) + 0.5) / n for lv in levels]
-        dmode = {"exact": "disc", "auto": "disc_auto", "select": "select_disc"}.get(mode, mode)
-        q = global_quantiles(sc, "abs_score", probs, mode=dmode, n=n)
+        dmode = {"exact": "disc", "select": "select_disc"}.get(mode, mode)
+        q = global_quantiles(sc, "abs_score", probs, mode=dmode)
     else:
-        q = global_quantiles(sc, "abs_score", levels, mode=mode, n=n)
+        q = global_quantiles(sc, "abs_score", levels, mode=mode)
     rows = [F.struct(F.lit(float(a)).alias("alpha"), F.lit(float(lv)).alias("level"),
                      F.col(f"q{i}").alias("q_hat"))
             for i, (a, lv) in enumerate(zip(alphas, levels))]
@@ -127,8 +127,7 @@ def calibration_summary(cal: DataFrame, thresholds: DataFrame, actual="actual",
     sc = conformity_scores(cal, actual, point)
     s = F.col("abs_score")
     from stockpulse.operators.quantiles import quantile_columns
-    n = thresholds.select("n_calibration").first()[0]
-    qc = quantile_columns(sc, "abs_score", [0.25, 0.5, 0.75], ["score_p25", "score_median", "score_p75"], n=n)
+    qc = quantile_columns(sc, "abs_score", [0.25, 0.5, 0.75], ["score_p25", "score_median", "score_p75"])
     stats = sc.agg(F.min(s).alias("score_min"), F.max(s).alias("score_max"), F.avg(s).alias("score_mean"),
                    F.stddev_pop(s).alias("score_std")).select(
         "score_min", *qc, "score_max", "score_mean", "score_std")

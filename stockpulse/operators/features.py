@@ -128,9 +128,10 @@ def exact_std(x: Column, frame) -> Column:
     value (no streaming-update drift; identical across engines).  NULL for
     fewer than two rows, like ``stddev_samp``."""
     xl = x.cast("long")
+    xd = xl.cast("decimal(19,0)")   # squares and their sums go beyond a long
     n = F.count(xl).over(frame)
-    s1 = F.sum(xl).over(frame)
-    s2 = F.sum(xl * xl).over(frame)
+    s1 = F.sum(xl).over(frame).cast("decimal(19,0)")
+    s2 = F.sum(xd * xd).over(frame)
     num = (n * s2 - s1 * s1).cast("double")
     return F.when(n >= 2, F.sqrt(num / (n * (n - 1)).cast("double")))
 

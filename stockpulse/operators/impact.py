@@ -102,7 +102,7 @@ def policy_kpis_long(kpis: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 # ------------------------------------------------------------------ L6/L7
-def scenario_frame(df: DataFrame, pct: float = 0.75, mode: str = "auto") -> DataFrame:
+def scenario_frame(df: DataFrame, pct: float = 0.75, mode: str = "select") -> DataFrame:
     """Overlapping scenarios - a row can be both Holiday_Event and
     High_Volatility (so scenario counts do not add up to the row count)."""
     cut = global_quantiles(df, "rolling_std_28", [pct], mode=mode).select("q0").scalar()
@@ -116,7 +116,7 @@ def scenario_frame(df: DataFrame, pct: float = 0.75, mode: str = "auto") -> Data
     return df.withColumn("scenario", F.explode(tags)).where(F.col("scenario").isNotNull())
 
 
-def scenario_kpis(df: DataFrame, pct: float = 0.75, mode: str = "auto") -> DataFrame:
+def scenario_kpis(df: DataFrame, pct: float = 0.75, mode: str = "select") -> DataFrame:
     """KPI report per non-empty scenario (+ Count)."""
     return policy_kpis(scenario_frame(df, pct, mode), ["scenario"])
 

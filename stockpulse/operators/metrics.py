@@ -180,30 +180,11 @@ def score_ecdf(df: DataFrame, value: str, by: Sequence[str] = ("method",), parti
     """Empirical CDF per group - one row per distinct (group, value)
     with ecdf = #rows <= value / #rows in the group (= ``cume_dist``).
 
-    Distributed prefix sum, no task sees a whole group:
-    1. count rows per distinct value (partial aggregation);
-    2. range-partition the distinct values by (group, value) and take the
-       running count inside each range partition;
-    3. add, per partition, the counts of all earlier partitions of the same
-       group - taken from a partitions x groups totals table whose size is
-       bounded by the shuffle-partition count, so it is broadcast."""
-    from pyspark.sql import Window
-    by = list(by)
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
-    ranged = counts.repartitionByRange(n_parts, *by, value).withColumn("_pid", F.spark_partition_id())
-    local = ranged.withColumn(
-        "_cum", F.sum("_c").over(Window.partitionBy("_pid", *by).orderBy(value)
-                                 .rowsBetween(Window.unboundedPreceding, 0)))
-    totals = ranged.groupBy("_pid", *by).agg(F.sum("_c").alias("_t"))
-    wt = Window.partitionBy(*by).orderBy("_pid")
-    offsets = totals.select("_pid", *by,
-                            F.coalesce(F.sum("_t").over(wt.rowsBetween(Window.unboundedPreceding, -1)),
-                                       F.lit(0)).alias("_off"),
-                            F.sum("_t").over(Window.partitionBy(*by)).alias("_n"))
-    out = local.join(F.broadcast(offsets), ["_pid", *by])
-    return out.select(*by, F.col(value), ((F.col("_off") + F.col("_cum")) / F.col("_n")).alias("ecdf"))
+    A distributed prefix sum over the counted values
+    (``quantiles.running_counts``); no task sees a whole group."""
+    from stockpulse.operators.quantiles import running_counts
+    counted = running_counts(df, value, by, partitions)
+    return counted.select(*by, F.col(value), (F.col("_cum") / F.col("_n")).alias("ecdf"))
 
 
 def quantile_grid(df: DataFrame, value: str, by: Sequence[str] = ("method",), points: int = 100) -> DataFrame:

@@ -1,206 +1,121 @@
-"""Global quantiles of one column (used by H3/H4, H11, J3, K4, L6).
+"""Quantiles of one column, over all rows or per group (used by E5-E7, H3/H4,
+H10, H11, I8, I11, J3, K4, L6).
 
 Modes
 -----
-``exact``   ``percentile`` (linear interpolation, NumPy default).  Keeps a
-            value -> count map per partition; fine while the number of
-            *distinct* values is moderate.
-``disc``    ``percentile_disc`` (exact order statistic).
-``approx``  ``percentile_approx`` (bounded memory, rank error 1/accuracy).
-``select``  exact distributed selection: each pass is one aggregate that
-            builds a fixed-size histogram (with per-bucket min/max) of the
-            still-open bracket, so the driver only ever sees ``bins`` rows
-            per requested rank and no task holds more than one bucket map.
-            Repeats until the bracket holds at most ``max_candidates``
-            distinct values, which are then counted exactly.  Same result
-            as ``exact`` (Spark's interpolation formula), any data size.
+``select``       the default at every size: values are counted, the distinct
+                 values dealt to ranges and counted up by a prefix sum, and
+                 the values at the wanted ranks picked out. Exact, with
+                 Spark's (and NumPy's) linear interpolation; no task holds
+                 more than one range of values, and nothing comes to the
+                 driver however many groups there are.
+``select_disc``  the same for order statistics (``percentile_disc``).
+``exact``, ``disc``, ``approx``  Spark's own aggregates, on request only.
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockpulse.session import ensure_checkpoint_dir
+
+
+def running_counts(df: DataFrame, col: str, by: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
+    """(by..., col, _c, _cum, _n) of each distinct value that is not null: its
+    rows, the rows up to it and the rows of its group.
+
+    Rows are counted per value (combined on the map side), and the distinct
+    values are dealt to ranges of (group, value). That table is written to
+    the session's folder, so the range ids are fixed from then on. The totals
+    of the ranges give each range its offset in the group. Runs a job."""
+    by, spark = list(by), df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_c"))
+    ranged = counts.repartitionByRange(n_parts, *by, col).withColumn("_pid", F.spark_partition_id())
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stockpulse/counts-{uuid.uuid4().hex}"
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+    local = ranged.withColumn("_upto", F.sum("_c").over(
+        Window.partitionBy("_pid", *by).orderBy(col).rowsBetween(Window.unboundedPreceding, 0)))
+    totals = ranged.groupBy("_pid", *by).agg(F.sum("_c").alias("_t"))
+    group = Window.partitionBy(*by)   # as many rows as ranges
+    before = F.sum("_t").over(group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.select(F.col("_pid").alias("_p"), *[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)],
+                            F.coalesce(before, F.lit(0)).alias("_off"), F.sum("_t").over(group).alias("_n"))
+    on = F.col("_pid") == F.col("_p")
+    for i, c in enumerate(by):
+        on = on & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    return local.join(offsets, on).select(*by, col, "_c", (F.col("_off") + F.col("_upto")).alias("_cum"), "_n")
+
+
+def _selected(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str], discrete: bool,
+              partitions: int | None = None) -> DataFrame:
+    """Quantiles by rank: (by..., q0..qk). A group without values has no row;
+    without ``by`` there is always one row."""
+    value = F.col(col).cast("double").alias("_v")
+    counted = running_counts(df.select(*by, value), "_v", by, partitions)
+    grid, n = F.lit(list(probs)), F.col("_n")
+
+    def rank(p, up: bool):
+        if discrete:
+            return F.greatest(F.ceil(n * p), F.lit(1)) - 1
+        return F.ceil((n - 1) * p) if up else F.floor((n - 1) * p)
+
+    def found(i, up: bool):
+        return F.try_element_at("_m", 2 * i + int(up))
+
+    def between(p, i):
+        x, lo, hi = (n - 1) * p, found(i, False), found(i, True)
+        return F.when(lo == hi, lo).otherwise((F.ceil(x) - x) * lo + (x - F.floor(x)) * hi)
+
+    def wanted(up: bool):
+        return F.transform(grid, lambda p, i: F.struct((2 * i + int(up)).alias("i"), rank(p, up).cast("long").alias("r")))
+
+    # the wanted ranks that fall on this value: each rank is on one value of its group
+    here = F.filter(F.concat(wanted(False), wanted(True)), lambda x: (x["r"] >= F.col("_cum") - F.col("_c")) & (x["r"] < F.col("_cum")))
+    hits = counted.select(*by, "_v", "_n", F.explode(here).alias("_h"))
+    at = hits.groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("_h.i"), F.col("_v")))).alias("_m"), F.max("_n").alias("_n"))
+    at = at.select(*by, F.transform(grid, (lambda p, i: found(i, False)) if discrete else between).alias("_q"))
+    return at.select(*by, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
 
-AUTO_SELECT_ROWS = 5_000_000
 
-
-def global_quantiles(df: DataFrame, col: str, probs: Sequence[float], mode: str = "auto",
-                     accuracy: int = 100_000, n: int | None = None) -> DataFrame:
-    """One-row DataFrame with columns q0..q{k-1} for the requested probs.
-
-    ``auto`` = ``exact`` up to ``AUTO_SELECT_ROWS`` input rows and the exact
-    distributed selection above (same values, bounded memory)."""
+def grouped_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str],
+                      mode: str = "select", accuracy: int = 100_000) -> DataFrame:
+    """Quantiles per group: (by..., q0..qk). In ``select`` mode a group without values has no row.
+    Any number of groups."""
+    by, probs = list(by), [float(p) for p in probs]
     v = F.col(col).cast("double")
-    probs = [float(p) for p in probs]
-    if mode == "auto":
-        n = n if n is not None else df.count()
-        mode = "select" if n > AUTO_SELECT_ROWS else "exact"
+    if mode in ("select", "select_disc"):
+        return _selected(df, col, probs, by, mode == "select_disc")
     if mode == "exact":
-        a = df.agg(F.percentile(v, probs).alias("_q"))
+        a = df.groupBy(*by).agg(F.percentile(v, probs).alias("_q"))
     elif mode == "approx":
-        a = df.agg(F.percentile_approx(v, probs, accuracy).alias("_q"))
-    elif mode == "disc_auto":
-        n = n if n is not None else df.count()
-        return global_quantiles(df, col, probs, "disc" if n <= AUTO_SELECT_ROWS else "select_disc", accuracy, n)
-    elif mode == "select_disc":
-        # exact order statistics: prob p picks 1-based rank ceil(n p)
-        n = n if n is not None else df.count()
-        base = df.select(v.alias("v")).where(F.col("v").isNotNull())
-        st = base.agg(F.min("v").alias("mn"), F.max("v").alias("mx")).first()
-        ranks = [max(min(int(__import__("math").ceil(n * p)) - 1, n - 1), 0) for p in probs]
-        vals = order_statistics(base, sorted(set(ranks)), n, st["mn"], st["mx"], 4096, 100_000, 32)
-        spark = df.sparkSession
-        return spark.createDataFrame([tuple(vals[r] for r in ranks)],
-                                     ", ".join(f"q{i} double" for i in range(len(probs))))
+        a = df.groupBy(*by).agg(F.percentile_approx(v, probs, accuracy).alias("_q"))
     elif mode == "disc":
-        exprs = [F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY CAST(`{col}` AS DOUBLE))")
-                 for p in probs]
-        a = df.agg(F.array(*exprs).alias("_q"))
-    elif mode == "select":
-        vals = select_quantiles(df, col, probs)
-        spark = df.sparkSession
-        return spark.createDataFrame([tuple(vals)], ", ".join(f"q{i} double" for i in range(len(probs))))
+        a = df.groupBy(*by).agg(F.array(*[
+            F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY CAST(`{col}` AS DOUBLE))") for p in probs]).alias("_q"))
     else:
         raise ValueError(mode)
-    return a.select(*[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
+    return a.select(*by, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
 
 
-def select_quantiles(df: DataFrame, col: str, probs: Sequence[float], bins: int = 4096,
-                     max_candidates: int = 100_000, max_passes: int = 32) -> list[float]:
-    """Exact linear-interpolated quantiles by distributed selection."""
-    v = F.col(col).cast("double")
-    base = df.select(v.alias("v")).where(F.col("v").isNotNull())
-    stats = base.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).first()
-    n, mn, mx = stats["n"], stats["mn"], stats["mx"]
-    if n == 0:
-        return [None] * len(probs)
-    positions = [(n - 1) * p for p in probs]
-    ranks = sorted({int(math.floor(x)) for x in positions} | {int(math.ceil(x)) for x in positions})
-    values = order_statistics(base, ranks, n, mn, mx, bins, max_candidates, max_passes)
-    out = []
-    for x in positions:
-        lo, hi = int(math.floor(x)), int(math.ceil(x))
-        if lo == hi:
-            out.append(values[lo])
-        else:
-            out.append((hi - x) * values[lo] + (x - lo) * values[hi])
-    return out
-
-
-def order_statistics(base: DataFrame, ranks: Sequence[int], n: int, mn: float, mx: float,
-                     bins: int, max_candidates: int, max_passes: int) -> dict[int, float]:
-    """0-based order statistics of column ``v`` of ``base``."""
-    # bracket per rank: [lo, hi] (data values), below = #values < lo, cnt in bracket
-    state = {r: (mn, mx, 0, n) for r in ranks}
-    done: dict[int, float] = {}
-    for _ in range(max_passes):
-        open_ = {r: s for r, s in state.items() if r not in done}
-        for r, (lo, hi, _, _) in list(open_.items()):
-            if lo == hi:
-                done[r] = lo
-                del open_[r]
-        if not open_:
-            break
-        small = {r: s for r, s in open_.items() if s[3] <= max_candidates}
-        big = {r: s for r, s in open_.items() if s[3] > max_candidates}
-        if small:
-            lo = min(s[0] for s in small.values())
-            hi = max(s[1] for s in small.values())
-            # distinct values with counts inside the union of small brackets
-            # (each bracket is bounded, so this is bounded)
-            conds = None
-            for (l, h, _, _) in small.values():
-                c = (F.col("v") >= l) & (F.col("v") <= h)
-                conds = c if conds is None else (conds | c)
-            rows = base.where(conds).groupBy("v").count().collect()
-            rows.sort(key=lambda r: r["v"])
-            for r, (l, h, below, _) in small.items():
-                k = r - below
-                for row in rows:
-                    if row["v"] < l or row["v"] > h:
-                        continue
-                    if k < row["count"]:
-                        done[r] = row["v"]
-                        break
-                    k -= row["count"]
-            del lo, hi
-        if big:
-            items = list(big.items())
-            cols = []
-            for i, (r, (l, h, _, _)) in enumerate(items):
-                w = (h - l) / bins
-                b = F.least(F.floor((F.col("v") - l) / F.lit(w)), F.lit(bins - 1)).cast("int")
-                cols.append(F.when((F.col("v") >= l) & (F.col("v") <= h),
-                                   F.struct(F.lit(i).alias("i"), b.alias("b"))))
-            hist = (base.select("v", F.explode(F.filter(F.array(*cols), lambda x: x.isNotNull())).alias("k"))
-                        .groupBy("k.i", "k.b")
-                        .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("bmin"), F.max("v").alias("bmax"))
-                        .collect())
-            per = {}
-            for row in hist:
-                per.setdefault(row["i"], []).append((row["b"], row["c"], row["bmin"], row["bmax"]))
-            for i, (r, (l, h, below, cnt)) in enumerate(items):
-                k = r - below
-                acc = 0
-                for (b, c, bmin, bmax) in sorted(per.get(i, [])):
-                    if k < acc + c:
-                        state[r] = (bmin, bmax, below + acc, c)
-                        break
-                    acc += c
-    missing = [r for r in ranks if r not in done]
-    if missing:
-        raise RuntimeError(f"selection did not converge for ranks {missing}")
-    return done
-
-
-def quantile_columns(df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str],
-                     mode: str = "auto", n: int | None = None):
-    """Global quantiles as scalar-subquery columns named ``names`` (exact;
-    distributed selection above ``AUTO_SELECT_ROWS`` rows)."""
-    q = global_quantiles(df, col, probs, mode=mode, n=n)
-    return [q.select(f"q{i}").scalar().alias(nm) for i, nm in enumerate(names)]
+def global_quantiles(df: DataFrame, col: str, probs: Sequence[float], mode: str = "select",
+                     accuracy: int = 100_000) -> DataFrame:
+    """One-row DataFrame with columns q0..q{k-1} for the requested probs."""
+    return grouped_quantiles(df, col, probs, [], mode, accuracy)
 
 
-def grouped_quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str],
-                      mode: str = "auto", max_groups: int = 64) -> DataFrame:
-    """Quantiles per group: (by..., q0..qk).
-
-    ``auto``: the exact ``percentile`` aggregate while the input is at most
-    ``AUTO_SELECT_ROWS`` rows; above, each group (at most ``max_groups``,
-    e.g. forecasting methods) is solved by the exact distributed selection
-    so no task merges a whole group's value map; beyond ``max_groups``
-    groups, ``percentile_approx``."""
-    v = F.col(col).cast("double")
-    probs = [float(p) for p in probs]
-    if mode == "auto":
-        n = df.count()
-        if n <= AUTO_SELECT_ROWS:
-            mode = "exact"
-        else:
-            keys = df.select(*by).distinct().limit(max_groups + 1).collect()
-            mode = "select" if len(keys) <= max_groups else "approx"
-    if mode == "exact":
-        a = df.groupBy(*by).agg(F.percentile(v, probs).alias("_q"))
-    elif mode == "approx":
-        a = df.groupBy(*by).agg(F.percentile_approx(v, probs, 100_000).alias("_q"))
-    elif mode == "select":
-        keys = df.select(*by).distinct().collect()
-        rows = []
-        for k in keys:
-            cond = None
-            for c in by:
-                e = F.col(c).eqNullSafe(k[c])
-                cond = e if cond is None else (cond & e)
-            vals = select_quantiles(df.where(cond), col, probs)
-            rows.append((*[k[c] for c in by], *vals))
-        schema = df.select(*by).schema
-        for i in range(len(probs)):
-            schema = schema.add(f"q{i}", "double")
-        return df.sparkSession.createDataFrame(rows, schema)
-    else:
-        raise ValueError(mode)
-    return a.select(*by, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
+def select_quantiles(df: DataFrame, col: str, probs: Sequence[float], partitions: int | None = None) -> list[float]:
+    """The linearly interpolated quantiles as numbers."""
+    return list(_selected(df, col, [float(p) for p in probs], [], False, partitions).first())
+
+
+def quantile_columns(df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str], mode: str = "select"):
+    """Global quantiles as scalar-subquery columns named ``names``."""
+    q = global_quantiles(df, col, probs, mode=mode)
+    return [q.select(f"q{i}").scalar().alias(nm) for i, nm in enumerate(names)]

@@ -74,13 +74,13 @@ def risk_scores(test: DataFrame, segments: DataFrame, cfg: DecisionConfig = Deci
     return df.withColumn("Risk_Score", round_half_even(score, 2))
 
 
-def risk_bounds(scored: DataFrame, cfg: DecisionConfig = DecisionConfig(), mode: str = "auto") -> DataFrame:
+def risk_bounds(scored: DataFrame, cfg: DecisionConfig = DecisionConfig(), mode: str = "select") -> DataFrame:
     """K4/K5: absolute score boundaries at the configured percentiles."""
     q = global_quantiles(scored, "Risk_Score", [cfg.low_max_pct, cfg.medium_max_pct], mode=mode)
     return q.select(F.col("q0").alias("low_threshold"), F.col("q1").alias("medium_threshold"))
 
 
-def risk_levels(scored: DataFrame, cfg: DecisionConfig = DecisionConfig(), mode: str = "auto") -> DataFrame:
+def risk_levels(scored: DataFrame, cfg: DecisionConfig = DecisionConfig(), mode: str = "select") -> DataFrame:
     """K4: <= low -> Low, <= medium -> Medium, else High."""
     b = risk_bounds(scored, cfg, mode)
     lo, md = b.select("low_threshold").scalar(), b.select("medium_threshold").scalar()
@@ -88,7 +88,7 @@ def risk_levels(scored: DataFrame, cfg: DecisionConfig = DecisionConfig(), mode:
     return scored.withColumn("Risk_Level", F.when(s <= lo, "Low").when(s <= md, "Medium").otherwise("High"))
 
 
-def level_counts(leveled: DataFrame, cfg: DecisionConfig = DecisionConfig(), mode: str = "auto") -> DataFrame:
+def level_counts(leveled: DataFrame, cfg: DecisionConfig = DecisionConfig(), mode: str = "select") -> DataFrame:
     """K5: count per level with the boundaries and weights alongside."""
     b = risk_bounds(leveled, cfg, mode)
     w = cfg.weights

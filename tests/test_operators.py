@@ -114,8 +114,8 @@ def test_select_quantiles_exact(spark):
     vals = np.concatenate([np.zeros(3000), rng.exponential(2.0, 5000), rng.normal(50, 1, 200)])
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     probs = [0.05, 0.5, 0.6, 0.85, 0.9, 0.999]
-    got = select_quantiles(df, "x", probs, bins=16, max_candidates=50)
-    ref = global_quantiles(df, "x", probs).first()
+    got = select_quantiles(df, "x", probs, partitions=7)
+    ref = global_quantiles(df, "x", probs, mode="exact").first()
     assert np.allclose(got, [ref[f"q{i}"] for i in range(len(probs))], rtol=0, atol=1e-9)
     assert np.allclose(got, np.quantile(vals, probs), atol=1e-9)
 
@@ -175,7 +175,7 @@ def test_discrete_selection_matches_percentile_disc(spark):
     n = len(vals)
     probs = [(r + 0.5) / n for r in (0, 17, 499, 500, 1234, n - 1)]
     a = global_quantiles(df, "x", probs, mode="disc").first()
-    b = global_quantiles(df, "x", probs, mode="select_disc", n=n).first()
+    b = global_quantiles(df, "x", probs, mode="select_disc").first()
     s = np.sort(vals)
     for i, r in enumerate((0, 17, 499, 500, 1234, n - 1)):
         assert a[f"q{i}"] == s[r] == b[f"q{i}"]
@@ -248,3 +248,31 @@ def test_calendar_schema_is_not_changed_by_reading(spark, tmp_path):
     for _ in range(2):
         TB.load_m5_tables(spark, {k: str(tmp_path / f"{k}.csv") for k in ("calendar", "prices", "sales")})
     assert len(TB.CALENDAR_SCHEMA.fields) == n
+
+
+def test_quantiles_of_many_groups_equal_exact(spark):
+    from stockpulse.operators.quantiles import grouped_quantiles
+    rng = np.random.default_rng(17)
+    rows = [(None if g == 7 else g, float(v)) for g in range(240) for v in np.round(rng.gamma(1.5, 2.0, 20 + g % 5), 2)]
+    rows += [(3, 1.0)] * 2000 + [(5, None)] * 9 + [(500, None)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    probs = [i / 10 for i in range(11)]
+    a = {r.g: list(r)[1:] for r in grouped_quantiles(df, "x", probs, ["g"], mode="exact").collect()}
+    b = {r.g: list(r)[1:] for r in grouped_quantiles(df, "x", probs, ["g"]).collect()}
+    assert a.pop(500) == [None] * 11
+    assert a.keys() == b.keys()
+    for k in a:
+        assert np.allclose(a[k], b[k], rtol=0, atol=1e-12)
+
+
+def test_quantiles_of_no_rows(spark):
+    r = global_quantiles(spark.createDataFrame([], "x double"), "x", [0.1, 0.5]).collect()
+    assert [list(x) for x in r] == [[None, None]]
+
+
+def test_rolling_std_of_large_sales(spark):
+    from pyspark.sql import Window
+    from stockpulse.operators.features import exact_std
+    df = spark.createDataFrame([(i, 600_000_000 + i % 2) for i in range(40)], "i int, x long")
+    last = df.select("i", exact_std(F.col("x"), Window.orderBy("i").rowsBetween(-28, -1)).alias("s")).where("i = 39").first()
+    assert last.s == pytest.approx(np.std([i % 2 for i in range(28)], ddof=1), rel=1e-12)
