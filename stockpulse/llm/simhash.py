@@ -18,7 +18,8 @@ queries meet each shard's tree through a shuffle.
 Results for odd input: null and empty texts have fingerprint zero and link
 like any other; repeated rows get equal results; a null doc_id keeps its row
 (component_id: the least doc_id that is not null, else null); extra columns
-are left out; an empty table gives no rows.
+are left out (kept in ``keep_one``, which keeps a row of every component, with
+an id or without); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockpulse.llm.common import connected_components, written
+from stockpulse.llm.common import connected_components, free_name, written
 
 SHINGLE, RADIUS, BANDS = 3, 3, 5
 #: Fingerprints in a shard of a cell.
@@ -59,14 +60,15 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint's bits as a signed long."""
+    """(doc_id, h, fp) of every row; h is a hash of the text, fp the fingerprint's bits as a signed long."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([simhash(t.as_py(), shingle) for t in b.column(1)], "u8").view("i8")
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], ["doc_id", "fp"])
+            fps = np.array([simhash(t.as_py(), shingle) for t in b.column(2)], "u8").view("i8")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps)], ["doc_id", "h", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("h"), text).mapInArrow(run, "doc_id long, h long, fp long")
 
 
 class BKTree:
@@ -181,12 +183,16 @@ def links(fps: DataFrame, radius: int = RADIUS, bands: int = BANDS, cell: int =
     return dealt.repartition(n, *at).sortWithinPartitions(*at).select("fp", *at, "first").mapInArrow(run, "u long, v long").distinct()
 
 
+def rooted(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``fps`` (a column ``fp`` without repeats, and others) with the ``root`` of each one's component."""
+    roots = connected_components(links(fps.select("fp"), radius))
+    return fps.join(roots, fps["fp"] == roots["node"], "left").select(*fps.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs``."""
     rows = written(fingerprints(docs, shingle), "fingerprints")
-    fps = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = connected_components(links(fps.select("fp"), radius))
-    labelled = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    labelled = rooted(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), radius)
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     of = labelled.join(least, "root").select("fp", "component_id")
     return rows.join(of, "fp").select("doc_id", "fp", "component_id")
@@ -197,8 +203,17 @@ def hex_of(fp: F.Column) -> F.Column:
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` with one document of each component: that with the least doc_id."""
-    keep = components(docs, shingle, radius).where("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
-    name = "k" + "_" * max(len(c) for c in docs.columns)
-    kept = docs.join(keep.select(F.col("doc_id").alias(name)), F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """The rows of ``docs`` with one row of each component: that with the least doc_id (nulls last) and, of that, the least text hash.
+
+    Rows are told apart by doc_id and text, so rows without an id and
+    different texts under one id each count in their own component.
+    """
+    rows = written(fingerprints(docs, shingle), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")
+    labelled = rooted(rows.groupBy("fp").agg(F.min(row).alias("least")), radius)
+    keep = labelled.groupBy("root").agg(F.min("least").alias("least"))
+    own = [free_name(docs, x) for x in ("kept_id", "kept_h", "row_id", "row_h")]
+    keep = keep.select(F.col("least.doc_id").alias(own[0]), F.col("least.h").alias(own[1]))
+    told = docs.withColumns({own[2]: F.col("doc_id").cast("long"), own[3]: F.xxhash64(F.col("text").cast("string"))})
+    kept = told.join(keep, F.col(own[2]).eqNullSafe(F.col(own[0])) & (F.col(own[3]) == F.col(own[1])), "left_semi")
+    return kept.dropDuplicates(own[2:]).drop(*own[2:])

@@ -224,6 +224,15 @@ def test_simhash_odd_rows(odd, empty):
     assert simhash.components(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
+def test_simhash_keeps_a_row_of_every_component(spark):
+    rng = np.random.default_rng(8)
+    a, b, c, d, e = (" ".join(f"w{k}" for k in rng.integers(0, 10 ** 6, 60)) for _ in range(5))
+    # a: with an id and without; b and c: no id; d and e: one id for two texts
+    rows = [(1, a), (None, a), (None, b), (None, b), (None, c), (7, d), (7, e), (8, d)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(1, a), (None, b), (None, c), (7, d), (7, e)], key=str)
+
+
 # 4: chat formatting
 
 def direct_chat(turns):
