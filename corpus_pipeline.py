@@ -5,7 +5,7 @@ packing. Every stage reads what its predecessor wrote (Parquet in the shared
 folder), so a lost executor never sets the pipeline back by more than a stage.
 
 A document that a stage empties stays with its empty text; those whose
-language is not known (no letters, or no clear language) go. Odd input
+language is not known (no letters, or words of no clear language) go. Odd input
 (nulls, empty and repeated rows, extra columns) is handled as the operators'
 docstrings state. All stages but the last return the columns of documents,
 n_chars made to fit a changed text.

@@ -8,7 +8,7 @@ and backward sums give each word's marginal probabilities; a document's
 language is the one with the largest mean over all its words.
 
 Fitting takes a bounded sample of labelled rows (``PER_LANG`` for each
-language, by hash of doc_id) to the driver. It starts from the document's
+language that occurs, by hash of doc_id) to the driver. It starts from the document's
 language as the label of all of its words, then labels the words anew with the
 model so found (text switches languages within documents) and fits again. The
 model is a table of 2^17 features by language: its size does not depend on
@@ -36,8 +36,6 @@ from stockpulse.llm.common import fold, free_name, hold
 FOLDS = 5
 #: Labelled rows of each language that the model is fitted on.
 PER_LANG = 250
-#: The most languages (those with the most labelled rows).
-LANGS = 64
 DIM = 1 << 17
 LEXICON = 20_000
 STEPS, RATE, DECAY = 30, 0.1, 1e-4
@@ -181,16 +179,17 @@ class Model:
         line_no = np.repeat(np.arange(len(lengths)), lengths)
         return [(line_no[z - n:z], out[z - n:z]) for z, n in zip(ends, per_doc)]
 
-    def languages(self, texts: list[str | None]) -> list[tuple[str, float]]:
+    def languages(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
+        """Each text's language, its mean marginal, and the mean of each word's largest marginal (nothing learned: 1 with letters)."""
         if not self.langs:
-            return [(UNKNOWN, 0.0)] * len(texts)
+            return [(UNKNOWN, 0.0, float(any(map(str.isalpha, t or "")))) for t in texts]
         out = []
         for _, m in self.word_marginals(texts):
             if len(m):
                 mean = m.mean(axis=0, dtype="f8")
-                out.append((self.langs[int(mean.argmax())], float(min(1.0, mean.max()))))
+                out.append((self.langs[int(mean.argmax())], float(min(1.0, mean.max())), float(min(1.0, m.max(axis=1).mean(dtype="f8")))))
             else:
-                out.append((UNKNOWN, 0.0))
+                out.append((UNKNOWN, 0.0, 0.0))
         return out
 
 
@@ -205,9 +204,9 @@ def fit(rows: list[tuple[str, str]]) -> Model:
                 seqs.append(words)
                 labels.append(langs.index(lang))
     L = max(1, len(langs))
-    weights, trans, first = np.zeros((DIM + LEXICON, L), "f4"), np.zeros((L, L)), np.zeros(L)
+    trans, first = np.zeros((L, L)), np.zeros(L)
     if not seqs:
-        return Model([], {}, weights, trans, first)
+        return Model([], {}, np.zeros((DIM + LEXICON, L), "f4"), trans, first)
     tokens: dict[str, int] = {}
     for s in seqs:
         for w in s:
@@ -215,6 +214,8 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     lexicon = {w: i for i, w in enumerate(sorted((w for w, c in tokens.items() if c >= 3), key=lambda w: (-tokens[w], w))[:LEXICON])}
     types = {w: i for i, w in enumerate(tokens)}
     f, begin = features(list(types), lexicon)
+    used, f = np.unique(f, return_inverse=True)  # the weights of all other features stay zero
+    weights = np.zeros((len(used), L), "f4")
     per_type = np.diff(np.append(begin, len(f)))
     lengths = np.array([len(s) for s in seqs], "i8")
     start = np.cumsum(lengths) - lengths
@@ -252,28 +253,29 @@ def fit(rows: list[tuple[str, str]]) -> Model:
             for lines, place, inside in at:
                 m = forward_backward(table[flat[place]] + prior[place], lengths[lines], sticky, np.zeros(L))
                 gold[place[inside]] = np.eye(L)[m.argmax(axis=2)][inside]
-    return Model(langs, lexicon, weights, trans, first)
+    learned = np.zeros((DIM + LEXICON, L), "f4")
+    learned[used] = weights
+    return Model(langs, lexicon, learned, trans, first)
 
 
 def train(docs: DataFrame, per_lang: int = PER_LANG, folds: int = FOLDS) -> Model:
     """Fit on a sample of the rows with a language whose fold is not 0."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")) \
         .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != 0))
-    langs = [r["lang"] for r in slim.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()]
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = slim.where(F.col("lang").isin(langs)).distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_lang).select("doc_id", "lang") if langs else slim.limit(0)
-    names = F.broadcast(picked)  # at most LANGS * per_lang ids
+    picked = slim.distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_lang).select("doc_id", "lang")
+    names = F.broadcast(picked)  # at most per_lang ids of each language
     got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("text is not null") \
         .join(names, ["doc_id", "lang"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "lang")
     return fit([(r["text"], r["lang"]) for r in sorted(got.collect(), key=lambda r: r["doc_id"])])
 
 
 def predict(model: Model, spark, text: Column) -> Column:
-    """Struct (lang, score) of each text."""
+    """Struct (lang, score, sure) of each text."""
     sent = spark.sparkContext.broadcast(pickle.dumps(model))
     key = zlib.crc32(sent.value)
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, sure double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = hold(("langid", key), lambda: pickle.loads(sent.value))
         for texts in batches:
@@ -285,7 +287,7 @@ def predict(model: Model, spark, text: Column) -> Column:
                     out += own.languages(some)
                     some, size = [], 0
             out += own.languages(some)
-            yield pd.DataFrame(out, columns=["lang", "score"])
+            yield pd.DataFrame(out, columns=["lang", "score", "sure"])
 
     return run(text)
 
@@ -298,8 +300,12 @@ def identify(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, per_lang: int = PER_LANG) -> DataFrame:
-    """The rows of ``docs`` whose text has a language with a mean marginal of ``least`` or more."""
+    """The rows of ``docs`` whose text has letters, and words with a largest marginal of ``least`` or more in the mean.
+
+    So text of several languages stays if each of its words has a clear one,
+    and without any labelled row every text with letters does.
+    """
     p = free_name(docs, "language")
     model = train(docs, per_lang)
     scored = docs.withColumn(p, predict(model, docs.sparkSession, F.col("text").cast("string")))
-    return scored.where((F.col(f"{p}.lang") != UNKNOWN) & (F.col(f"{p}.score") >= least)).drop(p)
+    return scored.where((F.col(f"{p}.sure") > 0) & (F.col(f"{p}.sure") >= least)).drop(p)

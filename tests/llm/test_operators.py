@@ -461,6 +461,27 @@ def test_language_odd_rows(odd, empty):
     assert {r["lang_pred"] for r in langid.identify(odd.withColumn("lang", odd["source"])).collect()} == {"und"}
 
 
+def test_language_of_every_label(spark):
+    # 66 languages with words of their own; the last has the fewest rows
+    own = [[f"{chr(97 + k % 26)}{chr(97 + k // 26)}{x}" for x in ("qo", "zu", "ixa", "emm")] for k in range(66)]
+    rows = [(100 * k + i, " ".join(words), f"l{k:02d}") for k, words in enumerate(own) for i in range(5 if k < 65 else 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert len(model.langs) == 66 and model.languages([" ".join(own[65])])[0][0] == "l65"
+
+
+def test_language_keeps_mixed_and_unlabelled_text(spark):
+    words = {"en": "the and that thing with of there", "de": "der und keit schung nicht ein lich", "fr": "les des eau ment que oui mais"}
+    rows = [(k * 100 + i, f"{t} {t}", lang) for k, (lang, t) in enumerate(words.items()) for i in range(12)]
+    rows += [(999, "\n".join(words.values()), None), (1000, "12 34", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    (_, score, sure), = langid.train(docs).languages([rows[-2][1]])
+    assert score < 0.5 < sure
+    want = {r[0] for r in rows} - {1000}
+    assert {r["doc_id"] for r in langid.keep_identified(docs).collect()} == want
+    assert {r["doc_id"] for r in langid.keep_identified(docs.withColumn("lang", docs["lang"].substr(9, 2)).selectExpr("doc_id", "text", "nullif(lang, '') as lang")).collect()} == want
+
+
 # 9: token files
 
 def test_token_files(spark, docs, odd, empty):
