@@ -3,14 +3,18 @@
 Level one has the words (by 64-bit hash, in order) and their exact counts, as
 the differences of a monotone list of pointers into all training tokens. Level
 two has, for each word as context, the words that follow it, as values
-``context * V + word`` of one monotone list, and their smoothed probabilities
-in 8 bits. Both levels are cut into shards, files in the shared folder that
+``context * V + word`` of one monotone list, their counts as pointers like
+level one's, and their smoothed probabilities in 8 bits. Each further level up
+to ``ORDER`` has the same lists, its contexts being places in the level
+before, so a search goes from child range to child range; its probabilities
+are worked out from the counts. All levels are cut into shards, files in the shared folder that
 workers memory-map; a query is a successor search within its context.
 
 Shards of level two are cut on the axis of training tokens: the bigram (a, b)
 lies at cum(a) + c(a) * cum(b) / N, where cum(x) is the number of tokens of
 words before x. So shards are even, and the followers of a word that is a
-twentieth of all tokens spread over a twentieth of the shards. Counting passes
+twentieth of all tokens spread over a twentieth of the shards. Further levels
+are cut alike, on the axis of the level before. Counting passes
 send each shard one packed record of different n-grams from each few million
 tokens: what is shuffled follows the input, and hot n-grams are one entry in
 each record.
@@ -19,8 +23,12 @@ each record.
                a word that training lacks: u (all such words are one class)
     p(w | a) = (c(a w) + K p(w)) / (c(a) + K); the class of unknown words as
                context says nothing
+    p(w | .. a b) = (c(.. a b w) + K p(w | a b)) / (c(.. a b) + K), and so on
+               for each longer context seen in training; else as the shorter
 
-The first word of a document follows the end of one. Results for odd input: a
+The first word of a document follows the end of one; no context reaches
+further back than that end. ``score`` is that of the bigrams, ``order_score``
+that of the longest contexts. Results for odd input: a
 null or empty text is its end token alone; repeated rows get equal results
 (and count as often as they come); a null doc_id is held out; extra columns
 are left out; without training documents every probability is 1.
@@ -46,6 +54,8 @@ from stockpulse.llm.common import fold, scratch_path
 from stockpulse.llm.elias_fano import EliasFano
 
 FOLDS = 10
+#: Words of the longest n-grams (2 or more).
+ORDER = 3
 #: Weight of the lower order, in tokens.
 K = 5.0
 #: Tokens that a task counts or looks up at a time; bounds a worker's memory, changes no result.
@@ -243,36 +253,44 @@ class Words:
     def prob(self, count: np.ndarray) -> np.ndarray:
         return np.where(count > 0, count / max(self.N, 1) * (1 - self.unknown), self.unknown)
 
-    def bigram_shard(self, before1: np.ndarray, count1: np.ndarray, before2: np.ndarray) -> np.ndarray:
-        x = (before1 + count1 * (before2 / self.N)) / self.N
-        return np.minimum((x * self.shards).astype("i8"), self.shards - 1)
 
+def spread(before: np.ndarray, count: np.ndarray, word_before: np.ndarray, words: Words, total: int, shards: int) -> np.ndarray:
+    """Shards of n-grams: those of a context lie in its stretch of the level's tokens, in order of their last word."""
+    x = (before + count * (word_before / words.N)) / total
+    return np.minimum((x * shards).astype("i8"), shards - 1)
 
-class Bigrams:
-    """Level two: log10 probabilities of words that follow a context."""
 
-    def __init__(self, words: Words, manifest: list[tuple[int, str]]):
-        self.words, self.paths = words, dict(manifest)
+class Level:
+    """Level two or further: words that follow a context, a place in the level before."""
 
-    def _shard(self, s: int) -> tuple[EliasFano, EliasFano, np.ndarray, float]:
+    def __init__(self, words: Words, manifest: list[tuple[int, str, int, int]], shards: int):
+        self.words, self.paths = words, {m[0]: m[1] for m in manifest}
+        by = {m[0]: m for m in manifest}
+        self.base, self.tokens = (np.concatenate([[0], np.cumsum([by[s][k] if s in by else 0 for s in range(shards)])]).astype("i8") for k in (2, 3))
+
+    def _shard(self, s: int) -> tuple[EliasFano, EliasFano, EliasFano, np.ndarray]:
         """Opened for one search; only the file's pages stay in the system's cache."""
-        contexts, follow, probs = _lists(self.paths[s], 3)
-        low, = struct.unpack("<d", bytes(probs[:8]))
-        return EliasFano(contexts), EliasFano(follow), probs[8:], low
+        contexts, follow, ends, probs = _lists(self.paths[s], 4)
+        return EliasFano(contexts), EliasFano(follow), EliasFano(ends), probs
 
-    def find(self, shard: np.ndarray, r1: np.ndarray, r2: np.ndarray) -> np.ndarray:
-        """log10 p(r2 | r1) of bigrams seen in training, nan for others; sorted by (r1, r2)."""
-        out = np.full(len(r1), np.nan)
+    def find(self, shard: np.ndarray, context: np.ndarray, word: np.ndarray, probs: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
+        """Place (-1: not seen in training), count, tokens before and, with ``probs``, log10 p(word | context) or nan; sorted by (context, word)."""
+        place, count, before = np.full(len(context), -1, "i8"), np.zeros(len(context), "i8"), np.zeros(len(context), "i8")
+        out = np.full(len(context), np.nan) if probs else None
         for s in np.unique(shard).tolist():
             if s in self.paths:
                 w = np.flatnonzero(shard == s)
-                contexts, follow, probs, low = self._shard(s)
-                first = np.flatnonzero(np.diff(r1[w], prepend=-1))
-                c = np.repeat(contexts.find(r1[w[first]]), np.diff(first, append=len(w)))
+                contexts, follow, ends, codes = self._shard(s)
+                first = np.flatnonzero(np.diff(context[w], prepend=-1))
+                c = np.repeat(contexts.find(context[w[first]]), np.diff(first, append=len(w)))
                 w, c = w[c >= 0], c[c >= 0]
-                at = follow.find(c * self.words.V + r2[w])
-                out[w[at >= 0]] = low + _STEP * probs[at[at >= 0]]
-        return out
+                at = follow.find(c * self.words.V + word[w])
+                w, at = w[at >= 0], at[at >= 0]
+                lo = np.where(at > 0, ends.select(np.maximum(at - 1, 0)).astype("i8"), 0)
+                place[w], count[w], before[w] = at + self.base[s], ends.select(at).astype("i8") - lo, lo + self.tokens[s]
+                if probs:
+                    out[w] = struct.unpack("<d", bytes(codes[:8]))[0] + _STEP * codes[8:][at]
+        return place, count, before, out
 
 
 def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
@@ -316,21 +334,22 @@ def _reduced(records: DataFrame, shards: int, build, schema: str) -> list:
 
 
 class Model:
-    """Both levels, as the paths of their shard files: small, and sent to the workers as it is."""
+    """All levels, as the paths of their shard files: small, and sent to the workers as it is."""
 
-    def __init__(self, shards: int, words: list, bigrams: list, k: float):
-        self.shards, self.word_files, self.bigram_files, self.k = shards, words, bigrams, k
+    def __init__(self, shards: int, words: list, levels: list[list], k: float):
+        self.shards, self.word_files, self.level_files, self.k = shards, words, levels, k
 
     def __getstate__(self):
-        return {x: v for x, v in self.__dict__.items() if x in ("shards", "word_files", "bigram_files", "k")}
+        return {x: v for x, v in self.__dict__.items() if x in ("shards", "word_files", "level_files", "k")}
 
     @functools.cached_property
     def words(self) -> Words:
         return Words(self.shards, self.word_files)
 
     @functools.cached_property
-    def bigrams(self) -> Bigrams:
-        return Bigrams(self.words, self.bigram_files)
+    def levels(self) -> list[Level]:
+        """From level two on."""
+        return [Level(self.words, m, self.shards) for m in self.level_files]
 
     def coded(self, stream: np.ndarray):
         """Of a stream of hashes: sorted different hashes' (rank, count, before), and each token's place among them."""
@@ -348,33 +367,64 @@ class Model:
 
         def places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             u1, u2 = key // len(rank), key % len(rank)
-            shard = self.words.bigram_shard(before[u1], count[u1], before[u2]) if len(key) else key
+            shard = spread(before[u1], count[u1], before[u2], self.words, self.words.N, self.shards) if len(key) else key
             return shard, rank[u1], rank[u2]
 
-        return a[known] * len(rank) + b[known], known, places, (rank, count, inv)
+        return a[known] * len(rank) + b[known], known, places, (rank, count, before, inv)
 
-    def scores(self, stream: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Per document: known tokens, base score, score. ``stream``: an end, then all documents, each with its end."""
-        words = self.words
-        keys, known, places, (rank, count, inv) = self.pairs(stream)
+    def longer(self, stream: np.ndarray, level: Level, held: tuple, coded: tuple):
+        """Like ``pairs``, for the n-grams whose contexts ``held`` (place, count, before of each token's n-gram in ``level``) has."""
+        (place, count, begun), (rank, _, before, inv) = held, coded
+        # no context reaches over the end of a document
+        known = np.flatnonzero((place[:-1] >= 0) & (stream[1:-1] != END) & (rank[inv[2:]] >= 0)) + 1
+        some, first, own = np.unique(place[known - 1], return_index=True, return_inverse=True)
+        count, begun, total = count[known[first] - 1], begun[known[first] - 1], int(level.tokens[-1])
+
+        def places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            u, w = key // len(rank), key % len(rank)
+            shard = spread(begun[u], count[u], before[w], self.words, total, self.shards) if len(key) else key
+            return shard, some[u], rank[w]
+
+        return own * len(rank) + inv[known + 1], known, places
+
+    def held(self, level: Level, n: int, keys: np.ndarray, known: np.ndarray, places, probs: bool = False):
+        """Place, count, tokens before (and log10 probability) in ``level`` of each of ``n`` tokens' n-grams."""
         keys, back = np.unique(keys, return_inverse=True)
-        place = np.full(len(stream) - 1, -1, "i8")
-        place[known] = back
-        seen = self.bigrams.find(*places(keys))
+        found, out = level.find(*places(keys), probs), []
+        for x, none in zip(found, (-1, 0, 0, np.nan)):
+            if x is not None:
+                full = np.full(n, none, x.dtype)
+                full[known] = x[back]
+                out.append(full)
+        return out
+
+    def scores(self, stream: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Per document: known tokens, base score, score of the bigrams, score of all levels. ``stream``: an end, then all documents, each with its end."""
+        words, n = self.words, len(stream) - 1
+        keys, known, places, coded = self.pairs(stream)
+        _, count, _, inv = coded
+        *held, got = self.held(self.levels[0], n, keys, known, places, probs=True) if self.levels else (*np.zeros((3, n), "i8"), np.full(n, np.nan))
         c1, c2 = count[inv[:-1]], count[inv[1:]]
         low = np.log10(words.prob(c2)) + np.where(c1 > 0, np.log10(self.k / (c1 + self.k)), 0.0)
-        got = np.where(place >= 0, np.append(seen, np.nan)[place], np.nan)
         token = np.where(np.isnan(got), low, got)
+        best = 10.0 ** token
+        for shorter, level in zip(self.levels, self.levels[1:]):
+            # what follows a context that training has: all places but the first, where the context does not reach over an end
+            there = np.flatnonzero((held[0][:-1] >= 0) & (stream[1:-1] != END)) + 1
+            seen = held[1][there - 1]
+            keys, known, places = self.longer(stream, shorter, held, coded)
+            held = self.held(level, n, keys, known, places)
+            best[there] = (held[1][there] + self.k * best[there]) / (seen + self.k)
         base = np.log10((c2 + 0.1) / (words.N + 0.1 * (words.V + 1)))
         first = np.cumsum(lengths) - lengths
-        return tuple(np.add.reduceat(x, first) for x in ((c2 > 0).astype("i8"), base, token))
+        return tuple(np.add.reduceat(x, first) for x in ((c2 > 0).astype("i8"), base, token, np.log10(best)))
 
 
 def _stream(h: np.ndarray) -> np.ndarray:
     return np.concatenate([np.array([END], "u8"), h])
 
 
-def train(docs: DataFrame, k: float = K) -> Model:
+def train(docs: DataFrame, k: float = K, order: int = ORDER) -> Model:
     """Count all rows of ``docs`` (text) and write the trie to the shared folder."""
     spark = docs.sparkSession
     shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -396,52 +446,62 @@ def train(docs: DataFrame, k: float = K) -> Model:
     if not words:
         return model
 
-    def count_bigrams(batches):
+    def count_level(batches):
         for _, h, _ in _rounds(batches, 0):
-            keys, _, places, _ = model.pairs(_stream(h))
-            keys.sort()
+            stream = _stream(h)
+            keys, known, places, coded = model.pairs(stream)
+            for level in model.levels:
+                held = model.held(level, len(h), keys, known, places)
+                keys, known, places = model.longer(stream, level, held, coded)
+            keys = np.sort(keys)
             first = np.flatnonzero(np.diff(keys, prepend=-1))
             counts = np.diff(first, append=len(keys))
-            shard, r1, r2 = places(keys[first])
-            yield from _records(shard, (r1 * model.words.V + r2).astype("u8"), counts)
+            shard, context, word = places(keys[first])
+            yield from _records(shard, (context * model.words.V + word).astype("u8"), counts)
 
-    def build_bigrams(s: int, keys: np.ndarray, counts: np.ndarray) -> tuple:
+    def build_level(s: int, keys: np.ndarray, counts: np.ndarray) -> tuple:
         keys = keys.astype("i8")
         r1, r2 = keys // model.words.V, keys % model.words.V
         contexts, own = np.unique(r1, return_inverse=True)
-        follow, which = np.unique(r2, return_inverse=True)
-        c1 = model.words.counts(contexts)[0][own]
-        p1 = model.words.prob(model.words.counts(follow)[0])[which]
-        logs = np.log10((counts + k * p1) / (c1 + k))
-        low = float(logs.min())
-        code = np.minimum(np.round((logs - low) / _STEP), 255).astype("u1")
-        at = f"{path}/bigrams-{s:06d}"
-        _save(at, _file([EliasFano.encode(contexts), EliasFano.encode(own * model.words.V + r2), struct.pack("<d", low) + code.tobytes()]))
-        return s, at
-
-    bigrams = _reduced(texts.mapInArrow(count_bigrams, "shard int, record binary"), shards, build_bigrams, "shard long, path string")
-    return Model(shards, words, bigrams, k)
+        codes = b""
+        if not model.levels:
+            follow, which = np.unique(r2, return_inverse=True)
+            c1 = model.words.counts(contexts)[0][own]
+            p1 = model.words.prob(model.words.counts(follow)[0])[which]
+            logs = np.log10((counts + k * p1) / (c1 + k))
+            low = float(logs.min())
+            codes = struct.pack("<d", low) + np.minimum(np.round((logs - low) / _STEP), 255).astype("u1").tobytes()
+        at = f"{path}/level-{len(model.levels) + 2}-{s:06d}"
+        _save(at, _file([EliasFano.encode(contexts), EliasFano.encode(own * model.words.V + r2), EliasFano.encode(np.cumsum(counts)), codes]))
+        return s, at, len(keys), int(counts.sum())
+
+    for _ in range(2, max(2, order) + 1):
+        files = _reduced(texts.mapInArrow(count_level, "shard int, record binary"), shards, build_level, "shard long, path string, n long, tokens long")
+        if not files:
+            break
+        model = Model(shards, words, [*model.level_files, files], k)
+    return model
 
 
 def score(model: Model, docs: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs``."""
-    names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score, order_score) of every row of ``docs``."""
+    names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "order_score"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list = []
         for rows, h, lengths in _rounds(batches, 1, ids):
-            known, base, own = model.scores(_stream(h), lengths)
+            known, base, own, longest = model.scores(_stream(h), lengths)
             done, ids[:] = [x[0] for x in ids[:len(rows)]], ids[len(rows):]
             yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64()), pa.array(lengths.astype("i8")), pa.array(known), pa.array(np.full(len(rows), model.words.N)),
-                                              pa.array(base), pa.array(own)], names)
+                                              pa.array(base), pa.array(own), pa.array(longest)], names)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        run, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double, order_score double")
 
 
-def held_out_scores(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
+def held_out_scores(docs: DataFrame, folds: int = FOLDS, order: int = ORDER) -> DataFrame:
     """Train on the rows whose fold is not 0 and score all rows."""
-    model = train(docs.where(fold(F.col("doc_id"), folds) != 0))
+    model = train(docs.where(fold(F.col("doc_id"), folds) != 0), order=order)
     return score(model, docs)
 
 

@@ -39,7 +39,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = ngram_lm.held_out_scores(_table(spark, sf_dir, "documents"))
-    return got.select("doc_id", (fold(F.col("doc_id"), ngram_lm.FOLDS) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return got.select("doc_id", (fold(F.col("doc_id"), ngram_lm.FOLDS) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "order_score")
 
 
 def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -324,6 +324,37 @@ def test_language_model_odd_rows(odd, empty):
     assert {r["score"] for r in ngram_lm.held_out_scores(odd.where("doc_id is null")).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_language_model_of_longer_contexts(spark, docs, order):
+    rows = [(r["doc_id"], (r["text"] or "")[:1500]) for r in docs.limit(60).collect()] + [(1000, "a b c d a b c e"), (1001, "a b c d x b c d"), (1002, ""), (None, "a b c d")]
+
+    def words(t):
+        return [b""] + re.sub(rb"[A-Z]", lambda m: m[0].lower(), t.encode()).split() + [b""]
+    grams = Counter(tuple(w[j - n:j]) for i, t in rows if fold_of(i, 10) for w in [words(t)] for n in range(2, order + 1) for j in range(n, len(w) + 1))
+    one = Counter(x for i, t in rows if fold_of(i, 10) for x in words(t)[1:])
+    total, k = sum(one.values()), ngram_lm.K
+    unk = min(0.5, sum(c == 1 for c in one.values()) / total)
+
+    def direct(t):
+        w, s = words(t), 0.0
+        for j in range(1, len(w)):
+            p = one[w[j]] / total * (1 - unk) if w[j] in one else unk
+            for n in range(2, min(order, j + 1) + 1):
+                seen = one[w[j - 1]] if n == 2 else grams[tuple(w[j - n + 1:j])]
+                p = (grams[tuple(w[j - n + 1:j + 1])] + k * p) / (seen + k) if seen else p
+            s += math.log10(p)
+        return s
+    got = ngram_lm.held_out_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), order=order).collect()
+    by = {r["doc_id"]: r for r in got}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        assert by[i]["order_score"] == pytest.approx(direct(t), abs=by[i]["n_tokens"] / 32 + 1e-6)
+    if order == 2:
+        assert all(r["order_score"] == pytest.approx(r["score"]) for r in got)
+    else:
+        assert sum(r["order_score"] for r in got if r["doc_id"] and fold_of(r["doc_id"], 10)) > sum(r["score"] for r in got if r["doc_id"] and fold_of(r["doc_id"], 10))
+
+
 # 6: SpotSigs
 
 def direct_signatures(text):
