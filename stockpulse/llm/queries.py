@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stockpulse.llm import chat, decontaminate, langid, lines, ngram_lm, packing, simhash, spotsigs, token_files, toxicity
+from stockpulse.llm import chat, decontaminate, langid, lines, minhash, ngram_lm, packing, prefix_trie, repair, simhash, spotsigs, token_files, toxicity
 from stockpulse.llm.common import fold
 
 
@@ -67,13 +67,27 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       decontaminate.items_digest(F.col("items")).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = repair.repair(repair.damage(_table(spark, sf_dir, "conversations")))
+    return got.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.components(_table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.encode(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.rebuild(prefix_trie.in_order(turns)))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_line_dedup, op2_toxicity, op3_simhash, op4_chat_format, op5_ngram_lm, op6_spotsigs, op7_packing,
-                                    op8_language_id, op9_token_files, op10_decontaminate, pipeline)}
+                                    op8_language_id, op9_token_files, op10_decontaminate, op11_conversation_repair, op12_minhash, op13_prefix_trie, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
