@@ -12,18 +12,22 @@ come last in that order and head no list, unless a node has nothing else.
 
 First every node is compared with one centre, the least node of most of its
 lists; so groups of near copies join at once, with one comparison a node.
-Lists that still hold several components are gone through in blocks of at most
-``CELL`` nodes: numbers of common sketch values for a whole block at a time,
-then the estimate by the union's sketch (the values that both have among the
-``SKETCH`` least of both). Only pairs past the filter leave a block. They are
+Lists that still hold several components are split into bands of set size
+(partners are in the same band or the next) and gone through in blocks of at
+most ``CELL`` nodes: numbers of common sketch values for a whole block at a
+time, then the estimate by the union's sketch (the values that both have among
+the ``SKETCH`` least of both). For this a sketch travels as its ``marks``, 16
+bits of each value in order: a common value's place in the union follows from
+its places in both. Only pairs past the filter leave a block. They are
 verified on the full sets, the likeliest partners of each node first, then
-four times as many in each round; pairs that have come into one component
+eight times as many in each round; pairs that have come into one component
 meanwhile are linked already and fall away, all others are verified. Groups
 are the connected components of the verified links.
 
 A pair at 0.8 or more fails to share ``SHARED`` entries, or the filter's half
 of the union's sketch, with a probability below 1e-12 (binomial tail, 64 and
-128 draws). The check on full sets is exact.
+128 draws; marks that collide can but add to the filter's count, save for two of
+one sketch, which count as one). The check on full sets is exact.
 
 Results for odd input: texts without words (null, empty) have an empty set and
 are linked with nothing; repeated rows get equal results; a null doc_id keeps
@@ -66,7 +70,11 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, h1, h2, n, digest, sketch) of every row: n the set's size, digest that of the whole set (null: no set), sketch the least hashes in order."""
+    """(doc_id, h1, h2, n, digest, entries, marks) of every row.
+
+    ``n``: the set's size; ``digest``: that of the whole set (null: no set);
+    ``entries``: the ``INDEXED`` least hashes; ``marks``: 16 bits of each of the ``SKETCH`` least, in order.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -74,12 +82,12 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:3], pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                 pa.array([s[:SKETCH].view("i8") for s in sets], pa.list_(pa.int64()))],
-                ["doc_id", "h1", "h2", "n", "digest", "sketch"])
+                 pa.array([s[:INDEXED].view("i8") for s in sets], pa.list_(pa.int64())), pa.array([s[:SKETCH].astype("<u2").tobytes() for s in sets], pa.binary())],
+                ["doc_id", "h1", "h2", "n", "digest", "entries", "marks"])
 
     text = F.col("text").cast("string")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_text_hashes(text), text.alias("text")) \
-        .mapInArrow(run, "doc_id long, h1 long, h2 long, n long, digest binary, sketch array<long>")
+        .mapInArrow(run, "doc_id long, h1 long, h2 long, n long, digest binary, entries array<long>, marks binary")
 
 
 def _text_hashes(text: Column) -> list[Column]:
@@ -88,7 +96,7 @@ def _text_hashes(text: Column) -> list[Column]:
 
 def inverted_lists(nodes: DataFrame) -> DataFrame:
     """(value, node): every node under its rarest entries, as many as it takes; values of one node alone are left out."""
-    entries = nodes.select("node", "n", F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
+    entries = nodes.select("node", "n", F.explode("entries").alias("value"))
     many = entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     ranked = entries.join(many, "value").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("r"))
     size = F.least(F.col("n"), F.lit(INDEXED))
@@ -108,10 +116,12 @@ def _centres(lists: DataFrame) -> DataFrame:
 
 
 def _alike(a: np.ndarray, b: np.ndarray) -> float:
-    """Estimate of two sets' likeness from the sketch of their union."""
-    union = np.union1d(a, b)[:SKETCH]
-    both = np.intersect1d(a, b, assume_unique=True)
-    return np.count_nonzero(both <= union[-1]) / len(union)
+    """Estimate of two sets' likeness from the sketch of their union, given the marks of both."""
+    _, i, j = np.intersect1d(a, b, return_indices=True)
+    size = min(SKETCH, len(a) + len(b) - len(i))
+    i = np.sort(i) + 1
+    place = i + np.sort(j) + 1 - np.arange(1, len(i) + 1)
+    return np.count_nonzero(place <= size) / size
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -119,13 +129,13 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            e = np.array([_alike(np.array(x, "i8").view("u8"), np.array(y, "i8").view("u8")) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())])
+            e = np.array([_alike(np.frombuffer(x, "<u2"), np.frombuffer(y, "<u2")) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())])
             keep = pa.array(e >= 0.5)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep), pa.array(e).filter(keep)], ["u", "v", "estimate"])
 
-    s = nodes.select("node", "n", "sketch")
-    met = pairs.join(s.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("sketch").alias("s_u")), "u") \
-        .join(s.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("sketch").alias("s_v")), "v")
+    s = nodes.select("node", "n", "marks")
+    met = pairs.join(s.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("marks").alias("s_u")), "u") \
+        .join(s.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("marks").alias("s_v")), "v")
     return met.where(_sizes_fit(F.col("n_u"), F.col("n_v"))).select("u", "v", "s_u", "s_v").mapInArrow(run, "u long, v long, estimate double")
 
 
@@ -134,8 +144,8 @@ def _sizes_fit(a: Column, b: Column) -> Column:
 
 
 def _block_pairs(a: list, b: list) -> list[tuple[int, int, float]]:
-    """Pairs past the filter between two blocks of (node, root, n, sketch), of different roots; within one, if they are the same."""
-    sets = [np.array(x[3], "i8").view("u8") for x in (a if a is b else a + b)]
+    """Pairs past the filter between two blocks of (node, root, n, in_band, marks), of different roots; within one, if they are the same."""
+    sets = [np.frombuffer(x[4], "<u2") for x in (a if a is b else a + b)]
     values, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     often = times > 1
@@ -147,9 +157,10 @@ def _block_pairs(a: list, b: list) -> list[tuple[int, int, float]]:
     common = left @ right.T
     n_a, n_b = (np.array([x[2] for x in y]) for y in (a, b))
     r_a, r_b = (np.array([x[1] for x in y]) for y in (a, b))
+    in_a, in_b = (np.array([x[3] for x in y]) for y in (a, b))
     # a pair past the filter has half of the least SKETCH values of the union in common
     need = 0.5 * np.minimum(SKETCH, np.maximum.outer(n_a, n_b))
-    fit = (r_a[:, None] != r_b[None, :]) & (np.minimum.outer(n_a, n_b) * 100 >= np.maximum.outer(n_a, n_b) * THRESHOLD) & (common >= need)
+    fit = (r_a[:, None] != r_b[None, :]) & (in_a[:, None] | in_b[None, :]) & (np.minimum.outer(n_a, n_b) * 100 >= np.maximum.outer(n_a, n_b) * THRESHOLD) & (common >= need)
     out = []
     for i, j in zip(*np.nonzero(np.triu(fit, 1) if a is b else fit)):
         e = _alike(sets[i], sets[j if a is b else len(a) + j])
@@ -161,22 +172,26 @@ def _block_pairs(a: list, b: list) -> list[tuple[int, int, float]]:
 def _open_pairs(lists: DataFrame, labelled: DataFrame, cell: int) -> DataFrame:
     """(u, v, estimate): pairs past the filter that meet in a list and are in different components.
 
-    ``labelled`` has (node, root, n, sketch). A list is cut into blocks; each
-    pair of blocks is a group of its own.
+    ``labelled`` has (node, root, n, marks). A list is split into bands of set
+    size and those are cut into blocks; each pair of blocks is a group of its own.
     """
-    rooted = lists.join(labelled.select("node", "root"), "node")
-    mixed = rooted.groupBy("value").agg(F.count("*").alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
+    band = F.floor(F.log(F.col("n").cast("double")) / -F.log(F.lit(THRESHOLD / 100)) + 1e-9).cast("int")
+    banded = lists.join(labelled.select("node", "root", band.alias("own_band")), "node") \
+        .select("value", "node", "root", "own_band", F.explode(F.array(F.col("own_band"), F.col("own_band") + 1)).alias("band")) \
+        .withColumn("in_band", F.col("band") == F.col("own_band"))
+    mixed = banded.groupBy("value", "band").agg(F.count("*").alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1"), F.max("in_band").alias("any")) \
+        .where("r0 <> r1 and any")
     blocks = F.ceil(F.col("m") / F.lit(cell)).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
-    dealt = lists.join(mixed.select("value", blocks.alias("blocks")), "value").withColumn("own", own) \
-        .select("node", "value", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
-        .select("node", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"))
+    dealt = banded.join(mixed.select("value", "band", blocks.alias("blocks")), ["value", "band"]).withColumn("own", own) \
+        .select("node", "root", "value", "band", "in_band", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
+        .select("node", "root", "value", "band", "in_band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, left, right, out = None, [], [], []
 
         def close() -> None:
-            if now and now[1] == now[2]:
+            if now and now[2] == now[3]:
                 out.extend(_block_pairs(left, left))
             elif left and right:
                 out.extend(_block_pairs(left, right))
@@ -185,21 +200,21 @@ def _open_pairs(lists: DataFrame, labelled: DataFrame, cell: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["u", "v", "estimate"])
 
         for b in batches:
-            for value, i, j, first, *node in zip(*(x.to_pylist() for x in b.columns)):
-                if (value, i, j) != now:
+            for *at, first, node, root, n, in_band, marks in zip(*(x.to_pylist() for x in b.columns)):
+                if at != now:
                     close()
-                    now, left, right = (value, i, j), [], []
+                    now, left, right = at, [], []
                     if len(out) > 10_000:
                         yield batch()
                         out = []
-                (left if first else right).append(node)
+                (left if first else right).append((node, root, n, in_band, marks))
         close()
         if out:
             yield batch()
 
     n = max(1, int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    at = ["value", "i", "j"]
-    return dealt.join(labelled, "node").repartition(n, *at).sortWithinPartitions(*at).select(*at, "first", "node", "root", "n", "sketch") \
+    at = ["value", "band", "i", "j"]
+    return dealt.join(labelled.select("node", "n", "marks"), "node").repartition(n, *at).sortWithinPartitions(*at).select(*at, "first", "node", "root", "n", "in_band", "marks") \
         .mapInArrow(run, "u long, v long, estimate double").groupBy("u", "v").agg(F.max("estimate").alias("estimate"))
 
 
@@ -232,9 +247,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int)
 
 
 def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, root, n, sketch) of all nodes."""
+    """(node, root, n, marks) of all nodes."""
     roots = connected_components(links).select(F.col("node").alias("member"), "root")
-    return nodes.join(roots, F.col("node") == F.col("member"), "left").select("node", F.coalesce("root", "node").alias("root"), "n", "sketch")
+    return nodes.join(roots, F.col("node") == F.col("member"), "left").select("node", F.coalesce("root", "node").alias("root"), "n", "marks")
 
 
 def _apart(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -248,7 +263,7 @@ def components(docs: DataFrame, shingle: int = SHINGLE, cell: int = CELL) -> Dat
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
     rows = written(sketches(docs, shingle), "minhash-sketches")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2")
-    nodes = written(rows.where("n > 0").groupBy("digest", "n", "sketch").agg(F.min(row).alias("rep"), F.min("doc_id").alias("least"))
+    nodes = written(rows.where("n > 0").groupBy("digest", "n", "entries", "marks").agg(F.min(row).alias("rep"), F.min("doc_id").alias("least"))
                     .withColumn("node", F.monotonically_increasing_id()), "minhash-nodes")
     lists = written(inverted_lists(nodes), "minhash-lists")
     links = _verified(written(_likely(_centres(lists), nodes), "minhash-centres"), nodes, docs, shingle)
@@ -261,7 +276,7 @@ def components(docs: DataFrame, shingle: int = SHINGLE, cell: int = CELL) -> Dat
         links = links.union(_verified(now.where(F.col("r") <= width), nodes, docs, shingle))
         labelled = written(_labelled(nodes, links), "minhash-labels")
         open_ = written(_apart(now.where(F.col("r") > width).drop("r"), labelled), "minhash-open")
-        width *= 4
+        width *= 8
     of = nodes.select("node", "digest", "least").join(labelled.select("node", "root"), "node")
     least = of.groupBy("root").agg(F.min("least").alias("component"))
     found = of.join(least, "root").select(F.col("digest").alias("d"), "component")
