@@ -10,19 +10,23 @@ each node under its rarest entries, all but ``SHARED`` - 1: two such nodes
 still meet in a list. Entries that much of the corpus has (frequent phrases)
 come last in that order and head no list, unless a node has nothing else.
 
-First every node is compared with one centre, the least node of most of its
-lists; so groups of near copies join at once, with one comparison a node.
-Lists that still hold several components are split into bands of set size
-(partners are in the same band or the next) and gone through in blocks of at
+``STARS`` times every node is compared with one centre, a node that leads most
+of its lists and is not in its component yet; so groups of near copies join
+with a few comparisons a node. Lists that still hold several components are
+split into bands of set size (partners are in the same band or the next); of
+lists with the same nodes one stays. They are gone through in blocks of at
 most ``CELL`` nodes: numbers of common sketch values for a whole block at a
 time, then the estimate by the union's sketch (the values that both have among
 the ``SKETCH`` least of both). For this a sketch travels as its ``marks``, 16
 bits of each value in order: a common value's place in the union follows from
-its places in both. Only pairs past the filter leave a block. They are
-verified on the full sets, the likeliest partners of each node first, then
-eight times as many in each round; pairs that have come into one component
-meanwhile are linked already and fall away, all others are verified. Groups
-are the connected components of the verified links.
+its places in both. Only pairs past the filter leave a block, and in the first
+pass of them only the likeliest of each two components.
+
+Pairs that leave are verified on the full sets. In the second pass, over what
+is still apart, the likeliest partner of each node comes first, then sixteen,
+then all; pairs that have come into one component meanwhile are linked already
+and fall away, all others are verified. Groups are the connected components of
+the verified links.
 
 A pair at 0.8 or more fails to share ``SHARED`` entries, or the filter's half
 of the union's sketch, with a probability below 1e-12 (binomial tail, 64 and
@@ -52,6 +56,7 @@ SHINGLE, THRESHOLD = 2, 80
 SKETCH, INDEXED, SHARED = 128, 64, 25
 #: Nodes in a block of a list.
 CELL = 256
+STARS = 3
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -108,10 +113,13 @@ def inverted_lists(nodes: DataFrame) -> DataFrame:
     return ranked.select("node", F.explode(F.slice("r", 1, take)).alias("e")).select(F.col("e.value").alias("value"), "node")
 
 
-def _centres(lists: DataFrame) -> DataFrame:
-    """(u, v): every node with the least node of most of its lists."""
-    least = lists.groupBy("value").agg(F.min("node").alias("centre"))
-    met = lists.join(least, "value").where("node <> centre").groupBy("node", "centre").agg(F.count("*").alias("k"))
+def _centres(lists: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """(u, v): every node with the node that leads most of its lists, if in another component; the leaders change from turn to turn."""
+    rooted = lists.join(roots, "node")
+    order = F.col("node") if not turn else F.xxhash64("node", F.lit(turn))
+    lead = rooted.groupBy("value").agg(F.min(F.struct(order.alias("o"), "node", "root")).alias("lead"), F.min("root").alias("r0"), F.max("root").alias("r1")) \
+        .where("r0 <> r1").select("value", F.col("lead.node").alias("centre"), F.col("lead.root").alias("led"))
+    met = rooted.join(lead, "value").where("root <> led").groupBy("node", "centre").agg(F.count("*").alias("k"))
     return met.groupBy(F.col("node").alias("u")).agg(F.max(F.struct("k", (-F.col("centre")).alias("c"))).alias("best")).select("u", (-F.col("best.c")).alias("v"))
 
 
@@ -143,44 +151,66 @@ def _sizes_fit(a: Column, b: Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * THRESHOLD
 
 
-def _block_pairs(a: list, b: list) -> list[tuple[int, int, float]]:
-    """Pairs past the filter between two blocks of (node, root, n, in_band, marks), of different roots; within one, if they are the same."""
-    sets = [np.frombuffer(x[4], "<u2") for x in (a if a is b else a + b)]
-    values, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+def _block_pairs(a: list, b: list, best: bool) -> np.ndarray:
+    """Pairs past the filter between two blocks of (node, root, n, in_band, marks), of different roots; within one, if they are the same.
+
+    Rows (u, v, estimate in millionths); ``best``: only the likeliest pair of each two roots.
+    """
+    every = a if a is b else a + b
+    sets = [np.frombuffer(x[4], "<u2") for x in every]
+    sizes = np.array([len(x) for x in sets])
+    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rows = np.repeat(np.arange(len(sets)), sizes)
+    place = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
     often = times > 1
-    column = np.cumsum(often) - 1
     keep = often[at]
-    has = np.zeros((len(sets), int(often.sum())), "f4")
-    has[rows[keep], column[at[keep]]] = 1
-    left, right = (has, has) if a is b else (has[:len(a)], has[len(a):])
-    common = left @ right.T
-    n_a, n_b = (np.array([x[2] for x in y]) for y in (a, b))
-    r_a, r_b = (np.array([x[1] for x in y]) for y in (a, b))
-    in_a, in_b = (np.array([x[3] for x in y]) for y in (a, b))
+    rows, place, column = rows[keep], place[keep], (np.cumsum(often) - 1)[at[keep]]
+    rank = np.zeros((len(sets), int(often.sum())), "i2")
+    rank[rows, column] = place
+    has = (rank > 0).astype("f4")
+    cut = 0 if a is b else len(a)
+    common = has[:len(a)] @ has[cut:].T
+    node, root, n, inside = (np.array([x[k] for x in every]) for k in range(4))
+    root_a, root_b, n_a, n_b, in_a, in_b = root[:len(a), None], root[None, cut:], n[:len(a), None], n[None, cut:], inside[:len(a), None], inside[None, cut:]
     # a pair past the filter has half of the least SKETCH values of the union in common
-    need = 0.5 * np.minimum(SKETCH, np.maximum.outer(n_a, n_b))
-    fit = (r_a[:, None] != r_b[None, :]) & (in_a[:, None] | in_b[None, :]) & (np.minimum.outer(n_a, n_b) * 100 >= np.maximum.outer(n_a, n_b) * THRESHOLD) & (common >= need)
+    fit = (root_a != root_b) & (in_a | in_b) & (np.minimum(n_a, n_b) * 100 >= np.maximum(n_a, n_b) * THRESHOLD) & (common >= 0.5 * np.minimum(SKETCH, np.maximum(n_a, n_b)) - 2)
+    if a is b:
+        fit = np.triu(fit, 1)
     out = []
-    for i, j in zip(*np.nonzero(np.triu(fit, 1) if a is b else fit)):
-        e = _alike(sets[i], sets[j if a is b else len(a) + j])
-        if e >= 0.5:
-            out.append((min(a[i][0], b[j][0]), max(a[i][0], b[j][0]), e))
-    return out
-
-
-def _open_pairs(lists: DataFrame, labelled: DataFrame, cell: int) -> DataFrame:
-    """(u, v, estimate): pairs past the filter that meet in a list and are in different components.
-
-    ``labelled`` has (node, root, n, marks). A list is split into bands of set
-    size and those are cut into blocks; each pair of blocks is a group of its own.
-    """
+    for i in np.flatnonzero(fit.any(axis=1)):
+        others = np.flatnonzero(fit[i]) + cut
+        own = np.flatnonzero(rank[i])
+        own = own[np.argsort(rank[i, own])]
+        theirs = rank[others][:, own]
+        shared = theirs > 0
+        size = np.minimum(SKETCH, sizes[i] + sizes[others] - shared.sum(axis=1))
+        among = rank[i, own] + theirs - np.cumsum(shared, axis=1)
+        e = (shared & (among <= size[:, None])).sum(axis=1) / size
+        good = e >= 0.5
+        others, e = others[good], e[good]
+        out.append(np.stack([np.minimum(node[i], node[others]), np.maximum(node[i], node[others]), (e * 1_000_000).astype("i8"),
+                             np.full(len(others), root[i]), root[others]], axis=1))
+    found = np.concatenate(out) if out else np.empty((0, 5), "i8")
+    if best and len(found):
+        r0, r1 = np.minimum(found[:, 3], found[:, 4]), np.maximum(found[:, 3], found[:, 4])
+        order = np.lexsort((found[:, 1], found[:, 0], -found[:, 2], r1, r0))
+        r0, r1 = r0[order], r1[order]
+        first = np.append(True, (r0[1:] != r0[:-1]) | (r1[1:] != r1[:-1]))
+        found = found[order[first]]
+    return found[:, :3]
+
+
+def _open_pairs(lists: DataFrame, nodes: DataFrame, roots: DataFrame, cell: int, best: bool) -> DataFrame:
+    """(u, v, estimate): pairs past the filter that meet in a list and are in different components; ``best``: as in ``_block_pairs``."""
     band = F.floor(F.log(F.col("n").cast("double")) / -F.log(F.lit(THRESHOLD / 100)) + 1e-9).cast("int")
-    banded = lists.join(labelled.select("node", "root", band.alias("own_band")), "node") \
+    banded = lists.join(roots.join(nodes.select("node", band.alias("own_band")), "node"), "node") \
         .select("value", "node", "root", "own_band", F.explode(F.array(F.col("own_band"), F.col("own_band") + 1)).alias("band")) \
         .withColumn("in_band", F.col("band") == F.col("own_band"))
-    mixed = banded.groupBy("value", "band").agg(F.count("*").alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1"), F.max("in_band").alias("any")) \
-        .where("r0 <> r1 and any")
+    mixed = banded.groupBy("value", "band").agg(
+        F.count("*").alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1"), F.max("in_band").alias("any"),
+        F.expr("bit_xor(xxhash64(node))").alias("x1"), F.expr("bit_xor(xxhash64(7, node))").alias("x2")).where("r0 <> r1 and any")
+    # lists of the same nodes in the same band: one of them
+    mixed = mixed.groupBy("band", "m", "x1", "x2").agg(F.min("value").alias("value"))
     blocks = F.ceil(F.col("m") / F.lit(cell)).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
     dealt = banded.join(mixed.select("value", "band", blocks.alias("blocks")), ["value", "band"]).withColumn("own", own) \
@@ -188,25 +218,31 @@ def _open_pairs(lists: DataFrame, labelled: DataFrame, cell: int) -> DataFrame:
         .select("node", "root", "value", "band", "in_band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, left, right, out = None, [], [], []
+        now, left, right, out, size = None, [], [], [], 0
 
         def close() -> None:
+            nonlocal size
+            got = np.empty((0, 3), "i8")
             if now and now[2] == now[3]:
-                out.extend(_block_pairs(left, left))
+                got = _block_pairs(left, left, best)
             elif left and right:
-                out.extend(_block_pairs(left, right))
+                got = _block_pairs(left, right, best)
+            if len(got):
+                out.append(got)
+                size += len(got)
 
         def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["u", "v", "estimate"])
+            e = np.concatenate(out)
+            return pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1]), pa.array(e[:, 2] / 1_000_000)], ["u", "v", "estimate"])
 
         for b in batches:
             for *at, first, node, root, n, in_band, marks in zip(*(x.to_pylist() for x in b.columns)):
                 if at != now:
                     close()
                     now, left, right = at, [], []
-                    if len(out) > 10_000:
+                    if size > 50_000:
                         yield batch()
-                        out = []
+                        out, size = [], 0
                 (left if first else right).append((node, root, n, in_band, marks))
         close()
         if out:
@@ -214,7 +250,7 @@ def _open_pairs(lists: DataFrame, labelled: DataFrame, cell: int) -> DataFrame:
 
     n = max(1, int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     at = ["value", "band", "i", "j"]
-    return dealt.join(labelled.select("node", "n", "marks"), "node").repartition(n, *at).sortWithinPartitions(*at).select(*at, "first", "node", "root", "n", "in_band", "marks") \
+    return dealt.join(nodes.select("node", "n", "marks"), "node").repartition(n, *at).sortWithinPartitions(*at).select(*at, "first", "node", "root", "n", "in_band", "marks") \
         .mapInArrow(run, "u long, v long, estimate double").groupBy("u", "v").agg(F.max("estimate").alias("estimate"))
 
 
@@ -246,17 +282,18 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int)
     return written(both.select("u", "v", "f_u", "f_v").mapInArrow(check, "u long, v long"), "minhash-links")
 
 
-def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, root, n, marks) of all nodes."""
-    roots = connected_components(links).select(F.col("node").alias("member"), "root")
-    return nodes.join(roots, F.col("node") == F.col("member"), "left").select("node", F.coalesce("root", "node").alias("root"), "n", "marks")
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) with the components that the links join as one: the components of a graph of the roots alone."""
+    of = [roots.select(F.col("node").alias(x), F.col("root").alias(f"r_{x}")) for x in ("u", "v")]
+    joins = links.join(of[0], "u").join(of[1], "v").where("r_u <> r_v").select(F.col("r_u").alias("u"), F.col("r_v").alias("v"))
+    new = connected_components(joins).select(F.col("node").alias("old"), F.col("root").alias("new"))
+    return written(roots.join(new, F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root")), "minhash-roots")
 
 
-def _apart(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """The pairs whose nodes are still in different components."""
-    of = labelled.select("node", "root")
-    return pairs.join(of.select(F.col("node").alias("u"), F.col("root").alias("r_u")), "u").join(of.select(F.col("node").alias("v"), F.col("root").alias("r_v")), "v") \
-        .where("r_u <> r_v").drop("r_u", "r_v")
+    of = [roots.select(F.col("node").alias(x), F.col("root").alias(f"r_{x}")) for x in ("u", "v")]
+    return pairs.join(of[0], "u").join(of[1], "v").where("r_u <> r_v").drop("r_u", "r_v")
 
 
 def components(docs: DataFrame, shingle: int = SHINGLE, cell: int = CELL) -> DataFrame:
@@ -266,18 +303,24 @@ def components(docs: DataFrame, shingle: int = SHINGLE, cell: int = CELL) -> Dat
     nodes = written(rows.where("n > 0").groupBy("digest", "n", "entries", "marks").agg(F.min(row).alias("rep"), F.min("doc_id").alias("least"))
                     .withColumn("node", F.monotonically_increasing_id()), "minhash-nodes")
     lists = written(inverted_lists(nodes), "minhash-lists")
-    links = _verified(written(_likely(_centres(lists), nodes), "minhash-centres"), nodes, docs, shingle)
-    labelled = written(_labelled(nodes, links), "minhash-labels")
-    open_ = written(_open_pairs(lists, labelled, cell), "minhash-open")
-    width = 1
-    while not open_.isEmpty():
-        likeliest = Window.partitionBy("u").orderBy(F.desc("estimate"), "v")
-        now = written(open_.withColumn("r", F.row_number().over(likeliest)), "minhash-ranked")
-        links = links.union(_verified(now.where(F.col("r") <= width), nodes, docs, shingle))
-        labelled = written(_labelled(nodes, links), "minhash-labels")
-        open_ = written(_apart(now.where(F.col("r") > width).drop("r"), labelled), "minhash-open")
-        width *= 8
-    of = nodes.select("node", "digest", "least").join(labelled.select("node", "root"), "node")
+    roots = nodes.select("node", F.col("node").alias("root"))
+    for turn in range(STARS):
+        star = written(_likely(_centres(lists, roots, turn), nodes), "minhash-star")
+        roots = _joined(roots, _verified(star, nodes, docs, shingle))
+    roots = _joined(roots, _verified(written(_open_pairs(lists, nodes, roots, cell, True), "minhash-best"), nodes, docs, shingle))
+    open_ = written(_open_pairs(lists, nodes, roots, cell, False), "minhash-open")
+    for width in (1, 16, None):
+        if open_.isEmpty():
+            break
+        if width:
+            likeliest = Window.partitionBy("u").orderBy(F.desc("estimate"), "v")
+            ranked = written(open_.withColumn("r", F.row_number().over(likeliest)), "minhash-ranked")
+            now, open_ = ranked.where(F.col("r") <= width).drop("r"), ranked.where(F.col("r") > width).drop("r")
+        else:
+            now = open_
+        roots = _joined(roots, _verified(now, nodes, docs, shingle))
+        open_ = written(_apart(open_, roots), "minhash-open")
+    of = nodes.select("node", "digest", "least").join(roots, "node")
     least = of.groupBy("root").agg(F.min("least").alias("component"))
     found = of.join(least, "root").select(F.col("digest").alias("d"), "component")
     whole = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
