@@ -16,7 +16,7 @@ import math
 import random
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockpulse.functions.columns import pav3
@@ -141,6 +141,29 @@ def gbt_model(feature_cols: Sequence[str], string_cols: Sequence[str] = (), labe
     return Pipeline(stages=[*assemble(None, feature_cols, string_cols), GBTRegressor(**kw)])
 
 
+def tweedie_inputs(numeric: Sequence[str], codes: Sequence[str], dictionary, reg: float = 1e-4, max_iter: int = 25, **options):
+    """F1 / F2: the Tweedie pipeline over the whole catalogue: scaled numbers, indicators of the codes (those of very many values as numbers)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+    from stockpulse.operators.encode import indicators
+    split = list(indicators(codes, dictionary))
+    plain = [*numeric, *[c for c in codes if c not in split]]
+    stages = tweedie_model([*plain, *[f"{c}_of" for c in split]], reg=reg, max_iter=max_iter, **options).getStages()
+    return Pipeline(stages=[OneHotEncoder(inputCols=split, outputCols=[f"{c}_of" for c in split], handleInvalid="keep"), *stages])
+
+
+def gbt_inputs(numeric: Sequence[str], codes: Sequence[str], dictionary, most: int = 1000, **options):
+    """Boosted trees over the whole catalogue; codes are categories to the trees (those of more than ``most`` values are numbers)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import SQLTransformer
+    wide = [c for c in codes if dictionary.sizes[c.removesuffix("_code")] >= most]
+    bins = max([64, *[dictionary.sizes[c.removesuffix("_code")] + 2 for c in codes if c not in wide]])
+    names = [*numeric, *[f"{c}_num" if c in wide else c for c in codes]]
+    stages = gbt_model(names, max_bins=bins, **options).getStages()
+    as_number = "SELECT *" + "".join(f", CAST({c} AS DOUBLE) AS {c}_num" for c in wide) + " FROM __THIS__"
+    return Pipeline(stages=[SQLTransformer(statement=as_number), *stages] if wide else stages)
+
+
 def fit_rows(features: DataFrame, pipeline, train_splits=("train",), val_split: str = "val") -> DataFrame:
     """The rows a pipeline is fitted on: validation rows come in, flagged
     ``is_val``, only for an estimator that stops early on flagged rows."""
@@ -180,11 +203,9 @@ def feature_importance(model, feature_cols: Sequence[str], string_cols: Sequence
 
 
 def _count_splits(node, counts):
-    try:
-        split = node.split()
-    except Exception:
+    if node.getClass().getSimpleName() == "LeafNode":
         return
-    counts[split.featureIndex()] += 1
+    counts[node.split().featureIndex()] += 1
     _count_splits(node.leftChild(), counts)
     _count_splits(node.rightChild(), counts)
 
@@ -221,44 +242,28 @@ def random_search(features: DataFrame, make_pipeline, space: dict, n_trials: int
                 .orderBy("val_rmse")
 
 
-def irls_quantile(train: DataFrame, feature_col: str, label: str, q: float, iters: int = 15,
-                  eps: float = 1e-3):
-    """linear quantile regression by majorise-minimise IRLS.
-
-    Each iteration is a distributed weighted least-squares fit with weights
-    1/(eps + |r|) and pseudo-target y + (2q - 1)(eps + |r|); the current
-    coefficients are carried as a model, so the lineage stays flat (every
-    iteration scores the same input with the previous model)."""
-    from pyspark.ml.regression import LinearRegression
-    cur = train.withColumn("_w", F.lit(1.0)).withColumn("_y", F.col(label).cast("double"))
-    model = None
-    for _ in range(iters):
-        lr = LinearRegression(featuresCol=feature_col, labelCol="_y", weightCol="_w",
-                              predictionCol="_p", regParam=0.0, solver="normal")
-        model = lr.fit(cur)
-        r = F.col(label).cast("double") - F.col("_p")
-        scored = model.transform(train)
-        cur = scored.select("*", (F.lit(eps) + F.abs(r)).alias("_a")) \
-                    .withColumn("_w", 1.0 / F.col("_a")) \
-                    .withColumn("_y", F.col(label).cast("double") + (2 * q - 1) * F.col("_a")) \
-                    .drop("_p", "_a")
-    return model
-
-
-def quantile_models(train: DataFrame, feature_col: str, label: str = "sales",
-                    quantiles: Sequence[float] = (0.05, 0.5, 0.95), iters: int = 15) -> dict:
-    """one IRLS model per quantile."""
-    return {q: irls_quantile(train, feature_col, label, q, iters) for q in quantiles}
-
-
-def predict_quantiles(models: dict, df: DataFrame, feature_col: str = "features") -> DataFrame:
-    """F8 + F9: chain the per-quantile models, clip at 0, repair crossings."""
-    out = df
-    for q, m in sorted(models.items()):
-        name = f"q{int(round(q * 100)):02d}"
-        out = m.setPredictionCol(f"{name}_raw").transform(out)
-    out = clip_quantiles(out)
-    return non_crossing(out)
+def repaired_quantiles(df: DataFrame, cols: Sequence[str] = ("q05", "q50", "q95")) -> DataFrame:
+    """F8 + F9: predictions of any subset of quantiles (``<col>_raw``), clipped at 0, put in order row by row.
+
+    Three columns go through the closed-form pool-adjacent-violators; any
+    other number through the general one over the row's array.
+    """
+    cols = sorted(cols)
+    df = clip_quantiles(df, cols)
+    if len(cols) == 3:
+        return non_crossing(df, *[f"{c}_clip" for c in cols], out=tuple(cols))
+    return df.withColumn("_iso", isotonic(F.array(*[F.col(f"{c}_clip") for c in cols]))) \
+        .withColumns({c: F.get("_iso", F.lit(k)) for k, c in enumerate(cols)}).drop("_iso")
+
+
+def isotonic(values: Column) -> Column:
+    """F9 for any number of values: the nearest non-decreasing sequence, value k being the max over i <= k of the min over j >= k of mean(i..j)."""
+    n = F.size(values)
+
+    def mean(i: Column, j: Column) -> Column:
+        return F.aggregate(F.slice(values, i + 1, j - i + 1), F.lit(0.0), lambda a, x: a + x) / (j - i + 1)
+
+    return F.transform(values, lambda _, k: F.array_max(F.transform(F.sequence(F.lit(0), k), lambda i: F.array_min(F.transform(F.sequence(k, n - 1), lambda j: mean(i, j))))))
 
 
 def save_model(model, path: str) -> None:

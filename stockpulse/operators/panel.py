@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,34 +71,46 @@ def join_audit(left: DataFrame, right: DataFrame, keys: Sequence[str],
                probe_col: str, how: str = "left") -> DataFrame:
     """Row-count change, duplicate right keys, unmatched rows and %.
 
-    Returns one row.  ``probe_col`` is a right-side column that is never
-    NULL on matched rows.
+    Returns one row, from one pass over each table. Left rows are counted by
+    key, so a hot key is one row; those counts meet the right side's counts
+    by key, and the joined rows are their products. ``probe_col`` is a
+    right-side column; its NULLs on matched rows count as unmatched.
     """
     keys = list(keys)
-    dup = (right.groupBy(*keys).count().where("count > 1")
-           .agg(F.count(F.lit(1)).alias("duplicate_right_keys")))
-    joined = left.join(right.select(*keys, probe_col), keys, how)
-    j = joined.agg(F.count(F.lit(1)).alias("rows_after"),
-                   F.count_if(F.col(probe_col).isNull()).alias("unmatched_rows"))
-    rows_before = left.agg(F.count(F.lit(1))).scalar()
-    return j.select(
-        rows_before.alias("rows_before"), "rows_after",
-        (F.col("rows_after") - rows_before).alias("row_change"),
-        dup.scalar().alias("duplicate_right_keys"),
-        "unmatched_rows",
-        (F.coalesce(F.try_divide(F.col("unmatched_rows") * 100.0, F.col("rows_after")), F.lit(0.0)))
-        .alias("unmatched_pct"))
-
-
-def key_coverage(a: DataFrame, b: DataFrame, key: str, name: str | None = None) -> DataFrame:
-    """Distinct keys in A, in B, and in both (INTERSECT)."""
-    ka, kb = a.select(key).distinct(), b.select(key).distinct()
-    both = ka.intersect(kb)
-    return both.agg(F.count(F.lit(1)).alias("n_common")).select(
-        F.lit(name or key).alias("key"),
-        ka.agg(F.count(F.lit(1))).scalar().alias("n_left"),
-        kb.agg(F.count(F.lit(1))).scalar().alias("n_right"),
-        "n_common")
+    have = [F.col(c).isNotNull() for c in keys]
+    known = have[0]
+    for h in have[1:]:
+        known = known & h
+    lefts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_l"))
+    rights = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_r"), F.count_if(F.col(probe_col).isNull()).alias("_nulls"))
+    met = lefts.join(rights.where(known), keys, "full")
+    zero = F.lit(0).cast("long")
+    n_left, n_right = F.coalesce("_l", zero), F.coalesce("_r", zero)
+    outer = how in ("left", "leftouter", "left_outer")
+    joined = n_left * (F.greatest(n_right, F.lit(1)) if outer else n_right)
+    unmatched = F.when(n_right == 0, n_left if outer else zero).otherwise(n_left * F.coalesce("_nulls", zero))
+    total = met.agg(F.coalesce(F.sum(n_left), zero).alias("rows_before"), F.coalesce(F.sum(joined), zero).alias("rows_after"),
+                    F.count_if(n_right > 1).alias("duplicate_right_keys"), F.coalesce(F.sum(unmatched), zero).alias("unmatched_rows"))
+    return total.select("rows_before", "rows_after", (F.col("rows_after") - F.col("rows_before")).alias("row_change"), "duplicate_right_keys", "unmatched_rows",
+                        F.coalesce(F.try_divide(F.col("unmatched_rows") * 100.0, F.col("rows_after")), F.lit(0.0)).alias("unmatched_pct"))
+
+
+def key_coverage(a: DataFrame, b: DataFrame, keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """For each named key, its distinct values in A, in B, and in both.
+
+    ``keys`` maps a name to the key's columns (in both tables). Each table is
+    read once: its rows become flag bits (1: in A, 2: in B) of their distinct
+    combinations, each combination becomes one row for each key, and the bits
+    of a key's values are put together and counted.
+    """
+    every = list(dict.fromkeys(c for cs in keys.values() for c in cs))
+    flagged = [t.groupBy(*every).agg(F.max(F.lit(bit)).alias("bit")) for t, bit in ((a, 1), (b, 2))]
+    names = F.array(*[F.struct(F.lit(k).alias("key"), F.when(F.greatest(*[F.col(c).isNull().cast("int") for c in cs], F.lit(0)) == 0,
+                                                             F.to_json(F.struct(*[F.col(c).cast("string") for c in cs]))).alias("value")) for k, cs in keys.items()])
+    values = flagged[0].unionByName(flagged[1]).select("bit", F.inline(names)).where("value is not null") \
+        .groupBy("key", "value").agg(F.bit_or("bit").alias("bits"))
+    return values.groupBy("key").agg(F.count_if(F.col("bits").isin(1, 3)).alias("n_left"), F.count_if(F.col("bits") >= 2).alias("n_right"),
+                                     F.count_if(F.col("bits") == 3).alias("n_common"))
 
 
 # ------------------------------------------------------------ B7-B12

@@ -10,7 +10,7 @@ constant quantile levels.  Float outputs are rounded to 6 decimals.
 
 from __future__ import annotations
 
-from stockpulse.config import DEFAULT
+from stockpulse.config import DEFAULT, ZERO_RATE_BOUNDS
 from stockpulse.operators.forecast import Z95
 from stockpulse.sources.testdata import FIXTURE_STATES
 
@@ -426,13 +426,16 @@ SELECT 'cat_dept' AS level, cat_id AS parent, dept_id AS child, count(DISTINCT i
 UNION ALL
 SELECT 'state_store', state_id, store_id, count(DISTINCT (item_id, store_id)) FROM sales_long GROUP BY 2, 3"""
 
-ORACLE["calendar_continuity"] = F_ + """
-SELECT min(date) AS first_date, max(date) AS last_date, count(*) AS rows,
-       CAST(date_diff('day', min(date), max(date)) + 1 AS INTEGER) AS expected_days,
-       count(*) = date_diff('day', min(date), max(date)) + 1 AS continuous, CAST(0 AS BIGINT) AS missing_dates,
-       (SELECT count(DISTINCT d) FROM sales_long) AS sales_days,
-       (SELECT count(*) FROM (SELECT DISTINCT d FROM sales_long) s WHERE s.d IN (SELECT d FROM cal)) AS sales_days_in_calendar
-FROM cal"""
+_DAY_ROWS = """, day_rows AS (SELECT CAST(""" + START + """ + (day_index - 1) AS DATE) AS date, qty AS units FROM daily)"""
+ORACLE["calendar_continuity"] = F_ + _DAY_ROWS + """
+SELECT (SELECT min(date) FROM cal) AS first_date, (SELECT max(date) FROM cal) AS last_date, (SELECT count(*) FROM cal) AS rows,
+       CAST((SELECT date_diff('day', min(date), max(date)) + 1 FROM cal) AS INTEGER) AS expected_days,
+       (SELECT count(DISTINCT date) = date_diff('day', min(date), max(date)) + 1 FROM cal) AS continuous,
+       (SELECT date_diff('day', min(date), max(date)) + 1 - count(DISTINCT date) FROM cal) AS missing_dates,
+       (SELECT count(*) FROM (SELECT date FROM cal GROUP BY date HAVING count(*) > 1)) AS repeated_dates,
+       count(DISTINCT date) AS sales_days, count(DISTINCT date) FILTER (WHERE date IN (SELECT date FROM cal)) AS sales_days_in_calendar,
+       date_diff('day', min(date), max(date)) + 1 - count(DISTINCT date) AS sales_gaps
+FROM day_rows"""
 
 ORACLE["price_coverage"] = F_ + """
 SELECT count(*) AS rows, count(DISTINCT item_id) AS items, count(DISTINCT store_id) AS stores,
@@ -440,11 +443,47 @@ SELECT count(*) AS rows, count(DISTINCT item_id) AS items, count(DISTINCT store_
        round(count(*) * 1.0 / (count(DISTINCT item_id) * count(DISTINCT store_id) * count(DISTINCT wm_yr_wk)), 6) AS coverage
 FROM prices"""
 
-ORACLE["event_frequency"] = F_ + """
-SELECT 'event_type' AS kind, t AS name, count(*) AS count
-FROM (SELECT event_type_1 AS t FROM cal UNION ALL SELECT event_type_2 FROM cal) x WHERE t IS NOT NULL GROUP BY t
-UNION ALL """ + " UNION ALL ".join(
-    f"SELECT 'snap_days', 'snap_{s}', CAST(sum(snap_{s}) AS BIGINT) FROM cal" for s in FIXTURE_STATES)
+ORACLE["event_frequency"] = F_ + _DAY_ROWS + """, per_day AS (SELECT date, count(*) AS n, sum(units) AS u FROM day_rows GROUP BY date),
+kinds AS (SELECT 'event_type' AS kind, event_type_1 AS name, date FROM cal UNION ALL SELECT 'event_type', event_type_2, date FROM cal
+          """ + " ".join(f"UNION ALL SELECT 'snap_days', 'snap_{s}', date FROM cal WHERE snap_{s} = 1" for s in FIXTURE_STATES) + """)
+SELECT kind, name, count(*) AS count, count(n) AS days_with_rows, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows, CAST(coalesce(sum(u), 0) AS BIGINT) AS units
+FROM kinds LEFT JOIN per_day USING (date) WHERE name IS NOT NULL GROUP BY kind, name"""
+
+_ASKED = " UNION ALL ".join(
+    f"""SELECT {n} AS lag, f.lag_{n} AS got, CAST(o.sales AS DOUBLE) AS want, o.item_id IS NOT NULL AS there
+FROM feat f LEFT JOIN feat o ON o.item_id = f.item_id AND o.store_id = f.store_id AND o.day_index = f.day_index - {n}"""
+    for n in DEFAULT.features.lags)
+ORACLE["lag_leaks"] = F_ + f""", asked AS ({_ASKED})
+SELECT lag, count(*) AS rows, count(*) FILTER (WHERE there) AS matched, count(*) FILTER (WHERE there AND got IS DISTINCT FROM want) AS mismatched,
+       count(*) FILTER (WHERE NOT there) AS lead_in, count(*) FILTER (WHERE NOT there AND got IS DISTINCT FROM 0.0) AS lead_in_set
+FROM asked GROUP BY lag"""
+
+ORACLE["validation_checks"] = F_ + f""", asked AS ({_ASKED}),
+gaps AS (SELECT day_index - lag(day_index) OVER ({W}) AS gap FROM feat),
+a AS (SELECT count(*) AS n, (SELECT count(*) FROM series) * {N_DAYS} AS expected,
+        count(*) FILTER (WHERE item_id IS NULL OR store_id IS NULL OR day_index IS NULL OR sales IS NULL OR split IS NULL) AS nulls,
+        count(*) FILTER (WHERE sales < 0) AS negative, count(DISTINCT split) AS splits, avg(CASE WHEN sales = 0 THEN 1.0 ELSE 0.0 END) AS zero_rate,
+        (SELECT count(*) FROM gaps WHERE gap <> 1) AS disorder,
+        (SELECT count(*) FROM asked WHERE got IS DISTINCT FROM coalesce(want, 0.0)) AS leaks
+      FROM feat)
+SELECT 'row_count' AS "check", abs(n - expected) <= expected * 0.01 AS passed, CAST(n AS DOUBLE) AS measured FROM a
+UNION ALL SELECT 'no_nulls_critical', nulls = 0, CAST(nulls AS DOUBLE) FROM a
+UNION ALL SELECT 'no_negative_sales', negative = 0, CAST(negative AS DOUBLE) FROM a
+UNION ALL SELECT 'all_splits_present', splits = 3, CAST(splits AS DOUBLE) FROM a
+UNION ALL SELECT 'catalogue_columns', true, 0.0 -- a schema fact: feat has every column of the catalogue
+UNION ALL SELECT 'zero_rate_in_bounds', zero_rate BETWEEN {ZERO_RATE_BOUNDS[0]} AND {ZERO_RATE_BOUNDS[1]}, round(CAST(zero_rate AS DOUBLE), 6) FROM a
+UNION ALL SELECT 'temporal_order', disorder = 0, CAST(disorder AS DOUBLE) FROM a
+UNION ALL SELECT 'no_lag_leakage', leaks = 0, CAST(leaks AS DOUBLE) FROM a"""
+
+CODED = ("item_id", "store_id", "dept_id", "weekday", "event_name_1", "event_type_1", "event_name_2", "event_type_2")
+_DICTS = ", ".join(f"d_{c} AS (SELECT {c} AS v, row_number() OVER (ORDER BY {c}) - 1 AS code, count(*) AS n FROM feat WHERE split = 'train' AND {c} IS NOT NULL GROUP BY {c})"
+                   for c in CODED)
+ORACLE["category_dictionary"] = F_ + f", {_DICTS} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", v AS value, code, n AS rows FROM d_{c}" for c in CODED)
+ORACLE["encoded_features"] = F_ + f", {_DICTS} SELECT {KEYS}, " + ", ".join(
+    f"CAST(coalesce(d_{c}.code, (SELECT count(*) FROM d_{c})) AS INTEGER) AS {c}_code" for c in CODED) + " FROM feat " + " ".join(
+    f"LEFT JOIN d_{c} ON feat.{c} = d_{c}.v" for c in CODED)
+ORACLE["file_features"] = ORACLE["feature_table"]
 
 ORACLE["dataset_summary"] = F_ + """
 SELECT count(*) AS rows, 52 AS columns, count(*) FILTER (WHERE split = 'train') AS train_rows,

@@ -17,15 +17,19 @@ from stockpulse.config import DEFAULT
 from stockpulse.functions.columns import round_doubles
 from stockpulse.operators import calibration as J
 from stockpulse.operators import conformal as H
+from stockpulse.operators import encode as EN
 from stockpulse.operators import features as FE
 from stockpulse.operators import forecast as FC
 from stockpulse.operators import impact as L
+from stockpulse.operators import layout as LY
 from stockpulse.operators import metrics as G
 from stockpulse.operators import panel as P
 from stockpulse.operators import quality as E
+from stockpulse.operators import quantile_regression as QR
 from stockpulse.operators import risk as K
 from stockpulse.operators import serving as M
 from stockpulse.plans.pipeline import Pipeline
+from stockpulse.session import ensure_checkpoint_dir
 from stockpulse.sources import testdata as TD
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,11 +94,8 @@ def _join_audit(p: Pipeline):
 def _key_cov(p: Pipeline):
     """Distinct series keys / weeks shared by sales and prices."""
     t = p.tables
-    s = t["sales_long"].withColumn("series", F.concat_ws("|", "item_id", "store_id")) \
-        .withColumn("wm_yr_wk", TD.week_of("day_index"))
-    pr = t["prices"].withColumn("series", F.concat_ws("|", "item_id", "store_id"))
-    return P.key_coverage(s, pr, "series").unionByName(P.key_coverage(s, pr, "wm_yr_wk")) \
-        .unionByName(P.key_coverage(s, pr, "store_id")).unionByName(P.key_coverage(s, pr, "item_id"))
+    sales = t["sales_long"].select("item_id", "store_id", TD.week_of("day_index").alias("wm_yr_wk"))
+    return P.key_coverage(sales, t["prices"], {"series": ["item_id", "store_id"], "wm_yr_wk": ["wm_yr_wk"], "store_id": ["store_id"], "item_id": ["item_id"]})
 
 
 @query("price_fill")
@@ -164,7 +165,7 @@ def _dups(p: Pipeline):
 @query("distinct_counts")
 def _distinct(p: Pipeline):
     """E4."""
-    return E.distinct_counts(p.tables["sales_long"], ["item_id", "dept_id", "cat_id", "store_id", "state_id"])
+    return E.distinct_counts(p.series, ["item_id", "dept_id", "cat_id", "store_id", "state_id"])
 
 
 @query("describe_sales")
@@ -181,14 +182,14 @@ def _series_mean(p: Pipeline):
 
 @query("hierarchy_counts")
 def _hier(p: Pipeline):
-    """E8."""
-    return E.hierarchy_counts(p.tables["sales_long"])
+    """E8, from one row for each series."""
+    return E.hierarchy_counts(p.series)
 
 
 @query("calendar_continuity")
 def _cal_cont(p: Pipeline):
     """E9."""
-    return E.calendar_continuity(p.tables["calendar"], p.tables["sales_long"])
+    return E.calendar_continuity(p.tables["calendar"], p.day_rows)
 
 
 @query("price_coverage")
@@ -200,13 +201,46 @@ def _price_cov(p: Pipeline):
 @query("event_frequency")
 def _event_freq(p: Pipeline):
     """E11."""
-    return E.event_frequency(p.tables["calendar"])
+    return E.event_frequency(p.tables["calendar"], p.day_rows)
 
 
 @query("validation_checks")
 def _checks(p: Pipeline):
-    """E12 - E18."""
-    return E.validation_checks(p.features, p.states, expected_rows=None)
+    """Expectations come from the source, not from the checked table."""
+    return E.validation_checks(p.features, p.states, p.expected_rows).select("check", "passed", "measured")
+
+
+@query("lag_leaks")
+def _leaks(p: Pipeline):
+    """Lag columns against the sales they must hold, joined by day."""
+    return E.lag_leaks(p.features, p.cfg.features.lags)
+
+
+CODED = ("item_id", "store_id", "dept_id", "weekday", "event_name_1", "event_type_1", "event_name_2", "event_type_2")
+
+
+@query("encoded_features")
+def _encoded(p: Pipeline):
+    """Category codes by a dictionary of the train split; values that train lacks get the code after the last."""
+    d = EN.Dictionary.fit(p.features.where(F.col("split") == "train"), CODED)
+    return d.encode(p.features, CODED).select(*KEYS, *[f"{c}_code" for c in CODED])
+
+
+@query("category_dictionary")
+def _dictionary(p: Pipeline):
+    """The dictionary itself, with the rows of each value."""
+    return EN.value_dictionary(p.features.where(F.col("split") == "train"), CODED)
+
+
+@query("file_features")
+def _file_features(p: Pipeline):
+    """The three raw files written as CSV, read back by their headers, and the feature table of those files."""
+    root = f"{ensure_checkpoint_dir(p.spark).rstrip('/')}/stockpulse/{p.spark.sparkContext.applicationId}/files-{p.manifest}"
+    t, panel = p.tables, p.cfg.panel
+    LY.write_csv(t["calendar"], f"{root}/calendar")
+    LY.write_csv(t["prices"], f"{root}/prices")
+    LY.write_csv(TD.sales_wide(p.spark, p.sf_dir, panel, 1, panel.n_days, p.day_maps), f"{root}/sales")
+    return Pipeline.from_files(p.spark, {k: f"{root}/{k}" for k in ("calendar", "prices", "sales")}, DEFAULT, materialize=MATERIALIZE).features
 
 
 @query("dataset_summary")
@@ -561,7 +595,7 @@ def _thr_select(p: Pipeline):
 def _vreport(p: Pipeline):
     """E18 + E22: check table, split index and target stats (no oracle:
     formatted text)."""
-    return E.validation_report(p.features, p.states)
+    return E.validation_report(p.features, p.states, p.expected_rows)
 
 
 @query("inspect_sample")
@@ -577,51 +611,61 @@ def _sample_items(p: Pipeline):
     return M.sample_items(p.impact, 5, 42).select(*KEYS, "actual", "point")
 
 
-# ------------------------------------------------------------ F (Spark ML; rows-only checks)
-ML_FEATURES = ("sell_price", "price_rel_to_mean", "has_price", "has_any_event", "snap_active", "day_of_week",
-               "is_weekend", "month", "lag_7", "lag_14", "lag_28", "rolling_mean_7", "rolling_mean_14",
-               "rolling_mean_28", "rolling_std_7", "rolling_std_28")
-
-
+# ------------------------------------------------------------ F (trained models; rows-only checks)
 @query("tweedie_forecast")
 def _tweedie(p: Pipeline):
-    """Tweedie GLM (log link, power 1.5) trained on
-    train, scored on val and test; accuracy per split."""
-    model = FC.fit_point_model(p.features, FC.tweedie_model(list(ML_FEATURES)), train_splits=("train",))
-    scored = FC.predict_clipped(model, p.features.where(F.col("split").isin("val", "test")))
-    preds = scored.select(*KEYS, "split", F.col("sales").alias("actual"), "point")
-    return G.point_metrics(preds, ["split"])
+    """Tweedie GLM (log link, power 1.5) over the whole catalogue and the ids,
+    trained on train, saved, read back, scored on val and test; accuracy per split."""
+    return G.point_metrics(Pipeline(p.spark, p.sf_dir, DEFAULT, MATERIALIZE, "tweedie").predictions, ["split"])
+
+
+@query("trained_interval_scores")
+def _trained_scores(p: Pipeline):
+    """F / H / I of the trained models: conformal intervals around the Tweedie forecast and those of the fitted
+    quantiles, scored like the baseline's."""
+    t = Pipeline(p.spark, p.sf_dir, DEFAULT, MATERIALIZE, "tweedie")
+    return G.interval_scores(t.intervals_long, t.train, by=["method"], alpha=t.cfg.uncertainty.alpha)
+
+
+@query("trained_recommendations")
+def _trained_recs(p: Pipeline):
+    """K of the trained models: risk levels and recommendations counted by level and root cause."""
+    t = Pipeline(p.spark, p.sf_dir, DEFAULT, MATERIALIZE, "tweedie")
+    return t.risk.groupBy("Risk_Level", "Root_Cause").agg(F.count(F.lit(1)).alias("rows"), F.avg("Risk_Score").alias("mean_score"))
 
 
 @query("gbt_importance")
 def _gbt(p: Pipeline):
-    """GBT with early stopping on val; top-15 features by
+    """Boosted trees over the whole catalogue, codes as categories, early stopping on val; top-15 features by
     gain with split counts."""
-    model = FC.fit_point_model(p.features, FC.gbt_model(list(ML_FEATURES), max_iter=30, max_depth=4))
-    return FC.feature_importance(model, list(ML_FEATURES)).limit(15)
+    rows, numeric, codes = p.model_inputs
+    model = FC.fit_point_model(rows, FC.gbt_inputs(numeric, codes, p.dictionary, max_iter=30, max_depth=4))
+    return FC.feature_importance(model, [*numeric, *codes]).limit(15)
 
 
 @query("quantile_forecast")
 def _qforecast(p: Pipeline):
-    """IRLS quantile regression (q05 / q50 / q95),
+    """Linear quantile regression (q05 / q50 / q95) over the whole catalogue and the ids,
     clipped, non-crossing, interval on test; crossing report."""
-    from pyspark.ml.feature import VectorAssembler
-    cols = ["lag_7", "rolling_mean_7", "rolling_mean_28", "rolling_std_28"]
-    va = VectorAssembler(inputCols=cols, outputCol="features")
-    train = va.transform(p.features.where(F.col("split") == "train").select("sales", *cols))
-    models = FC.quantile_models(train, "features", "sales", (0.05, 0.5, 0.95), iters=6)
-    test = va.transform(p.features.where(F.col("split") == "test").select(*KEYS, "sales", *cols))
-    q = FC.quantile_interval(FC.predict_quantiles(models, test), 0.1)
-    return FC.crossing_report(q)
+    test = p.quantile_predictions.where(F.col("split") == "test")
+    return FC.crossing_report(FC.quantile_interval(FC.repaired_quantiles(test), 0.1))
+
+
+@query("quantile_levels")
+def _qlevels(p: Pipeline):
+    """share of rows below each fitted quantile, by split."""
+    return QR.level_report(p.quantile_predictions, DEFAULT.uncertainty.quantiles)
 
 
 @query("param_search")
 def _search(p: Pipeline):
     """seeded random search (3 trials) over GLM regularisation and
     iterations, minimising validation RMSE."""
+    rows, numeric, codes = p.model_inputs
+
     def make(reg, max_iter):
-        return FC.tweedie_model(list(ML_FEATURES), reg=reg, max_iter=int(max_iter))
-    return FC.random_search(p.features, make, {"reg": ("loguniform", 1e-4, 1e-1), "max_iter": ("int", 5, 25)},
+        return FC.tweedie_inputs(numeric, codes, p.dictionary, reg=reg, max_iter=int(max_iter))
+    return FC.random_search(rows, make, {"reg": ("loguniform", 1e-4, 1e-1), "max_iter": ("int", 5, 25)},
                             n_trials=3, seed=42)
 
 

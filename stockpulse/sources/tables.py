@@ -7,6 +7,7 @@ Catalyst.
 
 from __future__ import annotations
 
+import csv
 import os
 from collections.abc import Iterable, Mapping
 
@@ -42,11 +43,24 @@ PRICES_SCHEMA = T.StructType([
 SALES_ID_COLUMNS = ("id", "item_id", "dept_id", "cat_id", "store_id", "state_id")
 
 
-def wide_sales_schema(n_days: int, first_day: int = 1) -> T.StructType:
-    fields = [T.StructField(c, T.StringType()) for c in SALES_ID_COLUMNS]
-    fields += [T.StructField(f"d_{i}", T.IntegerType())
-               for i in range(first_day, first_day + n_days)]
-    return T.StructType(fields)
+#: Columns of the raw files by type; every other column of a file is a string, d_<n> and snap_<state> columns are integers.
+KNOWN_TYPES = {f.name: f.dataType for s in (CALENDAR_SCHEMA, PRICES_SCHEMA) for f in s.fields} | {c: T.StringType() for c in SALES_ID_COLUMNS}
+
+
+def header_schema(spark: SparkSession, path: str) -> T.StructType:
+    """A1: the schema of a CSV file from its header line alone, without a pass over its rows."""
+    first = spark.read.text(path).first()
+    names = next(csv.reader([first[0].lstrip("\ufeff")])) if first else []
+    if len(set(names)) != len(names):
+        raise ValueError(f"{path}: a column name is repeated")
+
+    def kind(c: str) -> T.DataType:
+        if c in KNOWN_TYPES:
+            return KNOWN_TYPES[c]
+        number = c.startswith("snap_") or (c.startswith("d_") and c[2:].isdigit())
+        return T.IntegerType() if number else T.StringType()
+
+    return T.StructType([T.StructField(c, kind(c)) for c in names])
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
@@ -58,10 +72,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              nrows: int | None = None, date_columns: Iterable[str] = ()) -> DataFrame:
-    """A1: header CSV scan with typed columns and an optional row limit."""
-    r = spark.read.option("header", True)
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    df = r.csv(path)
+    """A1: header CSV scan with typed columns (by default those of the header) and an optional row limit."""
+    df = spark.read.option("header", True).option("maxColumns", 100_000).option("enforceSchema", False) \
+        .schema(schema if schema is not None else header_schema(spark, path)).csv(path)
     for c in date_columns:
         df = df.withColumn(c, F.to_date(c))
     return df.limit(nrows) if nrows else df
@@ -80,26 +93,26 @@ def _exists(path: str) -> bool:
     return os.path.exists(path.replace("file://", ""))
 
 
+#: Columns without which a raw table cannot be used.
+NEEDED = {"calendar": ("d", "date", "wm_yr_wk"), "prices": ("store_id", "item_id", "wm_yr_wk", "sell_price"), "sales": ("item_id", "store_id")}
+
+
 def load_m5_tables(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """A2: calendar / sell_prices / sales (wide) readers with an up-front check.
 
-    ``paths`` maps ``calendar``, ``prices`` and ``sales`` to CSV or Parquet paths.
+    ``paths`` maps ``calendar``, ``prices`` and ``sales`` to CSV or Parquet
+    paths. CSV schemas come from the header lines, so a wide sales file of any
+    number of days and a calendar of any states are read once, typed. Missing
+    files and missing columns raise before any rows are read.
     """
+    if (gone := sorted(set(NEEDED) - set(paths))):
+        raise ValueError("no path for: " + ", ".join(gone))
     check_inputs_exist(paths)
-
-    def _read(key, schema=None, dates=()):
-        p = paths[key]
-        if p.endswith(".parquet"):
-            return spark.read.parquet(p)
-        return load_csv(spark, p, schema, date_columns=dates)
-
-    return {
-        # a new schema for each call: StructType.add changes the object it is called on
-        "calendar": _read("calendar", T.StructType([*CALENDAR_SCHEMA.fields, *(
-            T.StructField(f"snap_{s}", T.IntegerType()) for s in ("CA", "TX", "WI"))])),
-        "prices": _read("prices", PRICES_SCHEMA),
-        "sales": _read("sales"),
-    }
+    out = {k: spark.read.parquet(paths[k]) if paths[k].rstrip("/").endswith(".parquet") else load_csv(spark, paths[k]) for k in NEEDED}
+    for k, columns in NEEDED.items():
+        if (gone := [c for c in columns if c not in out[k].columns]):
+            raise ValueError(f"{paths[k]}: missing columns {', '.join(gone)}")
+    return out
 
 
 def read_stage_output(spark: SparkSession, path: str, fmt: str = "parquet",
