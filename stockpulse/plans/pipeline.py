@@ -40,6 +40,10 @@ _MATERIALIZED: dict = {}
 SOURCES = ("lineitem", "part", "supplier", "nation", "region")
 
 
+#: Stages that do not depend on the point forecast.
+SHARED_STAGES = {"day_maps", "sales_long", "features", "dictionary", "model_inputs", "quantile_model", "quantile_predictions", "tweedie_predictions"}
+
+
 def manifest(spark: SparkSession, paths: Sequence[str]) -> str:
     """Digest of the names, sizes and times of all files below ``paths``: the files' contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths)).select("path", "length", F.col("modificationTime").cast("double"))
@@ -85,7 +89,7 @@ class Pipeline:
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
-        return T.load_m5_tables(self.spark, self.files)
+        return T.check_columns(T.load_m5_tables(self.spark, self.files))
 
     def _file_window(self) -> PanelConfig:
         """Day 1 to the last day column of the wide sales; the last 2 x 28 days are the validation and test splits."""
@@ -142,7 +146,8 @@ class Pipeline:
         return P.join_prices(P.join_calendar(t["sales_long"], t["calendar"]), t["prices"])
 
     def _key(self, name: str):
-        return (self.spark.sparkContext.applicationId, self.sf_dir, self.manifest, repr(self.cfg), self.forecaster, name)
+        own = "" if name in SHARED_STAGES or name.startswith("model-") else self.forecaster
+        return (self.spark.sparkContext.applicationId, self.sf_dir, self.manifest, repr(self.cfg), own, name)
 
     def _stage(self, name: str, build, partition_by=()) -> DataFrame:
         """Stage boundary.  ``build`` returns the stage's lazy DataFrame;

@@ -103,16 +103,20 @@ def load_m5_tables(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, D
     ``paths`` maps ``calendar``, ``prices`` and ``sales`` to CSV or Parquet
     paths. CSV schemas come from the header lines, so a wide sales file of any
     number of days and a calendar of any states are read once, typed. Missing
-    files and missing columns raise before any rows are read.
+    files raise before any rows are read (missing columns: ``check_columns``).
     """
     if (gone := sorted(set(NEEDED) - set(paths))):
         raise ValueError("no path for: " + ", ".join(gone))
     check_inputs_exist(paths)
-    out = {k: spark.read.parquet(paths[k]) if paths[k].rstrip("/").endswith(".parquet") else load_csv(spark, paths[k]) for k in NEEDED}
-    for k, columns in NEEDED.items():
-        if (gone := [c for c in columns if c not in out[k].columns]):
-            raise ValueError(f"{paths[k]}: missing columns {', '.join(gone)}")
-    return out
+    return {k: spark.read.parquet(paths[k]) if paths[k].rstrip("/").endswith(".parquet") else load_csv(spark, paths[k]) for k in NEEDED}
+
+
+def check_columns(raw: Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
+    """A2: ``raw`` itself, or an error that names the columns which a raw table lacks."""
+    gone = [f"{k}.{c}" for k, columns in NEEDED.items() for c in columns if c not in raw[k].columns]
+    if gone:
+        raise ValueError("missing columns: " + ", ".join(gone))
+    return raw
 
 
 def read_stage_output(spark: SparkSession, path: str, fmt: str = "parquet",
