@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import sys
 import tempfile
 import uuid
 
@@ -19,6 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = "file://" + tempfile.mkdtemp(prefix="llm-shared-")
         spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")
@@ -67,6 +71,8 @@ def hold(key, make):
         _held.clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
         _held[key] = make()
     return _held[key]
 
@@ -89,7 +95,7 @@ def with_bases(df: DataFrame, totals: DataFrame, part: str, n: str, base: str) -
     return df.join(F.broadcast(bases), part)
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Components of an edge list (u, v: long) as rows (node, root).
 
     Alternates large-star and small-star steps until the edges are stars
@@ -120,12 +126,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     seen = mark(now)
     if not seen[0]:
         return spark.createDataFrame([], "node long, root long")
-    for _ in range(max_rounds):
+    while True:
         now = star(star(now, True), False).checkpoint()
         if (new := mark(now)) == seen:
             break
         seen = new
-    else:
-        raise RuntimeError("connected components did not settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from stockpulse.llm.common import hold, written
 
-#: Entries of an encoder's word cache; beyond it the cache starts anew.
-CACHE_WORDS = 200_000
+#: Entries of an encoder's word cache: at half of them the older half goes.
+CACHE_WORDS = 800_000
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -48,6 +48,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.line_end, = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.inner: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
 
     def _learn(self, pieces: set[str], cache: dict[str, bytes], lead: str) -> None:
@@ -70,15 +71,21 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [_LONE_SPACE.split(t) if _odd(t) else t.split(" ") for t in texts]
-        for cache in (self.inner, self.first):
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
+        if len(self.inner) > CACHE_WORDS // 2:
+            self.older, self.inner = self.inner, {}
+        if len(self.first) > CACHE_WORDS // 8:
+            self.first.clear()
         heads = [c.pop(0) for c in cut]
         self._learn(set(heads) - self.first.keys(), self.first, "")
         get = self.inner.get
         got = [list(map(get, c)) for c in cut]
         late = [k for k, g in enumerate(got) if None in g]
-        self._learn({w for k in late for w, g in zip(cut[k], got[k]) if g is None}, self.inner, " ")
+        new = {w for k in late for w, g in zip(cut[k], got[k]) if g is None}
+        if self.older:  # words in use move to the newer half
+            seen = new & self.older.keys()
+            self.inner.update((w, self.older[w]) for w in seen)
+            new -= seen
+        self._learn(new, self.inner, " ")
         for k in late:
             got[k] = list(map(get, cut[k]))
         return [self.first[h] + b"".join(g) for h, g in zip(heads, got)]
