@@ -80,12 +80,20 @@ def test_line_dedup_equals_sql(spark, sf):
 
 def test_line_dedup_templates(spark):
     rows = [(1, "Order 17 was sent on 2020-01-02 to you\nmy own words are here"), (2, "Order 99 was sent on 2021-05-06 to you\nother words stand here"),
-            (3, "to see this whole page please log in as alice\nunique third text"), (4, "to see this whole page please log in as bob\nunique fourth text"),
-            (5, "to see this whole page please log in as carol"), (6, "ok\nok ok"), (7, "ok\nok ok")]
+            (3, "please log in as alice to see this whole page\nunique third text"), (4, "please log in as bob to see this whole page\nunique fourth text"),
+            (5, "please log in as carol to see this whole page"), (6, "ok\nok ok"), (7, "ok\nok ok")]
     got = {r["doc_id"]: r["text"] for r in lines.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: rows[0][1], 2: "other words stand here", 3: rows[2][1], 4: "unique fourth text", 5: "", 6: "ok\nok ok", 7: "ok\nok ok"}
 
 
+def test_line_dedup_without_blanks_or_constants(spark):
+    """A long line without blanks recurs as it stands; lines of numbers alone recur only with the same numbers."""
+    passage = "同じ文章がここにある。" * 4
+    rows = [(1, f"{passage}\n12 7 3\n短い"), (2, f"{passage}\n12 7 4\n短い"), (3, "12 7 3\nmy own words here")]
+    got = {r["doc_id"]: r["text"] for r in lines.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "12 7 4\n短い", 3: "my own words here"}
+
+
 def test_line_dedup_odd_rows(odd, empty):
     got = lines.drop_recurring_lines(odd)
     rows = got.collect()
