@@ -56,7 +56,7 @@ SHINGLE, THRESHOLD = 2, 80
 SKETCH, INDEXED, SHARED = 128, 64, 25
 #: Nodes in a block of a list.
 CELL = 256
-STARS = 3
+STARS = 2
 
 
 def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -113,13 +113,19 @@ def inverted_lists(nodes: DataFrame) -> DataFrame:
     return ranked.select("node", F.explode(F.slice("r", 1, take)).alias("e")).select(F.col("e.value").alias("value"), "node")
 
 
-def _centres(lists: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+def _mixed(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """(value, node, root) of the lists that still hold several components; the others never will again."""
+    rooted = lists.select("value", "node").join(roots, "node")
+    several = rooted.groupBy("value").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("value")
+    return written(rooted.join(several, "value"), "minhash-mixed")
+
+
+def _centres(mixed: DataFrame, turn: int) -> DataFrame:
     """(u, v): every node with the node that leads most of its lists, if in another component; the leaders change from turn to turn."""
-    rooted = lists.join(roots, "node")
     order = F.col("node") if not turn else F.xxhash64("node", F.lit(turn))
-    lead = rooted.groupBy("value").agg(F.min(F.struct(order.alias("o"), "node", "root")).alias("lead"), F.min("root").alias("r0"), F.max("root").alias("r1")) \
-        .where("r0 <> r1").select("value", F.col("lead.node").alias("centre"), F.col("lead.root").alias("led"))
-    met = rooted.join(lead, "value").where("root <> led").groupBy("node", "centre").agg(F.count("*").alias("k"))
+    lead = mixed.groupBy("value").agg(F.min(F.struct(order.alias("o"), "node", "root")).alias("lead")) \
+        .select("value", F.col("lead.node").alias("centre"), F.col("lead.root").alias("led"))
+    met = mixed.join(lead, "value").where("root <> led").groupBy("node", "centre").agg(F.count("*").alias("k"))
     return met.groupBy(F.col("node").alias("u")).agg(F.max(F.struct("k", (-F.col("centre")).alias("c"))).alias("best")).select("u", (-F.col("best.c")).alias("v"))
 
 
@@ -200,10 +206,10 @@ def _block_pairs(a: list, b: list, best: bool) -> np.ndarray:
     return found[:, :3]
 
 
-def _open_pairs(lists: DataFrame, nodes: DataFrame, roots: DataFrame, cell: int, best: bool) -> DataFrame:
-    """(u, v, estimate): pairs past the filter that meet in a list and are in different components; ``best``: as in ``_block_pairs``."""
+def _open_pairs(lists: DataFrame, nodes: DataFrame, cell: int, best: bool) -> DataFrame:
+    """(u, v, estimate): pairs past the filter that meet in a list of ``_mixed`` and are in different components; ``best``: as in ``_block_pairs``."""
     band = F.floor(F.log(F.col("n").cast("double")) / -F.log(F.lit(THRESHOLD / 100)) + 1e-9).cast("int")
-    banded = lists.join(roots.join(nodes.select("node", band.alias("own_band")), "node"), "node") \
+    banded = lists.join(nodes.select("node", band.alias("own_band")), "node") \
         .select("value", "node", "root", "own_band", F.explode(F.array(F.col("own_band"), F.col("own_band") + 1)).alias("band")) \
         .withColumn("in_band", F.col("band") == F.col("own_band"))
     mixed = banded.groupBy("value", "band").agg(
@@ -305,10 +311,12 @@ def components(docs: DataFrame, shingle: int = SHINGLE, cell: int = CELL) -> Dat
     lists = written(inverted_lists(nodes), "minhash-lists")
     roots = nodes.select("node", F.col("node").alias("root"))
     for turn in range(STARS):
-        star = written(_likely(_centres(lists, roots, turn), nodes), "minhash-star")
+        lists = _mixed(lists, roots)
+        star = written(_likely(_centres(lists, turn), nodes), "minhash-star")
         roots = _joined(roots, _verified(star, nodes, docs, shingle))
-    roots = _joined(roots, _verified(written(_open_pairs(lists, nodes, roots, cell, True), "minhash-best"), nodes, docs, shingle))
-    open_ = written(_open_pairs(lists, nodes, roots, cell, False), "minhash-open")
+    lists = _mixed(lists, roots)
+    roots = _joined(roots, _verified(written(_open_pairs(lists, nodes, cell, True), "minhash-best"), nodes, docs, shingle))
+    open_ = written(_open_pairs(_mixed(lists, roots), nodes, cell, False), "minhash-open")
     for width in (1, 16, None):
         if open_.isEmpty():
             break
