@@ -157,12 +157,28 @@ def _sizes_fit(a: Column, b: Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * THRESHOLD
 
 
+def _few_pairs(a: list, b: list, best: bool) -> np.ndarray:
+    """``_block_pairs`` of a few nodes."""
+    found = {}
+    for i, x in enumerate(a):
+        for y in (b[i + 1:] if a is b else b):
+            if x[1] != y[1] and (x[3] or y[3]) and min(x[2], y[2]) * 100 >= max(x[2], y[2]) * THRESHOLD:
+                e = _alike(np.frombuffer(x[4], "<u2"), np.frombuffer(y[4], "<u2"))
+                if e >= 0.5:
+                    u, v = min(x[0], y[0]), max(x[0], y[0])
+                    key = (min(x[1], y[1]), max(x[1], y[1])) if best else (u, v)
+                    found[key] = max(found.get(key, (0, 0, 0)), (int(e * 1_000_000), -u, -v))
+    return np.array([(-u, -v, e) for e, u, v in found.values()], "i8").reshape(-1, 3)
+
+
 def _block_pairs(a: list, b: list, best: bool) -> np.ndarray:
     """Pairs past the filter between two blocks of (node, root, n, in_band, marks), of different roots; within one, if they are the same.
 
     Rows (u, v, estimate in millionths); ``best``: only the likeliest pair of each two roots.
     """
     every = a if a is b else a + b
+    if len(every) <= 4:  # most blocks: pair by pair
+        return _few_pairs(a, b, best)
     sets = [np.frombuffer(x[4], "<u2") for x in every]
     sizes = np.array([len(x) for x in sets])
     _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -265,17 +281,30 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int)
 
     def full(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t.as_py(), shingle).tobytes() for t in b.column(1)], pa.binary())], ["node", "full"])
-
-    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column(2), b.column(3)):
-                x, y = np.frombuffer(x.as_py(), "u8"), np.frombuffer(y.as_py(), "u8")
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= THRESHOLD * (len(x) + len(y) - both))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["u", "v"])
+            sets = [shingle_set(t.as_py(), shingle) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in sets], pa.binary()),
+                                              pa.array([np.sort(x.astype("<u2")).tobytes() for x in sets], pa.binary())], ["node", "full", "short"])
+
+    def common(x: np.ndarray, y: np.ndarray) -> int:
+        """Values in both, as often as in the one that has fewer."""
+        at, n = np.unique(x, return_counts=True)
+        return int(np.minimum(n, np.searchsorted(y, at, "right") - np.searchsorted(y, at, "left")).sum())
+
+    def check(kind: str):
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                keep = []
+                for x, y in zip(b.column(2), b.column(3)):
+                    x, y = np.frombuffer(x.as_py(), kind), np.frombuffer(y.as_py(), kind)
+                    both = common(x, y)
+                    keep.append(100 * both >= THRESHOLD * (len(x) + len(y) - both))
+                keep = pa.array(keep, pa.bool_())
+                yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["u", "v"])
+        return run
+
+    def checked(some: DataFrame, column: str, kind: str, name: str) -> DataFrame:
+        of = [sets.select(F.col("node").alias(x), F.col(column).alias(f"f_{x}")) for x in ("u", "v")]
+        return written(some.select("u", "v").join(of[1], "v").join(of[0], "u").select("u", "v", "f_u", "f_v").mapInArrow(check(kind), "u long, v long"), name)
 
     asked = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().join(nodes.select("node", "rep"), "node") \
         .select("node", F.col("rep.doc_id").alias("d"), F.col("rep.h1").alias("a"), F.col("rep.h2").alias("b"))
@@ -283,9 +312,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_text_hashes(text), text.alias("text"))
     met = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b"))) \
         .select("node", "text").dropDuplicates(["node"])
-    sets = written(met.mapInArrow(full, "node long, full binary"), "minhash-sets")
-    both = pairs.select("u", "v").join(sets.select(F.col("node").alias("v"), F.col("full").alias("f_v")), "v").join(sets.select(F.col("node").alias("u"), F.col("full").alias("f_u")), "u")
-    return written(both.select("u", "v", "f_u", "f_v").mapInArrow(check, "u long, v long"), "minhash-links")
+    sets = written(met.mapInArrow(full, "node long, full binary, short binary"), "minhash-sets")
+    # 16 bits of each hash never show too little in common, and are a quarter of the bytes; what they leave is checked in full
+    return checked(checked(pairs, "short", "<u2", "minhash-near"), "full", "<u8", "minhash-links")
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
