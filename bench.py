@@ -26,6 +26,7 @@ HEADLINE = [
     "calibration_curve", "volatility_regimes", "segment_calibration", "risk_level_counts", "recommendations",
     "policy_kpis", "scenario_kpis", "sensitivity_grid", "whatif_kpis", "sku_card", "exposure_topn",
     "validation_checks", "zero_rate_grouping_sets", "missing_report", "join_audit",
+    "key_coverage", "distinct_counts", "hierarchy_counts", "duplicate_rows", "lag_leaks", "encoded_features",
 ]
 
 
@@ -33,7 +34,7 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     from stockpulse.session import get_spark
-    from stockpulse.plans.pipeline import Pipeline
+    from stockpulse.plans.pipeline import Pipeline, release_stages
     from stockpulse.plans.queries import registry
     from stockpulse.config import DEFAULT
     spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
@@ -54,6 +55,7 @@ def main():
         t = time.time()
         reg[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t, 3)
+    release_stages(spark)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_query_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(m.group(1)) if m else sf_dir}))
