@@ -46,11 +46,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpulse.llm.common import connected_components, written
+from stockpulse.llm.ngram_lm import word_hashes
 
 SHINGLE, THRESHOLD = 2, 80
 SKETCH, INDEXED, SHARED = 128, 64, 25
@@ -59,19 +59,49 @@ CELL = 256
 STARS = 2
 
 
-def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
-    """The sorted 64-bit hashes of a whole text's different shingles (fewer words: the one whole sequence; none: empty)."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.empty(0, "u8")
-    h = np.fromiter(map(xxhash.xxh64_intdigest, words), "u8", len(words))
-    k = min(shingle, len(words))
-    x = np.full(len(words) - k + 1, k, "u8")
+#: Bytes of text that are hashed at a time.
+_BLOCK = 1 << 20
+
+
+def _shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
+    """A 64-bit hash of every ``k`` consecutive words, given the words' hashes."""
+    x = np.full(len(h) - k + 1, k, "u8")
     for j in range(k):
         x = (x ^ h[j:len(h) - k + 1 + j]) * np.uint64(0x9E3779B97F4A7C15)
         x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    return np.unique(x ^ (x >> np.uint64(32)))
+    return x ^ (x >> np.uint64(32))
+
+
+def shingle_sets(texts: Iterable[str | None], shingle: int = SHINGLE) -> Iterator[np.ndarray]:
+    """The sorted 64-bit hashes of each whole text's different shingles (fewer words: the one whole sequence; none: empty)."""
+    block, size = [], 0
+
+    def hashed() -> Iterator[np.ndarray]:
+        # every text has a line end behind it, which belongs to no word
+        starts, h = word_hashes(b"\n".join(block))
+        ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in block])).tolist()
+        every = _shingle_hashes(h, shingle) if len(h) >= shingle else h[:0]
+        begin = 0
+        for end in ends:
+            x = every[begin:end - shingle + 1] if end - begin >= shingle else _shingle_hashes(h[begin:end], end - begin) if end > begin else h[:0]
+            x = np.sort(x)
+            yield x[np.append(True, x[1:] != x[:-1])] if len(x) > 1 else x
+            begin = end
+
+    for t in texts:
+        block.append((t or "").encode("utf-8", "surrogatepass"))
+        size += len(block[-1])
+        if size >= _BLOCK:
+            yield from hashed()
+            block, size = [], 0
+    if block:
+        yield from hashed()
+
+
+def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """``shingle_sets`` of one text."""
+    return next(shingle_sets([text], shingle))
 
 
 def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -83,7 +113,7 @@ def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingle_set(t.as_py(), shingle) for t in b.column(3)]
+            sets = list(shingle_sets(b.column(3).to_pylist(), shingle))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:3], pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
@@ -281,9 +311,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int)
 
     def full(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingle_set(t.as_py(), shingle) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in sets], pa.binary()),
-                                              pa.array([np.sort(x.astype("<u2")).tobytes() for x in sets], pa.binary())], ["node", "full", "short"])
+            sets = list(shingle_sets(b.column(3).to_pylist(), shingle))
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([x.tobytes() for x in sets], pa.binary()),
+                                              pa.array([np.sort(x.astype("<u2")).tobytes() for x in sets], pa.binary())], ["node", "is_u", "is_v", "full", "short"])
 
     def common(x: np.ndarray, y: np.ndarray) -> int:
         """Values in both, as often as in the one that has fewer."""
@@ -303,16 +333,17 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int)
         return run
 
     def checked(some: DataFrame, column: str, kind: str, name: str) -> DataFrame:
-        of = [sets.select(F.col("node").alias(x), F.col(column).alias(f"f_{x}")) for x in ("u", "v")]
+        of = [sets.where(f"is_{x}").select(F.col("node").alias(x), F.col(column).alias(f"f_{x}")) for x in ("u", "v")]
         return written(some.select("u", "v").join(of[1], "v").join(of[0], "u").select("u", "v", "f_u", "f_v").mapInArrow(check(kind), "u long, v long"), name)
 
-    asked = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().join(nodes.select("node", "rep"), "node") \
-        .select("node", F.col("rep.doc_id").alias("d"), F.col("rep.h1").alias("a"), F.col("rep.h2").alias("b"))
+    sides = pairs.select(F.col("u").alias("node"), F.lit(True).alias("is_u")).union(pairs.select("v", F.lit(False)))
+    asked = sides.groupBy("node").agg(F.max("is_u").alias("is_u"), F.max(~F.col("is_u")).alias("is_v")).join(nodes.select("node", "rep"), "node") \
+        .select("node", "is_u", "is_v", F.col("rep.doc_id").alias("d"), F.col("rep.h1").alias("a"), F.col("rep.h2").alias("b"))
     text = F.col("text").cast("string")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_text_hashes(text), text.alias("text"))
     met = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b"))) \
-        .select("node", "text").dropDuplicates(["node"])
-    sets = written(met.mapInArrow(full, "node long, full binary, short binary"), "minhash-sets")
+        .select("node", "is_u", "is_v", "text").dropDuplicates(["node"])
+    sets = written(met.mapInArrow(full, "node long, is_u boolean, is_v boolean, full binary, short binary"), "minhash-sets")
     # 16 bits of each hash never show too little in common, and are a quarter of the bytes; what they leave is checked in full
     return checked(checked(pairs, "short", "<u2", "minhash-near"), "full", "<u8", "minhash-links")
 
@@ -333,19 +364,22 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame, shingle: int = SHINGLE, cell: int = CELL) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
-    rows = written(sketches(docs, shingle), "minhash-sketches")
+    made = sketches(docs, shingle)
+    # hashing twice costs less than a written table of all sketches
+    rows = written(made.select("doc_id", "h1", "h2", "n", "digest"), "minhash-rows")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2")
-    nodes = written(rows.where("n > 0").groupBy("digest", "n", "entries", "marks").agg(F.min(row).alias("rep"), F.min("doc_id").alias("least"))
+    nodes = written(made.where("n > 0").groupBy("digest", "n", "entries", "marks").agg(F.min(row).alias("rep"), F.min("doc_id").alias("least"))
                     .withColumn("node", F.monotonically_increasing_id()), "minhash-nodes")
     lists = written(inverted_lists(nodes), "minhash-lists")
-    roots = nodes.select("node", F.col("node").alias("root"))
+    listed = written(nodes.select("node", "n", "marks").join(lists.select("node").distinct(), "node", "left_semi"), "minhash-listed")
+    roots = listed.select("node", F.col("node").alias("root"))
     for turn in range(STARS):
         lists = _mixed(lists, roots)
-        star = written(_likely(_centres(lists, turn), nodes), "minhash-star")
+        star = written(_likely(_centres(lists, turn), listed), "minhash-star")
         roots = _joined(roots, _verified(star, nodes, docs, shingle))
     lists = _mixed(lists, roots)
-    roots = _joined(roots, _verified(written(_open_pairs(lists, nodes, cell, True), "minhash-best"), nodes, docs, shingle))
-    open_ = written(_open_pairs(_mixed(lists, roots), nodes, cell, False), "minhash-open")
+    roots = _joined(roots, _verified(written(_open_pairs(lists, listed, cell, True), "minhash-best"), nodes, docs, shingle))
+    open_ = written(_open_pairs(_mixed(lists, roots), listed, cell, False), "minhash-open")
     for width in (1, 16, None):
         if open_.isEmpty():
             break
@@ -357,7 +391,7 @@ def components(docs: DataFrame, shingle: int = SHINGLE, cell: int = CELL) -> Dat
             now = open_
         roots = _joined(roots, _verified(now, nodes, docs, shingle))
         open_ = written(_apart(open_, roots), "minhash-open")
-    of = nodes.select("node", "digest", "least").join(roots, "node")
+    of = nodes.select("node", "digest", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = of.groupBy("root").agg(F.min("least").alias("component"))
     found = of.join(least, "root").select(F.col("digest").alias("d"), "component")
     whole = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
