@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from stockpulse.config import DEFAULT, ZERO_RATE_BOUNDS
 from stockpulse.operators.forecast import Z95
+from stockpulse.operators.impact import KPI_NAMES, POLICIES
 from stockpulse.sources.testdata import FIXTURE_STATES
 
 # the window: the whole span of the shipments' dates, its last 2 x 28 days the validation and test splits
@@ -502,6 +503,20 @@ ORACLE["split_index"] = F_ + """
 SELECT split, min(day_index) AS min_day, max(day_index) AS max_day, count(DISTINCT day_index) AS n_days,
        count(*) AS rows, min(date) AS start_date, max(date) AS end_date FROM feat GROUP BY split"""
 
+ORACLE["split_index_report"] = F_ + """
+SELECT split, CAST(min(day_index) AS BIGINT) AS day_index_min, CAST(max(day_index) AS BIGINT) AS day_index_max, count(DISTINCT day_index) AS n_days,
+       count(*) AS n_rows, strftime(min(date), '%Y-%m-%d') AS date_start, strftime(max(date), '%Y-%m-%d') AS date_end FROM feat GROUP BY split"""
+
+_CHECKS = ORACLE["validation_checks"]
+ORACLE["validation_summary"] = F_ + f"""
+SELECT count(*) AS rows, CAST(52 AS BIGINT) AS columns,
+       (SELECT count(*) FILTER (WHERE passed) FROM ({_CHECKS}) c) AS n_checks_passed, (SELECT count(*) FROM ({_CHECKS}) c) AS n_checks_total,
+       (SELECT bool_and(passed) FROM ({_CHECKS}) c) AS all_passed,
+       count(*) FILTER (WHERE split = 'train') AS train_rows, count(*) FILTER (WHERE split = 'val') AS val_rows, count(*) FILTER (WHERE split = 'test') AS test_rows,
+       round(avg(CAST(sales AS DOUBLE)), 4) AS mean, round(stddev_samp(CAST(sales AS DOUBLE)), 4) AS std, CAST(max(sales) AS BIGINT) AS max,
+       round(avg(CASE WHEN sales = 0 THEN 1.0 ELSE 0.0 END) * 100, 1) AS zero_pct
+FROM feat"""
+
 # ---------------------------------------------------------------- F / G
 _ERR = "(CAST(actual AS DOUBLE) - greatest(point, 0.0))"
 _SCALE_SERIES = f"""scale AS (
@@ -713,6 +728,8 @@ def _kpi_select(prefix: str = "") -> str:
 
 
 ORACLE["policy_kpis"] = F_ + f", kp AS ({_kpi_sql('impact')}) SELECT {_kpi_select()} FROM kp"
+ORACLE["kpi_report"] = F_ + f", kp AS ({_kpi_sql('impact')}), kr AS (SELECT {_kpi_select()} FROM kp) " + " UNION ALL ".join(
+    f"SELECT '{p}' AS policy, '{k}' AS kpi, CAST({p}_{k} AS DOUBLE) AS value FROM kr" for p in POLICIES for k in KPI_NAMES)
 ORACLE["cost_breakdown"] = F_ + f""", kp AS ({_kpi_sql('impact')})
 SELECT policy, cost_type, round(amount, 6) AS amount FROM (
   SELECT 'Baseline' AS policy, 'Holding_Cost' AS cost_type, Baseline_Holding_Cost AS amount FROM kp

@@ -29,6 +29,7 @@ from stockpulse.operators import forecast as FC
 from stockpulse.operators import impact as L
 from stockpulse.operators import panel as P
 from stockpulse.operators import quantile_regression as QR
+from stockpulse.operators import reports as RP
 from stockpulse.operators import risk as K
 from stockpulse.session import ensure_checkpoint_dir
 from stockpulse.sources import tables as T
@@ -355,3 +356,23 @@ class Pipeline:
         s = self.cfg.simulation
         base = self.recs.select(*K.RISK_OUTPUT, "sell_price", "has_any_event", "rolling_std_28")
         return L.policy_costs(L.order_policies(base), s.holding_rate, s.stockout_rate)
+
+    # -------------------------------------------------------- reports
+    @cached_property
+    def reports(self) -> dict[str, DataFrame]:
+        """The named reports of the stages, each one nested row."""
+        return {"feature_catalogue": RP.catalogue_report(self.spark, self.states, self.cfg.features),
+                "split_index": RP.split_index_report(self.features),
+                "validation": RP.validation_summary(self.features, self.states, self.expected_rows),
+                "kpis": RP.kpi_report(self.impact)}
+
+    def write_reports(self, folder: str | None = None) -> dict[str, str]:
+        """Write the reports to ``folder``, or once beside the stages where none is given; their paths by name."""
+        if folder:
+            return RP.write_reports(self.reports, folder)
+        key = self._key("reports")
+        if key not in _MATERIALIZED:
+            tag = hashlib.sha1(repr(key).encode()).hexdigest()[:12]
+            own = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/stockpulse/{self.spark.sparkContext.applicationId}/reports-{tag}"
+            _MATERIALIZED[key] = RP.write_reports(self.reports, own)
+        return _MATERIALIZED[key]

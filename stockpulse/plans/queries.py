@@ -26,6 +26,7 @@ from stockpulse.operators import metrics as G
 from stockpulse.operators import panel as P
 from stockpulse.operators import quality as E
 from stockpulse.operators import quantile_regression as QR
+from stockpulse.operators import reports as RP
 from stockpulse.operators import risk as K
 from stockpulse.operators import serving as M
 from stockpulse.plans.pipeline import Pipeline
@@ -261,6 +262,30 @@ def _split_index(p: Pipeline):
     return E.split_index(p.features)
 
 
+def _written_report(p: Pipeline, name: str) -> DataFrame:
+    """The report as it is read back from its file."""
+    return RP.read_report(p.spark, p.write_reports()[name], p.reports[name].schema)
+
+
+@query("split_index_report")
+def _split_index_report(p: Pipeline):
+    """The written split index, one row of it for each split."""
+    return _written_report(p, "split_index").select(F.explode("splits").alias("split", "s")).select("split", "s.*")
+
+
+@query("validation_summary")
+def _validation_summary(p: Pipeline):
+    """The written validation report, its nested fields beside one another."""
+    counts = [F.col("split_counts")[s].alias(f"{s}_rows") for s in ("train", "val", "test")]
+    return _written_report(p, "validation").select("dataset_shape.*", "n_checks_passed", "n_checks_total", "all_passed", *counts, "target_stats.*")
+
+
+@query("kpi_report")
+def _kpi_report(p: Pipeline):
+    """The written KPI report, a row for each policy and KPI."""
+    return _written_report(p, "kpis").select(F.explode("policies").alias("policy", "k")).select("policy", F.explode("k").alias("kpi", "value"))
+
+
 # ------------------------------------------------------------ F / G
 @query("accuracy_by_split")
 def _acc(p: Pipeline):
