@@ -37,31 +37,34 @@ def level_metrics(alpha_col: str = "alpha") -> list:
 
 
 def conformal_level_intervals(test: DataFrame, cal: DataFrame, levels: Sequence[float],
-                              n_cal: int | None = None, mode: str = "select") -> DataFrame:
+                              n_cal: int | None = None, mode: str = "select",
+                              counts: DataFrame | None = None) -> DataFrame:
     """Stage-5 conformal intervals for every level ('higher' quantile, both
     bounds clipped at 0): test rows x levels via ``inline`` (levels are a
-    config list, so the fan-out is bounded)."""
+    config list, so the fan-out is bounded). The thresholds of all levels are
+    one scalar subquery, a map by alpha."""
     alphas = [round(1.0 - lv, 10) for lv in levels]
-    thr = thresholds_for_alphas(cal, alphas, method="higher", n=n_cal, mode=mode)
+    thr = thresholds_for_alphas(cal, alphas, method="higher", n=n_cal, mode=mode, counts=counts)
+    by_alpha = thr.agg(F.map_from_entries(F.collect_set(F.struct("alpha", "q_hat")))).scalar()
     structs = []
     for lv, a in zip(levels, alphas):
-        q = thr.where(F.col("alpha") == F.lit(a)).select("q_hat").scalar()
-        p = F.col("point")
+        q, p = F.col("_q_hats")[F.lit(float(a))], F.col("point")
         structs.append(F.struct(F.lit(float(lv)).alias("level"), F.lit(float(a)).alias("alpha"),
                                 F.greatest(p - q, F.lit(0.0)).alias("lower"),
                                 F.greatest(p + q, F.lit(0.0)).alias("upper")))
     keep = [c for c in test.columns if c not in ("lower", "upper", "level", "alpha")]
-    return test.select(*keep, F.inline(F.array(*structs)))
+    return test.withColumn("_q_hats", by_alpha).select(*keep, F.inline(F.array(*structs)))
 
 
 def calibration_curve(test: DataFrame, cal: DataFrame, levels: Sequence[float],
                       quantile_test: DataFrame | None = None, native_level: float = 0.9,
-                      n_cal: int | None = None, mode: str = "select") -> DataFrame:
+                      n_cal: int | None = None, mode: str = "select",
+                      counts: DataFrame | None = None) -> DataFrame:
     """J1 + J2: one row per (method, level).
 
     Conformal at every level, plus the quantile method at its native level
     when ``quantile_test`` (with lower/upper columns) is given."""
-    ci = conformal_level_intervals(test, cal, levels, n_cal, mode).withColumn("method", F.lit("Conformal"))
+    ci = conformal_level_intervals(test, cal, levels, n_cal, mode, counts).withColumn("method", F.lit("Conformal"))
     frames = [ci.select("method", "level", "alpha", "actual", "lower", "upper")]
     if quantile_test is not None:
         frames.append(quantile_test.select(F.lit("Quantile").alias("method"),
@@ -77,11 +80,11 @@ def calibration_curve(test: DataFrame, cal: DataFrame, levels: Sequence[float],
 
 def methods_at_level(test: DataFrame, cal: DataFrame, quantile_test: DataFrame, level: float = 0.9,
                      extra: Sequence[str] = ("rolling_std_28",), n_cal: int | None = None,
-                     mode: str = "select") -> DataFrame:
+                     mode: str = "select", counts: DataFrame | None = None) -> DataFrame:
     """Long table (Method, keys, actual, lower, upper, extras) of both
     methods at one level (the frame the J3/J5 analyses group)."""
     keys = ["item_id", "store_id", "day_index"]
-    ci = conformal_level_intervals(test, cal, [level], n_cal, mode)
+    ci = conformal_level_intervals(test, cal, [level], n_cal, mode, counts)
     cols = [*keys, "actual", "lower", "upper", *extra]
     return (ci.select(F.lit("Conformal").alias("Method"), *cols)
               .unionByName(quantile_test.select(F.lit("Quantile").alias("Method"), *cols)))

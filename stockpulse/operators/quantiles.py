@@ -57,8 +57,15 @@ def _selected(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
     """Quantiles by rank: (by..., q0..qk). A group without values has no row;
     without ``by`` there is always one row."""
     value = F.col(col).cast("double").alias("_v")
-    counted = running_counts(df.select(*by, value), "_v", by, partitions)
-    grid, n = F.lit(list(probs)), F.col("_n")
+    return pick(running_counts(df.select(*by, value), "_v", by, partitions), probs, by, discrete)
+
+
+def pick(counted: DataFrame, probs: Sequence[float], by: Sequence[str] = (), discrete: bool = False) -> DataFrame:
+    """The values at the wanted ranks of a counted column ``_v`` (see
+    ``running_counts``): (by..., q0..qk). One counted table serves any number
+    of probabilities and callers."""
+    by = list(by)
+    grid, n = F.lit([float(p) for p in probs]), F.col("_n")
 
     def rank(p, up: bool):
         if discrete:

@@ -80,17 +80,20 @@ def risk_bounds(scored: DataFrame, cfg: DecisionConfig = DecisionConfig(), mode:
     return q.select(F.col("q0").alias("low_threshold"), F.col("q1").alias("medium_threshold"))
 
 
-def risk_levels(scored: DataFrame, cfg: DecisionConfig = DecisionConfig(), mode: str = "select") -> DataFrame:
-    """K4: <= low -> Low, <= medium -> Medium, else High."""
-    b = risk_bounds(scored, cfg, mode)
+def risk_levels(scored: DataFrame, cfg: DecisionConfig = DecisionConfig(), mode: str = "select",
+                bounds: DataFrame | None = None) -> DataFrame:
+    """K4: <= low -> Low, <= medium -> Medium, else High. ``bounds``: the
+    one-row ``risk_bounds`` of the same rows, if already there."""
+    b = bounds if bounds is not None else risk_bounds(scored, cfg, mode)
     lo, md = b.select("low_threshold").scalar(), b.select("medium_threshold").scalar()
     s = F.col("Risk_Score")
     return scored.withColumn("Risk_Level", F.when(s <= lo, "Low").when(s <= md, "Medium").otherwise("High"))
 
 
-def level_counts(leveled: DataFrame, cfg: DecisionConfig = DecisionConfig(), mode: str = "select") -> DataFrame:
+def level_counts(leveled: DataFrame, cfg: DecisionConfig = DecisionConfig(), mode: str = "select",
+                 bounds: DataFrame | None = None) -> DataFrame:
     """K5: count per level with the boundaries and weights alongside."""
-    b = risk_bounds(leveled, cfg, mode)
+    b = bounds if bounds is not None else risk_bounds(leveled, cfg, mode)
     w = cfg.weights
     return (leveled.groupBy("Risk_Level").agg(F.count(F.lit(1)).alias("count"))
                    .select("Risk_Level", "count",

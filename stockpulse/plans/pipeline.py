@@ -280,10 +280,15 @@ class Pipeline:
         return _MATERIALIZED[key]
 
     # -------------------------------------------------------- stage 4
+    @cached_property
+    def score_counts(self) -> DataFrame:
+        """The calibration scores counted by value: every threshold of stages 4 and 5 picks its ranks here."""
+        return self._stage("score_counts", lambda: H.score_counts(self.cal))
+
     @cached_property
     def thresholds(self) -> DataFrame:
         u = self.cfg.uncertainty
-        return H.calibrate(self.cal, u.alpha, n=self.n_cal, mode=u.quantile_mode)
+        return self._stage("thresholds", lambda: H.calibrate(self.cal, u.alpha, n=self.n_cal, mode=u.quantile_mode, counts=self.score_counts))
 
     @cached_property
     def conformal_test(self) -> DataFrame:
@@ -321,13 +326,13 @@ class Pipeline:
         u = self.cfg.uncertainty
         return self._stage("calibration_curve", lambda: J.calibration_curve(
             self.test, self.cal, u.confidence_levels, self.quantile_test, u.qr_native_level, self.n_cal,
-            u.quantile_mode))
+            u.quantile_mode, self.score_counts))
 
     @cached_property
     def long90(self) -> DataFrame:
         u = self.cfg.uncertainty
         return self._stage("methods_at_level", lambda: J.methods_at_level(
-            self.test, self.cal, self.quantile_test, u.qr_native_level, n_cal=self.n_cal, mode=u.quantile_mode))
+            self.test, self.cal, self.quantile_test, u.qr_native_level, n_cal=self.n_cal, mode=u.quantile_mode, counts=self.score_counts))
 
     @cached_property
     def segments(self) -> DataFrame:
@@ -338,9 +343,13 @@ class Pipeline:
     def scored(self) -> DataFrame:
         return self._stage("scored", lambda: K.risk_scores(self.conformal_test, self.segments, self.cfg.decision))
 
+    @cached_property
+    def risk_bounds(self) -> DataFrame:
+        return self._stage("risk_bounds", lambda: K.risk_bounds(self.scored, self.cfg.decision, self.cfg.uncertainty.quantile_mode))
+
     @cached_property
     def leveled(self) -> DataFrame:
-        return K.risk_levels(self.scored, self.cfg.decision, self.cfg.uncertainty.quantile_mode)
+        return K.risk_levels(self.scored, self.cfg.decision, bounds=self.risk_bounds)
 
     @cached_property
     def recs(self) -> DataFrame:

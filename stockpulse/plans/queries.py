@@ -316,7 +316,7 @@ def _qint(p: Pipeline):
 @query("conformal_thresholds")
 def _thr(p: Pipeline):
     """H1 - H5, H10."""
-    return H.calibration_summary(p.cal, p.thresholds)
+    return H.calibration_summary(p.cal, p.thresholds, counts=p.score_counts)
 
 
 @query("conformal_intervals")
@@ -329,13 +329,13 @@ def _cint(p: Pipeline):
 @query("conformal_any_alpha")
 def _any_alpha(p: Pipeline):
     """H8: thresholds for several alphas from the kept scores."""
-    return H.thresholds_for_alphas(p.cal, [0.5, 0.2, 0.1, 0.05], n=p.n_cal)
+    return H.thresholds_for_alphas(p.cal, [0.5, 0.2, 0.1, 0.05], n=p.n_cal, counts=p.score_counts)
 
 
 @query("conformal_higher")
 def _higher(p: Pipeline):
     """Stage-5 'higher' thresholds."""
-    return H.thresholds_for_alphas(p.cal, [0.5, 0.2, 0.1, 0.05], method="higher", n=p.n_cal)
+    return H.thresholds_for_alphas(p.cal, [0.5, 0.2, 0.1, 0.05], method="higher", n=p.n_cal, counts=p.score_counts)
 
 
 @query("interval_scores")
@@ -435,7 +435,7 @@ def _rlevels(p: Pipeline):
 @query("risk_level_counts")
 def _rcounts(p: Pipeline):
     """K5."""
-    return K.level_counts(p.leveled, p.cfg.decision)
+    return K.level_counts(p.leveled, p.cfg.decision, bounds=p.risk_bounds)
 
 
 @query("recommendations")

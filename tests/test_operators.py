@@ -276,3 +276,24 @@ def test_rolling_std_of_large_sales(spark):
     df = spark.createDataFrame([(i, 600_000_000 + i % 2) for i in range(40)], "i int, x long")
     last = df.select("i", exact_std(F.col("x"), Window.orderBy("i").rowsBetween(-28, -1)).alias("s")).where("i = 39").first()
     assert last.s == pytest.approx(np.std([i % 2 for i in range(28)], ddof=1), rel=1e-12)
+
+
+def test_counted_scores_serve_every_threshold(spark):
+    """Picks from one counted table equal NumPy's quantiles of the scores."""
+    rng = np.random.default_rng(5)
+    y, p = rng.integers(0, 40, 500).astype(float), rng.uniform(0, 40, 500)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(y, p)] + [(None, 1.0)], "actual double, point double")
+    counts = H.score_counts(df)
+    n = 500
+    t = H.calibrate(df, 0.1, n=n, counts=counts)
+    got, own = t.first(), H.calibrate(df, 0.1, n=n, mode="exact").first()
+    s = y - p
+    lo, hi = H.asymmetric_levels(n, 0.1)
+    want = [np.quantile(abs(s), H.corrected_level(n, 0.1)), np.quantile(s, lo), np.quantile(s, hi)]
+    assert np.allclose([got.q_hat_symmetric, got.q_hat_lo_asymmetric, got.q_hat_hi_asymmetric], want)
+    assert np.allclose([own.q_hat_symmetric, own.q_hat_lo_asymmetric, own.q_hat_hi_asymmetric], want)
+    high = {r.alpha: r.q_hat for r in H.thresholds_for_alphas(df, [0.2, 0.05], method="higher", n=n, counts=counts).collect()}
+    assert all(high[a] == np.quantile(abs(s), H.corrected_level(n, a), method="higher") for a in (0.2, 0.05))
+    r = H.calibration_summary(df, t, counts=counts).first()
+    assert np.allclose([r.score_min, r.score_p25, r.score_median, r.score_p75, r.score_max], np.quantile(abs(s), [0, 0.25, 0.5, 0.75, 1]))
+    assert np.allclose([r.score_mean, r.score_std], [abs(s).mean(), abs(s).std()])
