@@ -129,13 +129,14 @@ def tweedie_model(feature_cols: Sequence[str], string_cols: Sequence[str] = (),
 
 def gbt_model(feature_cols: Sequence[str], string_cols: Sequence[str] = (), label: str = "sales",
               max_iter: int = 50, max_depth: int = 5, step: float = 0.1, seed: int = 42,
-              validation_col: str | None = "is_val", max_bins: int = 64):
+              validation_col: str | None = "is_val", max_bins: int = 64, **params):
     """gradient-boosted trees; early stopping on the rows flagged by
-    ``validation_col`` (the temporal validation split)."""
+    ``validation_col`` (the temporal validation split). ``params`` are further
+    parameters of Spark's ``GBTRegressor``."""
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import GBTRegressor
     kw = dict(labelCol=label, featuresCol="features", maxIter=max_iter, maxDepth=max_depth,
-              stepSize=step, seed=seed, maxBins=max_bins, predictionCol="raw_prediction")
+              stepSize=step, seed=seed, maxBins=max_bins, predictionCol="raw_prediction", **params)
     if validation_col:
         kw["validationIndicatorCol"] = validation_col
     return Pipeline(stages=[*assemble(None, feature_cols, string_cols), GBTRegressor(**kw)])
@@ -167,12 +168,21 @@ def gbt_inputs(numeric: Sequence[str], codes: Sequence[str], dictionary, most: i
 def fit_rows(features: DataFrame, pipeline, train_splits=("train",), val_split: str = "val") -> DataFrame:
     """The rows a pipeline is fitted on: validation rows come in, flagged
     ``is_val``, only for an estimator that stops early on flagged rows."""
-    last = pipeline.getStages()[-1]
+    last = pipeline.getStages()[-1] if hasattr(pipeline, "getStages") else pipeline
     early = last.hasParam("validationIndicatorCol") and last.isDefined("validationIndicatorCol")
     splits = (*train_splits, val_split) if early else train_splits
     return features.where(F.col("split").isin(*splits)).withColumn("is_val", F.col("split") == val_split)
 
 
+def vectors(rows: DataFrame, pipeline, label: str = "sales") -> DataFrame:
+    """(keys, split, label, features): the inputs as the stages before a pipeline's estimator make them.
+
+    Written once, they serve every trial of a search."""
+    from pyspark.ml import Pipeline
+    made = Pipeline(stages=pipeline.getStages()[:-1]).fit(rows).transform(rows)
+    return made.select(*KEYS, "split", label, "features")
+
+
 def fit_point_model(features: DataFrame, pipeline, train_splits=("train",), val_split: str = "val"):
     """Fit on train (+ val rows flagged for early stopping)."""
     return pipeline.fit(fit_rows(features, pipeline, train_splits, val_split))
@@ -188,7 +198,7 @@ def feature_importance(model, feature_cols: Sequence[str], string_cols: Sequence
     the GLM), sorted descending; ``split_count`` = nodes splitting on it."""
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
-    last = model.stages[-1]
+    last = model.stages[-1] if hasattr(model, "stages") else model
     names = [f"{c}_idx" if c in string_cols else c for c in feature_cols]
     if hasattr(last, "featureImportances"):
         imp = last.featureImportances.toArray().tolist()
@@ -214,16 +224,29 @@ def rmse_on(df: DataFrame, label: str = "sales", pred: str = "point") -> float:
     return df.agg(F.sqrt(F.avg(F.pow(F.col(label) - F.col(pred), 2)))).first()[0]
 
 
+# the trees' own eight parameters. The ranges of the first five
+# are those of the searched model; Spark's trees have no penalty on leaf values,
+# so gain, bins and weight share of a node take the other three places.
+GBT_SPACE = {"step": ("loguniform", 0.01, 0.3), "max_depth": ("int", 5, 12), "minInstancesPerNode": ("int", 10, 300),
+             "subsamplingRate": ("uniform", 0.5, 0.95), "featureSubsetStrategy": ("uniform", 0.5, 0.9),
+             "minInfoGain": ("uniform", 0.0, 0.01), "extra_bins": ("int", 0, 64), "minWeightFractionPerNode": ("uniform", 0.0, 0.01)}
+
+
+def gbt_trial(bins: int, max_iter: int = 300, extra_bins: int = 0, featureSubsetStrategy: float = 1.0, **params):
+    """the estimator of one draw from ``GBT_SPACE`` over assembled vectors; ``bins`` is what the categories need."""
+    return gbt_model([], max_iter=max_iter, max_bins=bins + extra_bins, featureSubsetStrategy=str(featureSubsetStrategy), **params).getStages()[-1]
+
+
 def random_search(features: DataFrame, make_pipeline, space: dict, n_trials: int = 5, seed: int = 42,
                   val_split: str = "val") -> DataFrame:
     """seeded random search minimising validation RMSE.
 
     ``space`` maps a parameter to ("loguniform", lo, hi) / ("int", lo, hi) /
-    ("uniform", lo, hi).  Each trial is a full distributed fit; the driver
-    only draws parameters and reads one RMSE per trial.  Returns one row per
-    trial (params as a map, rmse), best first."""
+    ("uniform", lo, hi).  Each trial is a full distributed fit, with early
+    stopping where the estimator has it; the driver only draws parameters and
+    reads one RMSE per trial.  Returns one row per trial (params as a map,
+    rmse, trees kept: null for a model without trees), best first."""
     rng = random.Random(seed)
-    train = features.where(F.col("split") == "train")
     val = features.where(F.col("split") == val_split)
     rows = []
     for t in range(n_trials):
@@ -235,11 +258,12 @@ def random_search(features: DataFrame, make_pipeline, space: dict, n_trials: int
                 params[k] = rng.randint(lo, hi)
             else:
                 params[k] = rng.uniform(lo, hi)
-        model = make_pipeline(**params).fit(train)
-        rows.append((t, {k: float(v) for k, v in params.items()}, rmse_on(predict_clipped(model, val))))
+        model = fit_point_model(features, make_pipeline(**params), val_split=val_split)
+        last = model.stages[-1] if hasattr(model, "stages") else model
+        rows.append((t, {k: float(v) for k, v in params.items()}, rmse_on(predict_clipped(model, val)), getattr(last, "getNumTrees", None)))
     spark = features.sparkSession
-    return spark.createDataFrame(rows, "trial int, params map<string,double>, val_rmse double") \
-                .orderBy("val_rmse")
+    return spark.createDataFrame(rows, "trial int, params map<string,double>, val_rmse double, trees int") \
+                .orderBy("val_rmse", "trial")
 
 
 def repaired_quantiles(df: DataFrame, cols: Sequence[str] = ("q05", "q50", "q95")) -> DataFrame:

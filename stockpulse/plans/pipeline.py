@@ -42,7 +42,7 @@ SOURCES = ("lineitem", "part", "supplier", "nation", "region")
 
 
 #: Stages that do not depend on the point forecast.
-SHARED_STAGES = {"day_maps", "sales_long", "features", "dictionary", "model_inputs", "quantile_model", "quantile_predictions", "tweedie_predictions"}
+SHARED_STAGES = {"day_maps", "sales_long", "features", "dictionary", "model_inputs", "tree_vectors", "quantile_model", "quantile_predictions", "tweedie_predictions"}
 
 
 def manifest(spark: SparkSession, paths: Sequence[str]) -> str:
@@ -220,6 +220,13 @@ class Pipeline:
         rows, numeric, codes, _ = EN.model_inputs(self.features, self.model_columns, self.dictionary)
         return self._stage("model_inputs", lambda: rows, partition_by=("split",)), numeric, codes
 
+    @cached_property
+    def tree_inputs(self):
+        """the pipeline of boosted trees (unfitted, for its bins) and the written vectors of train and val that all fits share."""
+        rows, numeric, codes = self.model_inputs
+        trees = FC.gbt_inputs(numeric, codes, self.dictionary)
+        return trees, self._stage("tree_vectors", lambda: FC.vectors(rows.where(F.col("split").isin("train", "val")), trees), partition_by=("split",))
+
     @cached_property
     def quantile_model(self) -> QR.LinearQuantiles:
         """linear quantiles of the train split over all inputs."""

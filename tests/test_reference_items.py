@@ -267,3 +267,21 @@ def test_stages_are_released(spark, user_files):
     assert os.path.isdir(folder) and any(k[0] == app for k in pl._MATERIALIZED)
     pl.release_stages(spark)
     assert not os.path.exists(folder) and not any(k[0] == app for k in pl._MATERIALIZED)
+
+
+def test_tree_search_over_shared_vectors(spark):
+    """trials draw the same parameters for the same seed, fit trees on train with val for the stop, and come best first."""
+    rows = [(f"i{k % 3}", "s", k, "train" if k < 160 else "val", float(k % 7 + 3 * (k % 3)), float(k % 7), k % 3) for k in range(200)]
+    df = spark.createDataFrame(rows, "item_id string, store_id string, day_index int, split string, sales double, x double, code int")
+    made = forecast.vectors(df, forecast.gbt_model(["x", "code"]))
+    assert made.columns == ["item_id", "store_id", "day_index", "split", "sales", "features"]
+    space = {**forecast.GBT_SPACE, "max_depth": ("int", 2, 4), "minInstancesPerNode": ("int", 1, 5)}
+
+    def run():
+        return forecast.random_search(made, lambda **drawn: forecast.gbt_trial(32, max_iter=4, **drawn), space, n_trials=2, seed=7).collect()
+
+    got = run()
+    assert [sorted(r["params"]) for r in got] == [sorted(space)] * 2 and all(1 <= r["trees"] <= 4 for r in got)
+    assert [r["val_rmse"] for r in got] == sorted(r["val_rmse"] for r in got) and got[0]["params"] == run()[0]["params"]
+    glm = forecast.random_search(made, lambda reg: forecast.tweedie_model([], reg=reg, max_iter=3).getStages()[-1], {"reg": ("loguniform", 1e-3, 1e-1)}, n_trials=1).first()
+    assert glm["trees"] is None and glm["val_rmse"] > 0
