@@ -11,8 +11,11 @@ backwards together; occurrences are located by walking to a sampled place;
 their spans are merged for each document.
 
 The benchmark meets the shards in blocks of about ``BLOCK_WORDS`` window
-words (dealt by hash), one after the other, so what is sent to the executors
-at once has a bound however large the benchmark is. Documents are never shuffled.
+words: pairs of window and item, dealt by hash, so a window of very many items
+is spread over blocks too. Each block is a pass of its own over the documents
+with one Python step; what it found is written before the next block is sent,
+so driver and workers hold one block at a time however large the benchmark is.
+Documents are never shuffled.
 
 Results for odd input: a null or empty text has no words; an item without
 words has no windows; windows that several items share count for each; items
@@ -24,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterable, Iterator
 from itertools import chain, repeat
 
@@ -33,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockpulse.llm.common import free_name, written
+from stockpulse.llm.common import free_name, hold, written
 
 WINDOW = 10
 SHARD_WORDS = 1_000_000
@@ -159,10 +163,13 @@ class FMIndex:
 class Windows:
     """A block of benchmark windows as numbers, with the items that have each."""
 
-    def __init__(self, rows: list[tuple[bytes, list[str]]]):
-        split = [w.split(b" ") for w, _ in rows]
+    def __init__(self, rows: list[tuple[bytes, str]]):
+        of: dict[bytes, list[str]] = {}
+        for words, item in rows:
+            of.setdefault(words, []).append(item)
+        split = [w.split(b" ") for w in of]
         self.vocab = {w: i + 1 for i, w in enumerate(sorted({x for s in split for x in s}))}
-        self.items = [items for _, items in rows]
+        self.items = list(of.values())
         self.lengths = np.array([len(s) for s in split], "i8")
         width = int(self.lengths.max())
         self.shortest = int(self.lengths.min())
@@ -215,7 +222,7 @@ def merge(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(words, items): every different window (words joined by spaces) with the ids of its items."""
+    """(words, item): every different window (words joined by spaces) of each item."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -228,34 +235,38 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(out, pa.binary())], ["item", "words"])
 
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string"))
-    return items.mapInArrow(run, "item string, words binary").groupBy("words").agg(F.collect_set("item").alias("items"))
+    return items.mapInArrow(run, "item string, words binary").select("words", "item").distinct()
 
 
-def _blocks(windows: DataFrame, words: int) -> Iterator[list]:
-    """The windows in blocks of about ``words`` words, dealt by hash and read one after the other."""
+def _blocks(windows: DataFrame, words: int) -> Iterator[tuple[list, bool]]:
+    """The windows in blocks of about ``words`` words, dealt by hash and read one after the other, each with whether it is the last.
+
+    There is always one, of no rows if there are no windows.
+    """
     windows = written(windows, "benchmark-windows")
-    total = windows.agg(F.sum(F.size(F.split(F.col("words").cast("string"), " ")) + F.size("items"))).first()[0] or 0
-    n = -(-total // words)
+    total = windows.agg(F.sum(F.size(F.split(F.col("words").cast("string"), " ")) + 1)).first()[0] or 0
+    n = max(1, -(-total // words))
     for k in range(n):
-        yield [(bytes(r["words"]), r["items"]) for r in windows.where(F.pmod(F.xxhash64("words"), F.lit(n)) == k).collect()]
+        own = windows.where(F.pmod(F.xxhash64("words", "item"), F.lit(n)) == k)
+        yield [(bytes(r["words"]), r["item"]) for r in own.collect()], k == n - 1
 
 
-def leak_column(benchmark: DataFrame, text: Column, window: int = WINDOW, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS) -> Column:
-    """Struct (n_words, spans, items) of each text.
+def with_leaks(docs: DataFrame, benchmark: DataFrame, name: str, window: int = WINDOW, shard_words: int = SHARD_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``docs`` with a struct ``name`` (n_words, spans, items) of each text.
 
     spans: array of (start, end) word numbers, merged, in order; items: the
     ids, as strings, of benchmark items with a window in the text. Each block
-    of the benchmark is a step of its own over the texts; steps pass on what
-    they have found.
+    of the benchmark is a pass over the texts that adds to what the passes
+    before have found; passes but the last are written.
     """
-    spark = benchmark.sparkSession
+    spark, text = docs.sparkSession, F.col("text").cast("string")
     kind = "n_words long, spans array<struct<start: long, end: long>>, items array<string>"
 
-    def step(rows: list, before: Column | None) -> Column:
-        sent = spark.sparkContext.broadcast(rows)
+    def step(rows: list, before: Column | None) -> tuple:
+        sent, key = spark.sparkContext.broadcast(rows), uuid.uuid4().hex
 
         def search(texts: pd.Series, old: pd.DataFrame | None = None) -> pd.DataFrame:
-            block = Windows(sent.value) if sent.value else None
+            block = hold(("windows", key), lambda: Windows(sent.value) if sent.value else None)
             n_words, spans, items, words, size = [], [], [], [], 0
 
             def shard() -> None:
@@ -280,28 +291,32 @@ def leak_column(benchmark: DataFrame, text: Column, window: int = WINDOW, shard_
         if before is None:
             def alone(texts: pd.Series) -> pd.DataFrame:
                 return search(texts)
-            return F.pandas_udf(alone, kind)(text)
+            return F.pandas_udf(alone, kind)(text), sent
 
         def more(texts: pd.Series, old: pd.DataFrame) -> pd.DataFrame:
             return search(texts, old)
-        return F.pandas_udf(more, kind)(text, before)
+        return F.pandas_udf(more, kind)(text, before), sent
 
-    found = None
-    for rows in _blocks(benchmark_windows(benchmark, window), block_words):
-        found = step(rows, found)
-    return step([], None) if found is None else found
+    before = None
+    for rows, last in _blocks(benchmark_windows(benchmark, window), block_words):
+        found, sent = step(rows, before)
+        docs, before = docs.withColumn(name, found), F.col(name)
+        if not last:
+            docs = written(docs, "leaks")
+            sent.unpersist()
+    return docs
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """(doc_id, n_words, spans, items) of every row of ``docs``: see ``leak_column``."""
-    found = leak_column(benchmark, F.col("text").cast("string"), **options)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), found.alias("f")).select("doc_id", "f.n_words", "f.spans", "f.items")
+    """(doc_id, n_words, spans, items) of every row of ``docs``: see ``with_leaks``."""
+    found = with_leaks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, "f", **options)
+    return found.select("doc_id", "f.n_words", "f.spans", "f.items")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` with every occurrence of a benchmark window cut out of ``text``."""
     name = free_name(docs, "leaks")
-    found = docs.withColumn(name, leak_column(benchmark, F.col("text").cast("string"), **options))
+    found = with_leaks(docs, benchmark, name, **options)
     cut = F.when(F.size(F.col(f"{name}.spans")) > 0, removed(F.col("text"), F.col(f"{name}.spans"))).otherwise(F.col("text"))
     return found.withColumn("text", cut).drop(name)
 

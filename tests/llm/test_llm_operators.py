@@ -583,6 +583,18 @@ def test_decontamination_odd_rows(spark, odd, empty):
     assert decontaminate.find_leaks(empty, bench).count() == 0 and decontaminate.find_leaks(odd, bench.limit(0)).where("size(spans) > 0").count() == 0
 
 
+def test_decontamination_block_by_block(spark):
+    """A window of many items lies in several blocks, and the plan has one Python step whatever the number of blocks."""
+    bench = spark.createDataFrame([(k, "one two three") for k in range(30)] + [(99, "four five")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x one two three four five"), (2, "One, two; THREE"), (3, "two three"), (None, None)], "doc_id long, text string")
+    whole, blocks = decontaminate.find_leaks(docs, bench), decontaminate.find_leaks(docs, bench, block_words=16)
+    for got in (whole, blocks):
+        rows = {r["doc_id"]: (r["n_words"], [tuple(s) for s in r["spans"]], sorted(map(int, r["items"]))) for r in got.collect()}
+        assert rows == {1: (6, [(1, 6)], [*range(30), 99]), 2: (3, [(0, 3)], [*range(30)]), 3: (2, [], []), None: (0, [], [])}
+        assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert decontaminate.clean(docs, bench, block_words=16).columns == docs.columns
+
+
 def test_fm_index_on_repeats():
     rng = np.random.default_rng(4)
     runs = [rng.integers(1, 4, int(n)) for n in rng.integers(1, 40, 60)]
