@@ -284,7 +284,7 @@ class Level:
                 first = np.flatnonzero(np.diff(context[w], prepend=-1))
                 c = np.repeat(contexts.find(context[w[first]]), np.diff(first, append=len(w)))
                 w, c = w[c >= 0], c[c >= 0]
-                at = follow.find(c * self.words.V + word[w])
+                at = follow.find(joined(c, word[w], self.words.V))
                 w, at = w[at >= 0], at[at >= 0]
                 lo = np.where(at > 0, ends.select(np.maximum(at - 1, 0)).astype("i8"), 0)
                 place[w], count[w], before[w] = at + self.base[s], ends.select(at).astype("i8") - lo, lo + self.tokens[s]
@@ -293,6 +293,13 @@ class Level:
         return place, count, before, out
 
 
+def joined(context: np.ndarray, word: np.ndarray, V: int) -> np.ndarray:
+    """``context * V + word``, or an error where that is beyond 63 bits (it would wrap without one)."""
+    if len(context) and int(context.max()) * V + V > 2 ** 63:
+        raise OverflowError(f"place {int(context.max())} with {V} words is beyond 63 bits")
+    return context * V + word
+
+
 def shard_of(h: np.ndarray, shards: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype("i8")
 
@@ -457,7 +464,7 @@ def train(docs: DataFrame, k: float = K, order: int = ORDER) -> Model:
             first = np.flatnonzero(np.diff(keys, prepend=-1))
             counts = np.diff(first, append=len(keys))
             shard, context, word = places(keys[first])
-            yield from _records(shard, (context * model.words.V + word).astype("u8"), counts)
+            yield from _records(shard, joined(context, word, model.words.V).astype("u8"), counts)
 
     def build_level(s: int, keys: np.ndarray, counts: np.ndarray) -> tuple:
         keys = keys.astype("i8")
@@ -472,7 +479,7 @@ def train(docs: DataFrame, k: float = K, order: int = ORDER) -> Model:
             low = float(logs.min())
             codes = struct.pack("<d", low) + np.minimum(np.round((logs - low) / _STEP), 255).astype("u1").tobytes()
         at = f"{path}/level-{len(model.levels) + 2}-{s:06d}"
-        _save(at, _file([EliasFano.encode(contexts), EliasFano.encode(own * model.words.V + r2), EliasFano.encode(np.cumsum(counts)), codes]))
+        _save(at, _file([EliasFano.encode(contexts), EliasFano.encode(joined(own, r2, model.words.V)), EliasFano.encode(np.cumsum(counts)), codes]))
         return s, at, len(keys), int(counts.sum())
 
     for _ in range(2, max(2, order) + 1):

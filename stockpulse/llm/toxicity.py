@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockpulse.llm.common import fold, hold, written
@@ -215,8 +215,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, folds:
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic is not null") \
         .where(fold(F.col("doc_id"), folds) != 0).groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     totals = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = known.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_class).select("doc_id", "toxic")
+    # the least of each label, found in every partition first
+    least = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
+    picked = least[0].unionByName(least[1])
     # at most 2 * per_class ids; copies of one text count once
     sample = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
                      .join(F.broadcast(picked), "doc_id").dropDuplicates(["text"]), "toxicity-sample")
@@ -248,9 +249,17 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, folds:
     used = words.where("toxic = 0").groupBy("w").agg(F.count("*").alias("b")).where(misspelled("w"))
     ordinary = {r["w"] for r in used.collect()} if terms else set()  # forms within two edits of the lexicon only
     model = Model(terms, ordinary, np.zeros(7))
-    got = other.select("text", "toxic").collect()  # at most 2 * per_class rows
-    x = np.array([model.features(model.matches(r["text"])) for r in got]).reshape(-1, 7)
-    y = np.array([r["toxic"] for r in got], float)
+    unfitted = spark.sparkContext.broadcast(model)
+
+    def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = unfitted.value
+        for some in batches:
+            x = np.array([own.features(own.matches(t)) for t in some["text"]], float).reshape(-1, 7)
+            yield pd.DataFrame({"y": some["toxic"].astype("float64"), **{f"x{i}": x[:, i] for i in range(7)}})
+
+    # the texts stay in the workers; at most 2 * per_class rows of eight numbers come back
+    got = np.array(other.select("text", "toxic").mapInPandas(measured, "y double, " + ", ".join(f"x{i} double" for i in range(7))).collect(), float).reshape(-1, 8)
+    x, y = got[:, 1:], got[:, 0]
     # a class weighs as much as it has rows in all, so the scores have the true share of label 1
     of = np.array([totals.get(k, 0) / max(1, (y == k).sum()) for k in (0, 1)])
     model.weights = logistic(x, y, of[y.astype(int)] * len(y) / max(1, sum(totals.values())))

@@ -539,6 +539,13 @@ def test_token_files(spark, docs, odd, empty):
     assert seg.doc_ids() == [None, -5, -5, 7] and [seg.span(i) for i in range(4)] == [(0, 1), (1, 3), (3, 5), (5, 6)] and seg.ids.tolist() == [2, 1, 2, 70000, 2, 2]
 
 
+def test_ngram_keys_beyond_63_bits_raise():
+    one = np.array([3], "i8")
+    assert ngram_lm.joined(np.array([2 ** 40], "i8"), one, 2 ** 22).tolist() == [2 ** 62 + 3] and len(ngram_lm.joined(one[:0], one[:0], 2 ** 40)) == 0
+    with pytest.raises(OverflowError):
+        ngram_lm.joined(np.array([2 ** 40], "i8"), one, 2 ** 24)
+
+
 # 10: decontamination
 
 @pytest.mark.parametrize("options", [{}, {"shard_words": 500, "block_words": 4000}])
