@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_", "series_window", "cat_of", "dept_of", "state_of", "safe_div",
+    "col_", "named", "quoted", "series_window", "cat_of", "dept_of", "state_of", "safe_div",
     "pos", "isclose", "pav3", "lookup", "round_doubles", "scalar",
     "higher_quantile_level", "conformal_level", "quantile_expr",
 ]
@@ -20,6 +20,16 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def named(c: str) -> str:
+    """A column name in SQL text."""
+    return "`" + c.replace("`", "``") + "`"
+
+
+def quoted(text: str) -> str:
+    """A string literal in SQL text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def series_window(keys: Iterable[str] = SERIES, order: str = "day_index"):
     """W_series: one partition per (item_id, store_id), ordered by day."""
     return Window.partitionBy(*keys).orderBy(order)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockpulse.config import NO_EVENT
-from stockpulse.functions.columns import series_window
+from stockpulse.functions.columns import named, quoted, series_window
 
 EVENT_COLUMNS = ("event_name_1", "event_type_1", "event_name_2", "event_type_2")
 CALENDAR_COLUMNS = ("d", "date", "wm_yr_wk", "weekday", "wday", "month", "year",
@@ -20,20 +20,49 @@ def day_columns(df: DataFrame, prefix: str = "d_") -> list[str]:
     return [c for c in df.columns if c.startswith(prefix) and c[len(prefix):].isdigit()]
 
 
+#: Value columns of one block of ``melt``'s unpivot.
+UNPIVOT_BLOCK = 32
+
+
 def melt(wide: DataFrame, id_vars: Sequence[str], value_vars: Sequence[str] | None = None,
          var_name: str = "d", value_name: str = "sales", method: str = "generate") -> DataFrame:
     """B1: wide -> long.
 
     ``generate`` builds one array of (name, value) structs and inlines it
     (a single Generate node, cheap to plan for ~2k columns); ``unpivot``
-    uses Spark's Expand-based unpivot.  Both give the same rows.
+    uses Spark's Expand-based unpivot, block by block. Both give the same
+    rows. The columns are written as one SQL expression: thousands of calls
+    for single columns would take the driver a minute.
     """
     value_vars = list(value_vars or day_columns(wide))
     if method == "unpivot":
-        return wide.unpivot(list(id_vars), value_vars, var_name, value_name)
-    arr = F.array(*[F.struct(F.lit(c).alias(var_name), F.col(c).alias(value_name))
-                    for c in value_vars])
-    return wide.select(*id_vars, F.inline(arr))
+        return _unpivot(wide, list(id_vars), value_vars, var_name, value_name)
+    pairs = ", ".join(f"struct({quoted(c)} AS {named(var_name)}, {named(c)} AS {named(value_name)})" for c in value_vars)
+    return wide.select(*id_vars, F.expr(f"inline(array({pairs}))"))
+
+
+def _unpivot(wide: DataFrame, id_vars: list[str], value_vars: list[str], var_name: str, value_name: str) -> DataFrame:
+    """Unpivot of many columns of one type.
+
+    An Expand compiles a projection for each column in every task, so a row
+    first becomes one row for each block of columns, and those few columns are unpivoted.
+    """
+    types = {f.name: f.dataType for f in wide.schema.fields}
+    if len(value_vars) <= UNPIVOT_BLOCK or any(types.get(c) != types.get(value_vars[0]) for c in value_vars) or value_vars[0] not in types:
+        return wide.unpivot(id_vars, value_vars, var_name, value_name)
+    kind, places = types[value_vars[0]].simpleString(), range(UNPIVOT_BLOCK)
+    blocks = []
+    for at in range(0, len(value_vars), UNPIVOT_BLOCK):
+        cells = [named(c) for c in value_vars[at:at + UNPIVOT_BLOCK]]
+        cells += [f"CAST(NULL AS {kind})"] * (UNPIVOT_BLOCK - len(cells))
+        blocks.append(f"struct({at} AS _block, " + ", ".join(f"{c} AS _{k}" for k, c in zip(places, cells)) + ")")
+    held = [f"_id{k}" for k in range(len(id_vars))]
+    rows = wide.select(*[F.col(named(c)).alias(h) for c, h in zip(id_vars, held)], F.expr(f"inline(array({', '.join(blocks)}))"))
+    cells = rows.unpivot([*held, "_block"], [f"_{k}" for k in places], "_place", "_value")
+    at = F.col("_block") + F.substring("_place", 2, 10).cast("int")
+    names = F.expr(f"array({', '.join(quoted(c) for c in value_vars)})")
+    return cells.withColumn("_at", at).where(F.col("_at") < len(value_vars)).select(
+        *[F.col(h).alias(c) for c, h in zip(id_vars, held)], F.get(names, F.col("_at")).alias(var_name), F.col("_value").alias(value_name))
 
 
 def add_day_index(df: DataFrame, d: str = "d") -> DataFrame:
@@ -62,8 +91,10 @@ def join_prices(long: DataFrame, prices: DataFrame,
     already hash-partitioned by (item_id, store_id) keeps its partitioning
     and only the price side is exchanged; the planner broadcasts the price
     side instead when its measured size is under the broadcast threshold.
+    A larger price side is hashed in each partition (a row for each week of
+    the partition's series), so the panel is not sorted for this join.
     """
-    return long.join(prices.select(*keys, "sell_price"), list(keys), "left")
+    return long.join(prices.select(*keys, "sell_price").hint("shuffle_hash"), list(keys), "left")
 
 
 # ------------------------------------------------------------ B4 / B5

@@ -141,6 +141,22 @@ def series_day_maps(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelCo
                      F.struct("day_index", F.struct("qty", "max_price")))).alias("day_sales")))
 
 
+def daily_units(first_day: int, n_days: int) -> Column:
+    """The units of days ``first_day`` .. ``first_day + n_days - 1`` as an array, from ``day_sales``; 0 where nothing shipped.
+
+    The days in order, each after the zeros of the days that it skips: linear
+    in the number of days, where a lookup of each day in the map is quadratic.
+    """
+    last = first_day + n_days - 1
+    # map_filter keeps the days asked for; the day before them and the one after them close the gaps at the ends
+    entries = f"array_sort(map_entries(map_filter(day_sales, (k, v) -> k between {first_day} and {last})))"
+    return F.expr(f"""
+        flatten(flatten(zip_with(
+            array_append(transform({entries}, e -> struct(e.key AS day, coalesce(e.value.qty, 0) AS qty)), struct({last + 1} AS day, 0 AS qty)),
+            array_prepend(transform({entries}, e -> e.key), {first_day - 1}),
+            (e, before) -> array(array_repeat(0, e.day - before - 1), if(e.day > {last}, array(), array(e.qty))))))""")
+
+
 def with_hierarchy(df: DataFrame) -> DataFrame:
     """Add id / dept_id / cat_id / state_id derived from item_id and store_id."""
     return (df.withColumn("id", F.concat_ws("_", "item_id", "store_id"))
@@ -153,15 +169,10 @@ def sales_long(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig(
                maps: DataFrame | None = None) -> DataFrame:
     """Dense long panel: id columns, d, day_index, sales (0 where nothing shipped)."""
     m = maps if maps is not None else series_day_maps(spark, sf_dir, cfg)
-    # both sides keep the series partitioning of the day maps; a day row carries
-    # its own keys only, so the work is linear in the number of days
-    grid = m.select("item_id", "store_id", F.explode(F.sequence(F.lit(1), F.lit(cfg.n_days))).alias("day_index"))
-    sold = m.select("item_id", "store_id", F.explode("day_sales").alias("day_index", "v")) \
-        .select("item_id", "store_id", "day_index", F.col("v.qty").alias("qty"))
-    long = grid.join(sold, ["item_id", "store_id", "day_index"], "left").select(
-        "item_id", "store_id", "day_index",
-        F.concat(F.lit("d_"), F.col("day_index").cast("string")).alias("d"),
-        F.coalesce("qty", F.lit(0)).alias("sales"))
+    # a series' days come from its own row: no join, and the series partitioning stays
+    long = m.select("item_id", "store_id", F.posexplode(daily_units(1, cfg.n_days)).alias("at", "sales")).select(
+        "item_id", "store_id", (F.col("at") + 1).alias("day_index"),
+        F.concat(F.lit("d_"), (F.col("at") + 1).cast("string")).alias("d"), "sales")
     return with_hierarchy(long).select("id", "item_id", "dept_id", "cat_id", "store_id", "state_id",
                                        "d", "day_index", "sales")
 
@@ -178,9 +189,9 @@ def sales_wide(spark: SparkSession, sf_dir: str, cfg: PanelConfig = PanelConfig(
     n_days = n_days or cfg.wide_days
     first_day = first_day or (cfg.n_days - n_days + 1)
     m = with_hierarchy(maps if maps is not None else series_day_maps(spark, sf_dir, cfg))
-    day_cols = [F.coalesce(F.try_element_at("day_sales", F.lit(d))["qty"], F.lit(0)).alias(f"d_{d}")
-                for d in range(first_day, first_day + n_days)]
-    return m.select("id", "item_id", "dept_id", "cat_id", "store_id", "state_id", *day_cols)
+    ids = ["id", "item_id", "dept_id", "cat_id", "store_id", "state_id"]
+    days = m.select(*ids, daily_units(first_day, n_days).alias("_units"))
+    return days.selectExpr(*ids, *[f"coalesce(get(_units, {k}), 0) AS d_{first_day + k}" for k in range(n_days)])
 
 
 def calendar(spark: SparkSession, cfg: PanelConfig = PanelConfig(),
