@@ -103,6 +103,9 @@ def rolling_features(df: DataFrame, mean_windows: Sequence[int] = FeatureConfig(
     first, so today's target never leaks), NULL -> 0."""
     w = series_window(keys)
     y = F.col(target).cast("double")
+    kind = dict(df.dtypes).get(target)
+    if kind in ("int", "smallint", "tinyint"):
+        return _integer_rolling(df, F.col(target), w, mean_windows, std_windows, min_periods)
     cols = []
 
     def _guard(expr: Column, frame) -> Column:
@@ -113,14 +116,50 @@ def rolling_features(df: DataFrame, mean_windows: Sequence[int] = FeatureConfig(
     for n in mean_windows:
         fr = w.rowsBetween(-n, -1)
         cols.append(F.coalesce(_guard(F.avg(y).over(fr), fr), F.lit(0.0)).alias(f"rolling_mean_{n}"))
-    integral = dict(df.dtypes).get(target) in ("int", "bigint", "smallint", "tinyint")
     for n in std_windows:
         fr = w.rowsBetween(-n, -1)
-        std = exact_std(F.col(target), fr) if integral else F.stddev_samp(y).over(fr)
+        std = exact_std(F.col(target), fr) if kind == "bigint" else F.stddev_samp(y).over(fr)
         cols.append(F.coalesce(_guard(std, fr), F.lit(0.0)).alias(f"rolling_std_{n}"))
     return df.select("*", *cols)
 
 
+def _integer_rolling(df: DataFrame, x: Column, w, mean_windows: Sequence[int], std_windows: Sequence[int], min_periods: int) -> DataFrame:
+    """The rolling columns of an integer target from running sums.
+
+    A window's sum is the running sum up to yesterday less the one up to the
+    day before the window: a few additions a row, where a sliding frame adds
+    up all its rows again for every row. Integers, so the differences are
+    exact: a square's upper and lower 31 bits are summed apart and fit longs.
+    """
+    xl = x.cast("long")
+    square = xl * xl
+    parts = {"n": F.count(x), "s": F.sum(xl)}
+    squares = {"hi": F.sum(F.shiftright(square, 31)), "lo": F.sum(square.bitwiseAND(F.lit((1 << 31) - 1)))}
+    ends = [1, *sorted({n + 1 for n in (*mean_windows, *std_windows)})]
+    needed = [(p, d, agg) for d in ends for p, agg in (parts | squares).items() if p in parts or d == 1 or d - 1 in std_windows]
+    # each running sum is a column of its own: a window expression that is used twice is evaluated twice
+    sums = df.select("*", *[F.coalesce(agg.over(w.rowsBetween(Window.unboundedPreceding, -d)), F.lit(0)).alias(f"_{p}_{d}") for p, d, agg in needed])
+    spans = {(p, d - 1): (F.col(f"_{p}_1") - F.col(f"_{p}_{d}")).alias(f"_{p}_of_{d - 1}") for p, d, _ in needed if d > 1}
+    rows = sums.select(*[F.col(f"`{c}`") for c in df.columns], *spans.values())
+
+    def within(part: str, n: int) -> Column:
+        return F.col(f"_{part}_of_{n}")
+
+    def _guard(expr: Column, n: int) -> Column:
+        return F.coalesce(F.when(within("n", n) >= max(min_periods, 1), expr), F.lit(0.0))
+
+    cols = [_guard(within("s", n).cast("double") / within("n", n), n).alias(f"rolling_mean_{n}") for n in mean_windows]
+    for n in std_windows:
+        k, s, hi, lo = (within(p, n) for p in ("n", "s", "hi", "lo"))
+        # numerator n * sum(x^2) - sum(x)^2: in longs where it fits, else in decimals
+        total = (hi.cast("decimal(19,0)") * F.lit(1 << 31).cast("decimal(10,0)") + lo.cast("decimal(19,0)")).cast("decimal(38,0)")
+        num = (k * total - s.cast("decimal(19,0)") * s.cast("decimal(19,0)")).cast("double")
+        if n < 1 << 11:
+            num = F.when(hi < (1 << 20), (k * (hi * F.lit(1 << 31) + lo) - s * s).cast("double")).otherwise(num)
+        cols.append(_guard(F.when(k >= 2, F.sqrt(num / (k * (k - 1)).cast("double"))), n).alias(f"rolling_std_{n}"))
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], *cols)
+
+
 def exact_std(x: Column, frame) -> Column:
     """Sample std of an integer column over a window frame from exact
     integer moments: var = (n*sum(x^2) - sum(x)^2) / (n(n-1)).  The

@@ -21,6 +21,9 @@ ENGINE_CONF = {
     # price table on (item_id, store_id, wm_yr_wk) without re-shuffling the
     # panel: only the (7x smaller) price side is exchanged.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # a stage that is partitioned by split (three values) is written without
+    # a sort of its whole rows: a task keeps a writer open for each split.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }
