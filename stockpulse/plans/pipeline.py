@@ -42,7 +42,7 @@ SOURCES = ("lineitem", "part", "supplier", "nation", "region")
 
 
 #: Stages that do not depend on the point forecast.
-SHARED_STAGES = {"day_maps", "sales_long", "features", "dictionary", "model_inputs", "tree_vectors", "quantile_model", "quantile_predictions", "tweedie_predictions"}
+SHARED_STAGES = {"day_maps", "sales_long", "features", "dictionary", "model_inputs", "tree_vectors", "tweedie_vectors", "quantile_model", "quantile_predictions", "tweedie_predictions"}
 
 
 def manifest(spark: SparkSession, paths: Sequence[str]) -> str:
@@ -251,7 +251,8 @@ class Pipeline:
         if key not in _MATERIALIZED:
             rows, numeric, codes = self.model_inputs
             path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/stockpulse/{self.spark.sparkContext.applicationId}/model-{name}-{hashlib.sha1(repr(key).encode()).hexdigest()[:12]}"
-            FC.save_model(FC.fit_point_model(rows, make(numeric, codes, self.dictionary)), path)
+            model = FC.fit_point_model(rows, make(numeric, codes, self.dictionary), write=lambda vectors: self._stage(f"{name}_vectors", lambda: vectors))
+            FC.save_model(model, path)
             _MATERIALIZED[key] = FC.load_pipeline_model(path)
         return _MATERIALIZED[key]
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stockpulse.config import PanelConfig
 from stockpulse.operators import features as FE
+from stockpulse.operators import forecast as FC
 from stockpulse.operators import panel as P
 from stockpulse.sources import testdata as TD
 
@@ -79,3 +80,19 @@ def test_rolling_features_from_running_sums(spark):
                       F.coalesce(F.when(enough, FE.exact_std(F.col("sales"), fr)), F.lit(0.0)).alias(f"rolling_std_{n}")]
         old = df.select("*", *exprs).select(got.columns)
         assert sorted(map(repr, got.collect())) == sorted(map(repr, old.collect()))
+
+
+def test_model_is_fitted_on_vectors_written_once(spark):
+    df = spark.range(200).select((F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 5).cast("double").alias("sales"),
+                                 F.when(F.col("id") < 150, "train").otherwise("val").alias("split"))
+    seen = []
+
+    def write(vectors):
+        seen.append(vectors.columns)
+        return vectors.localCheckpoint()
+
+    pipeline = FC.tweedie_model(["x"], reg=1e-4)
+    plain, held = FC.fit_point_model(df, pipeline), FC.fit_point_model(df, pipeline, write=write)
+    assert seen == [["sales", "features", "is_val"]]
+    assert abs(plain.stages[-1].coefficients[0] - held.stages[-1].coefficients[0]) < 1e-9
+    assert FC.predict_clipped(held, df).count() == 200
