@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,11 @@ CACHE_WORDS = 800_000
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
+_SOLID = re.compile(r"\S+").fullmatch
+_LINES = re.compile(r"\S+(?:\n\S+)+").fullmatch
+_ENDED = re.compile(r"(\S*[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F])([!-&(-/:-@\[-`{-~]+)").fullmatch
+#: How a byte-level vocabulary writes a space.
+_SPACE = "\u0120"
 
 
 def _odd(t: str) -> bool:
@@ -26,6 +32,20 @@ def _odd(t: str) -> bool:
     return "  " in t or " \n" in t or "\n " in t or t[:1] == " " or t[-1:] == " " or _OTHER_SPACE.search(t) is not None
 
 
+def _parts(piece: str) -> tuple[str, ...]:
+    """A piece cut at its line ends and before the punctuation that ends a line."""
+    if "\n" not in piece:
+        m = _ENDED(piece)
+        return m.groups() if m else (piece,)
+    if not _LINES(piece):
+        return (piece,)
+    out: list[str] = []
+    for line in piece.split("\n"):
+        m = _ENDED(line)
+        out += m.groups() if m else (line,)
+        out.append("\n")
+    return tuple(out[:-1])
+
 
 def default_tokenizer() -> str:
     import public_tokenizers
@@ -37,9 +57,12 @@ class Encoder:
 
     A byte-level BPE pre-tokenizer never joins a character with a space after
     it, so a text may be cut before any lone space between two other
-    characters: the ids of the pieces, joined, are the ids of the text. Each
-    different piece is encoded once by the tokenizers library and kept.
-    Strings of special tokens in a text are ordinary text.
+    characters: the ids of the pieces, joined, are the ids of the text. A
+    piece is cut further at a single line end between two other characters,
+    and between a letter and the punctuation that ends a line or the piece
+    (apostrophes aside). Each different part is encoded once by the
+    tokenizers library and kept. Strings of special tokens in a text are
+    ordinary text.
     """
 
     def __init__(self, path: str):
@@ -47,48 +70,93 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.line_end, = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        vocab = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocab.values()) + 1, bool)
+        self.spaced[[i for t, i in vocab.items() if t[:1] == _SPACE]] = True
+        #: Parts behind a space and others, each with the half of the cache that goes next.
         self.inner: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
 
-    def _learn(self, pieces: set[str], cache: dict[str, bytes], lead: str) -> None:
-        plain = [w for w in pieces if lead and w and "\n" not in w and not w[-1].isspace()]
+    def _learn(self, parts: set[str], cache: dict[str, bytes], lead: str) -> None:
+        plain = list(filter(_SOLID, parts))
         for at in range(0, len(plain), 10_000):
             runs = [plain[k:k + 500] for k in range(at, min(at + 10_000, len(plain)), 500)]
-            # one call for many words: a line end between two words is a token of its own
-            for run, e in zip(runs, self.tokenizer.encode_batch_fast(["\n".join([lead + w for w in run]) for run in runs], add_special_tokens=False)):
+            # one call for many parts: those behind a space begin with a token that does, others follow a line end, a token of its own
+            texts = [lead + lead.join(run) if lead else "\n".join(run) for run in runs]
+            for run, e in zip(runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
                 ids = np.array(e.ids, "<u4")
-                ends = np.append(np.flatnonzero(ids == self.line_end), len(ids))
-                data, ends = ids.tobytes(), (4 * ends).tolist()
-                if len(ends) != len(run):
-                    raise ValueError("the tokenizer joins line ends with other text")
-                cache.update(zip(run, [data[a:z] for a, z in zip([0, *(x + 4 for x in ends)], ends)]))
-        todo = list(pieces - cache.keys())
+                if lead:
+                    begins = np.flatnonzero(self.spaced[ids])
+                    ends = np.append(begins[1:], len(ids))
+                else:
+                    ends = np.append(np.flatnonzero(ids == self.line_end), len(ids))
+                    begins = np.append(0, ends[:-1] + 1)
+                if len(begins) != len(run) or begins[0] != 0:
+                    raise ValueError("the tokenizer joins spaces or line ends with other text")
+                data = ids.tobytes()
+                cache.update(zip(run, [data[a:z] for a, z in zip((4 * begins).tolist(), (4 * ends).tolist())]))
+        todo = list(parts - cache.keys())
         for at in range(0, len(todo), 20_000):
             some = todo[at:at + 20_000]
             for w, e in zip(some, self.tokenizer.encode_batch_fast([lead + w for w in some], add_special_tokens=False)):
                 cache[w] = np.array(e.ids, "<u4").tobytes()
 
+    def _pieces(self, pieces: list[str], heads: list[str]) -> list[bytes]:
+        """Ids of different pieces, each behind a space, and of others, each without."""
+        inner, first, older = self.inner, self.first, self.older
+        got = list(map(inner.get, pieces))
+        late = [k for k, x in enumerate(got) if x is None]
+        if older:  # words in use move to the newer half
+            for k, x in zip(late, list(map(older.get, [pieces[k] for k in late]))):
+                if x is not None:
+                    got[k] = inner[pieces[k]] = x
+            late = [k for k in late if got[k] is None]
+        cut, cut_heads = [_parts(pieces[k]) for k in late], list(map(_parts, heads))
+        new = {c[0] for c in cut} - inner.keys()
+        if older:
+            inner.update((w, older[w]) for w in new & older.keys())
+        self._learn(new - inner.keys(), inner, " ")
+        others = {x for c in cut if len(c) > 1 for x in c[1:]}.union(*cut_heads)
+        self._learn(others - first.keys(), first, "")
+        for k, c in zip(late, cut):
+            x = inner[c[0]]
+            if len(c) > 1:
+                x = inner[pieces[k]] = x + b"".join([first[y] for y in c[1:]])
+            got[k] = x
+        return got + [b"".join([first[x] for x in c]) for c in cut_heads]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [_LONE_SPACE.split(t) if _odd(t) else t.split(" ") for t in texts]
         if len(self.inner) > CACHE_WORDS // 2:
             self.older, self.inner = self.inner, {}
-        if len(self.first) > CACHE_WORDS // 8:
+        if len(self.first) > CACHE_WORDS // 4:
             self.first.clear()
-        heads = [c.pop(0) for c in cut]
-        self._learn(set(heads) - self.first.keys(), self.first, "")
-        get = self.inner.get
-        got = [list(map(get, c)) for c in cut]
-        late = [k for k, g in enumerate(got) if None in g]
-        new = {w for k in late for w, g in zip(cut[k], got[k]) if g is None}
-        if self.older:  # words in use move to the newer half
-            seen = new & self.older.keys()
-            self.inner.update((w, self.older[w]) for w in seen)
-            new -= seen
-        self._learn(new, self.inner, " ")
-        for k in late:
-            got[k] = list(map(get, cut[k]))
-        return [self.first[h] + b"".join(g) for h, g in zip(heads, got)]
+        odd = [i for i, t in enumerate(texts) if _odd(t)]
+        plain = pa.array([t if t else "" for t in texts], pa.large_string())
+        lists = pc.split_pattern(plain, " ")
+        if odd:
+            mask = np.zeros(len(texts), bool)
+            mask[odd] = True
+            order = np.empty(len(texts), "i8")
+            order[~mask] = np.arange(len(texts) - len(odd))
+            order[mask] = np.arange(len(texts) - len(odd), len(texts))
+            lists = pa.concat_arrays([lists.filter(pa.array(~mask)), pa.array([_LONE_SPACE.split(texts[i]) for i in odd], lists.type)]).take(pa.array(order))
+        bounds = lists.offsets.to_numpy().astype("i8")
+        bounds -= bounds[0]
+        coded = lists.flatten().dictionary_encode()
+        at = coded.indices.to_numpy().astype("i8")
+        words = coded.dictionary.to_pylist()
+        heads, own = np.unique(at[bounds[:-1]], return_inverse=True)
+        at[bounds[:-1]] = own + len(words)
+        use = np.zeros(len(words) + len(heads), bool)
+        use[at] = True
+        use = np.flatnonzero(use)
+        got = self._pieces([words[k] for k in use[use < len(words)].tolist()], [words[k] for k in heads.tolist()])
+        place = np.empty(len(words) + len(heads), "i8")
+        place[use] = np.arange(len(use))
+        ids = pa.array(got, pa.large_binary()).take(pa.array(place[at]))
+        data, ends = memoryview(ids.buffers()[2] or b""), np.frombuffer(ids.buffers()[1], "i8", len(ids) + 1)[bounds].tolist()
+        return [bytes(data[a:z]) for a, z in zip(ends, ends[1:])]
 
 
 def encoder(path: str | None) -> Encoder:
@@ -115,7 +183,7 @@ def token_batches(batches: Iterable[pa.RecordBatch], end_id: int, tokenizer: str
     """Batches (doc_id, text) of a partition as (doc_id, part, local_start, n_tokens, ids)."""
     end, enc, part, start = np.array([end_id], "<u4").tobytes(), encoder(tokenizer), TaskContext.get().partitionId(), 0
     for b in batches:
-        for at, texts in slices(b.column(1)):
+        for at, texts in slices(b.column(1), 8_000_000):
             ids = [x + end for x in enc.encode(texts)]
             n = np.array([len(x) // 4 for x in ids], "int64")
             before = start + np.cumsum(n) - n

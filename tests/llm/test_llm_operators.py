@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -11,7 +12,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from stockpulse.llm import chat, decontaminate, langid, lines, ngram_lm, packing, queries, simhash, spotsigs, token_files, toxicity
+from stockpulse.llm import chat, decontaminate, langid, lines, ngram_lm, packing, queries, simhash, spotsigs, token_files, tokens, toxicity
 from stockpulse.llm.common import connected_components
 from stockpulse.llm.elias_fano import EliasFano
 from stockpulse.llm.tokens import Encoder, default_tokenizer
@@ -50,6 +51,22 @@ def test_encoder_is_the_tokenizer(docs, odd):
     assert enc.encode(texts) == [u32(plain.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
+def test_encoder_learns_each_part_once(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 200)
+    enc, plain, asked = Encoder(default_tokenizer()), plain_tokenizer(), []
+    learn = enc._learn
+    monkeypatch.setattr(enc, "_learn", lambda parts, cache, lead: (asked.extend(lead + w for w in parts), learn(parts, cache, lead)))
+    text = "a house house. house, house!\nhouse (house) don't. don't\nIt's house...\nhouse"
+    assert enc.encode([text, "", text]) == [u32(plain.encode(t, add_special_tokens=False).ids) for t in (text, "", text)]
+    assert asked.count(" house") == 1 and " house." not in asked and asked.count("house") == 1
+    rng = random.Random(4)
+    some = ["a", "the", "is", "don't", "'s", "'", "x'", "\n", "\n\n", " ", "  ", ".", ",", "...", "é", "ß", "漢字", "123", "\t", "\u00a0", "\u3000", "\x1c", "\r\n",
+            "<|endoftext|>", "***", "_", "The", "\U0001F600", "\u0301", "\u0120", "\u0120x", "-", "\"", "\u017f", "\x00"]
+    for _ in range(20):
+        texts = ["".join(rng.choice(some) if rng.random() < 0.8 else " " for _ in range(rng.randrange(40))) for _ in range(100)]
+        assert enc.encode(texts) == [u32(plain.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 def test_components_of_edges(spark):
     rng = np.random.default_rng(3)
     pairs = [(int(a), int(b)) for a, b in rng.integers(-50, 50, (70, 2))] + [(1000 + i, 1001 + i) for i in range(60)]
