@@ -13,6 +13,9 @@ import struct
 import numpy as np
 
 _HEAD = struct.Struct("<QQQQQ")
+_ONES, _TOPS, _FIVES, _THREES, _FIFTEENS = (np.uint64(b * 0x0101010101010101) for b in (0x01, 0x80, 0x55, 0x33, 0x0F))
+#: Place of the k-th set bit of a byte, at 256 k + byte.
+_BIT_OF = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[k] for k in range(8) for b in range(256)], "i8")
 
 
 def _pack_bits(values: np.ndarray, width: int) -> bytes:
@@ -79,16 +82,15 @@ class EliasFano:
         return ((self._select_bit(i) - i).astype("u8") << np.uint64(self.low_bits) | _read_bits(self.low, i, self.low_bits)) + self.base
 
     def _in_word(self, word: np.ndarray, k: np.ndarray) -> np.ndarray:
-        """The place of the k-th set bit (from 0) of each 64-bit word, by halving."""
-        pos, w, k = np.zeros(len(word), "u8"), word.copy(), k.astype("i8")
-        for half in (32, 16, 8, 4, 2, 1):
-            low = w & np.uint64((1 << half) - 1)
-            c = np.bitwise_count(low).astype("i8")
-            up = k >= c
-            k = np.where(up, k - c, k)
-            w = np.where(up, w >> np.uint64(half), low)
-            pos = pos + np.where(up, np.uint64(half), np.uint64(0))
-        return pos.astype("i8")
+        """The place of the k-th set bit (from 0) of each 64-bit word: its byte by the bits up to each byte's end, then its bit by a table."""
+        k = k.astype("u8")
+        upto = word - ((word >> np.uint64(1)) & _FIVES)
+        upto = (upto & _THREES) + ((upto >> np.uint64(2)) & _THREES)
+        upto = ((upto + (upto >> np.uint64(4))) & _FIFTEENS) * _ONES
+        # a byte's top bit stays set where no more than k bits are set up to its end
+        at = np.bitwise_count((k * _ONES | _TOPS) - upto & _TOPS).astype("u8") << np.uint64(3)
+        k -= (upto << np.uint64(8)) >> at & np.uint64(255)
+        return at.astype("i8") + _BIT_OF.take((k << np.uint64(8) | (word >> at) & np.uint64(255)).astype("i8"), mode="clip")
 
     def _select_bit(self, i: np.ndarray) -> np.ndarray:
         w = np.searchsorted(self.before, i, side="right") - 1

@@ -277,9 +277,11 @@ class Level:
         """Place (-1: not seen in training), count, tokens before and, with ``probs``, log10 p(word | context) or nan; sorted by (context, word)."""
         place, count, before = np.full(len(context), -1, "i8"), np.zeros(len(context), "i8"), np.zeros(len(context), "i8")
         out = np.full(len(context), np.nan) if probs else None
-        for s in np.unique(shard).tolist():
-            if s in self.paths:
-                w = np.flatnonzero(shard == s)
+        # shards rise with (context, word): one run for each
+        cut = np.flatnonzero(np.diff(shard, prepend=-1, append=-1)).tolist()
+        for a, z in zip(cut, cut[1:]):
+            if (s := int(shard[a])) in self.paths:
+                w = np.arange(a, z)
                 contexts, follow, ends, codes = self._shard(s)
                 first = np.flatnonzero(np.diff(context[w], prepend=-1))
                 c = np.repeat(contexts.find(context[w[first]]), np.diff(first, append=len(w)))

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import timeit
 import zlib
 from collections import Counter, defaultdict
 
@@ -67,6 +68,27 @@ def test_encoder_learns_each_part_once(monkeypatch):
         assert enc.encode(texts) == [u32(plain.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
+def test_select_in_word():
+    rng = np.random.default_rng(1)
+    words = np.concatenate([rng.integers(0, 2 ** 64, 200, dtype="u8"), np.array([2 ** 64 - 1, 1, 2 ** 63], "u8")])
+    list_ = EliasFano(EliasFano.encode(np.arange(3)))
+    bits = [[i for i in range(64) if x >> i & 1] for x in words.tolist()]
+    word, k = np.repeat(words, [len(b) for b in bits]), np.concatenate([np.arange(len(b)) for b in bits])
+    assert list_._in_word(word, k).tolist() == sum(bits, [])
+
+    def halved():
+        pos, w, left = np.zeros(len(word), "u8"), word.copy(), k.astype("i8")
+        for half in (32, 16, 8, 4, 2, 1):
+            low = w & np.uint64((1 << half) - 1)
+            c = np.bitwise_count(low).astype("i8")
+            up = left >= c
+            left, w, pos = np.where(up, left - c, left), np.where(up, w >> np.uint64(half), low), pos + np.where(up, np.uint64(half), np.uint64(0))
+
+    word, k = np.tile(word, 10), np.tile(k, 10)
+    # a fraction of the time that halving each word takes
+    assert min(timeit.repeat(lambda: list_._in_word(word, k), number=3)) < 0.7 * min(timeit.repeat(halved, number=3))
+
+
 def test_components_of_edges(spark):
     rng = np.random.default_rng(3)
     pairs = [(int(a), int(b)) for a, b in rng.integers(-50, 50, (70, 2))] + [(1000 + i, 1001 + i) for i in range(60)]
