@@ -36,11 +36,12 @@ from stockpulse.llm.common import free_name, written
 DEPTH, SIMILARITY, MIN_DOCS, MIN_TOKENS, MIN_CHARS = 4, 0.7, 2, 3, 20
 #: Words of 64 bits in the bitmap of leaves (2 MB of bits).
 BITS = 1 << 18
-_BLANK = "[ \\t\\r\\f\\x0B]+"
 
 
 def _tokens(line: Column) -> Column:
-    return F.filter(F.split(line, _BLANK), lambda t: t != "")
+    # with blanks of one kind the split needs no regular expression
+    line = F.when(line.rlike("[\\t\\r\\f\\x0B]"), F.regexp_replace(line, "[\\t\\r\\f\\x0B]", " ")).otherwise(line)
+    return F.array_remove(F.split(line, " "), "")
 
 
 def _cells(leaf: Column) -> tuple[Column, Column]:
@@ -50,30 +51,34 @@ def _cells(leaf: Column) -> tuple[Column, Column]:
 
 def line_templates(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMILARITY, min_tokens: int = MIN_TOKENS, min_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, h, line_no, template) of every line that can have a template."""
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line"))
+    # the columns of a line are made before it is cut further, or each of its parts would make them again
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), F.split(F.col("text").cast("string"), "\n").alias("lines"))
     masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", "[^ \\t\\r\\f\\x0B0-9]*+[0-9][^ \\t\\r\\f\\x0B]*", "<*>")).otherwise(F.col("line"))
-
-    def parts(t: Column) -> Column:
-        n, whole = F.size(t), F.array_join(t, " ")
-        known = (n >= min_tokens) & F.exists(t, lambda x: x != "<*>")
-        deep = known & (n > depth)
-        exact = F.array_join(_tokens(F.col("line")), " ")
-        kept = known | (n >= min_tokens) | (F.char_length(exact) >= min_chars)
-        return F.struct(n.alias("n"), F.when(deep, F.xxhash64(n, F.array_join(F.slice(t, 1, depth), " "))).alias("leaf"),
-                        F.when(known, F.xxhash64(whole)).when(kept & (n > 0), F.xxhash64(F.lit("="), exact)).alias("sig"), F.when(deep, whole).alias("line"))
-
-    found = lines.select("doc_id", "h", "line_no", F.transform(F.array(_tokens(masked)), parts)[0].alias("x"))
-    occurrences = written(found.select("doc_id", "h", "line_no", "x.n", "x.leaf", "x.sig", "x.line").where("sig is not null"), "line-signatures", compression="zstd")
+    cut = whole.select("doc_id", "h", F.posexplode("lines").alias("line_no", "line")) \
+        .select("doc_id", "h", "line_no", "line", masked.alias("masked")).select("doc_id", "h", "line_no", "line", _tokens(F.col("masked")).alias("t"))
+    named = cut.select("doc_id", "h", "line_no", "line", F.size("t").alias("n"), F.exists("t", lambda x: x != "<*>").alias("constant"),
+                       F.array_join(F.slice("t", 1, depth), " ").alias("path"), F.array_join("t", " ").alias("whole"))
+    known = (F.col("n") >= min_tokens) & F.col("constant")
+    deep = known & (F.col("n") > depth)
+    exact = F.array_join(_tokens(F.col("line")), " ")
+    stands = (F.col("n") > 0) & ((F.col("n") >= min_tokens) | (F.char_length(exact) >= min_chars))
+    found = named.select("doc_id", "h", "line_no", "n", F.when(deep, F.xxhash64("n", "path")).alias("leaf"),
+                         F.when(known, F.xxhash64("whole")).when(stands, F.xxhash64(F.lit("="), exact)).alias("sig"), F.when(deep, F.col("whole")).alias("line"))
+    # the few lines without a signature are left out as they are read; a filter before would cut every line once more
+    occurrences = written(found, "line-signatures", compression="zstd").where("sig is not null")
     # leaves with more than one kind of line, whose lines are longer than the path
     deep = occurrences.where("leaf is not null")
     kinds = deep.groupBy("leaf", "sig").agg(F.min("n").alias("n"))
     forked = written(kinds.groupBy("leaf").agg(F.count("*").alias("kinds")).where("kinds > 1"), "line-leaves")
     cell, bit = _cells(F.col("leaf"))
     bitmap = forked.groupBy(cell.alias("cell")).agg(F.bit_or(bit).alias("bits"))  # BITS rows at most
-    near = deep.withColumn("cell", cell).join(F.broadcast(bitmap), "cell").where(F.col("bits").bitwiseAND(bit) != 0)
+    # without a leaf, or one that the bitmap lacks: a line's signature is its template
+    told = occurrences.withColumn("cell", cell).join(F.broadcast(bitmap), "cell", "left") \
+        .withColumn("near", F.coalesce(F.col("bits").bitwiseAND(bit) != 0, F.lit(False)))
+    near = told.where("near")
     shown = near.groupBy("leaf", "sig").agg(F.min("line").alias("line")).join(forked, "leaf")
-    at = shown.select("leaf", "sig", "kinds", F.posexplode(F.split("line", " ")).alias("p", "tok"), F.size(F.split("line", " ")).alias("n")) \
-        .select("leaf", "sig", "kinds", "n", "p", F.xxhash64("tok").alias("tok"))
+    at = shown.select("leaf", "sig", "kinds", F.split("line", " ").alias("t")).select("leaf", "sig", "kinds", "t", F.size("t").alias("n")) \
+        .select("leaf", "sig", "kinds", "n", F.posexplode("t").alias("p", "tok")).withColumn("tok", F.xxhash64("tok"))
     at = written(at, "line-positions", compression="zstd")
     constant = at.groupBy("leaf", "kinds", "n", "p", "tok").agg(F.count("*").alias("c")).where("2 * c > kinds")
     sound = constant.groupBy("leaf", "n").agg(F.count("*").alias("constants")).where(F.col("constants") >= F.lit(similarity) * F.col("n")).select("leaf")
@@ -81,17 +86,21 @@ def line_templates(docs: DataFrame, depth: int = DEPTH, similarity: float = SIMI
     agree = at.select("leaf", "sig", "n", "p", "tok").join(firm, ["leaf", "p", "tok"]) \
         .groupBy("leaf", "sig", "n").agg(F.count("*").alias("same")).where(F.col("same") >= F.lit(similarity) * F.col("n")) \
         .select("sig", F.col("leaf").alias("template"))
-    return occurrences.select("doc_id", "h", "line_no", "sig").join(agree, "sig", "left").select("doc_id", "h", "line_no", F.coalesce("template", "sig").alias("template"))
+    own = near.select("doc_id", "h", "line_no", "sig").join(agree, "sig", "left").select("doc_id", "h", "line_no", F.coalesce("template", "sig").alias("template"))
+    return told.where("not near").select("doc_id", "h", "line_no", F.col("sig").alias("template")).union(own)
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, **tree) -> DataFrame:
     """(doc_id, h, drop): the numbers of the lines to be dropped, for documents that have any."""
-    found = line_templates(docs, **tree)
+    found = written(line_templates(docs, **tree), "line-templates", compression="zstd")
     doc = F.struct("doc_id", "h")
-    each = found.groupBy("template", "doc_id", "h").agg(F.collect_set("line_no").alias("lines"))
-    spread = each.groupBy("template").agg(F.count("*").alias("n_docs"), F.min(doc).alias("first")).where(F.col("n_docs") >= min_docs)
-    late = each.join(spread, "template").where(~doc.eqNullSafe(F.col("first")))
-    return late.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("lines")).alias("drop"))
+    if min_docs == 2:  # two documents at least: the first is not the last
+        spread = found.groupBy("template").agg(F.min(doc).alias("first"), F.max(doc).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
+    else:
+        each = found.groupBy("template", "doc_id", "h").agg(F.lit(1).alias("one"))
+        spread = each.groupBy("template").agg(F.count("*").alias("n_docs"), F.min(doc).alias("first")).where(F.col("n_docs") >= min_docs)
+    late = found.join(spread.select("template", "first"), "template").where(~doc.eqNullSafe(F.col("first")))
+    return late.groupBy("doc_id", "h").agg(F.collect_set("line_no").alias("drop"))
 
 
 def drop_recurring_lines(docs: DataFrame, **options) -> DataFrame:

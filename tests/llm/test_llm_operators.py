@@ -133,6 +133,22 @@ def test_line_dedup_without_blanks_or_constants(spark):
     assert got == {1: rows[0][1], 2: "12 7 4\n短い", 3: "my own words here"}
 
 
+def test_lines_are_cut_once(spark, monkeypatch):
+    plans, write = {}, lines.written
+    monkeypatch.setattr(lines, "written", lambda df, name, **o: (plans.update({name: df._jdf.queryExecution().optimizedPlan().toString()}), write(df, name, **o))[1])
+    rows = [(i, f"alpha\t\tbeta \rgamma\x0c{i} same tail words\none two three {i} four five\nalone {chr(97 + i)} stands here\n12 7 {i}\nab") for i in range(4)]
+    docs = spark.createDataFrame(rows + [(None, None), (9, ""), (3, rows[3][1])], "doc_id long, text string")
+    got = sorted((tuple(r) for r in lines.drop_recurring_lines(docs).collect()), key=str)
+    late = [(i, f"alone {chr(97 + i)} stands here\n12 7 {i}\nab", 2, 5) for i in range(1, 4)]
+    assert got == sorted([(0, rows[0][1], 0, 5), *late, late[-1], (None, None, 0, 0), (9, "", 0, 1)], key=str)
+    # no filter cuts the lines a second time, no position of a line splits it again
+    assert plans["line-signatures"].count("posexplode(") == 1 and "array_remove" not in "".join(x for x in plans["line-signatures"].splitlines() if "Filter" in x)
+    assert "regexp_replace" not in "".join(x for x in plans["line-signatures"].splitlines() if "Filter" in x) and "size(split(" not in plans["line-positions"].split("Generate")[0]
+    # found in all but one of four documents, counted once each
+    some = spark.createDataFrame([(i, f"only {'x' * (i // 3)} words here") for i in (0, 1, 2, 2, 3)], "doc_id long, text string")
+    assert [sum(r["n_dropped"] for r in lines.drop_recurring_lines(some, min_docs=n).collect()) for n in (2, 3, 4)] == [3, 3, 0]
+
+
 def test_line_dedup_odd_rows(odd, empty):
     got = lines.drop_recurring_lines(odd)
     rows = got.collect()
