@@ -19,7 +19,8 @@ from stockpulse.llm.common import hold, written
 CACHE_WORDS = 800_000
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+#: Where a space may stand at another white space or at an end.
+_ODD = r"  | \n|\n |\A | \z|[\t\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 _SOLID = re.compile(r"\S+").fullmatch
 _LINES = re.compile(r"\S+(?:\n\S+)+").fullmatch
 _ENDED = re.compile(r"(\S*[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F])([!-&(-/:-@\[-`{-~]+)").fullmatch
@@ -27,11 +28,6 @@ _ENDED = re.compile(r"(\S*[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F])([!-&(
 _SPACE = "\u0120"
 
 
-def _odd(t: str) -> bool:
-    """Whether a space of the text may stand at another white space or at an end."""
-    return "  " in t or " \n" in t or "\n " in t or t[:1] == " " or t[-1:] == " " or _OTHER_SPACE.search(t) is not None
-
-
 def _parts(piece: str) -> tuple[str, ...]:
     """A piece cut at its line ends and before the punctuation that ends a line."""
     if "\n" not in piece:
@@ -112,14 +108,19 @@ class Encoder:
                 if x is not None:
                     got[k] = inner[pieces[k]] = x
             late = [k for k in late if got[k] is None]
-        cut, cut_heads = [_parts(pieces[k]) for k in late], list(map(_parts, heads))
-        new = {c[0] for c in cut} - inner.keys()
+        # most words are letters alone and have no parts
+        words = [k for k in late if pieces[k].isalpha()]
+        cut = [(k, _parts(pieces[k])) for k in late if not pieces[k].isalpha()]
+        cut_heads = list(map(_parts, heads))
+        new = {pieces[k] for k in words}.union([c[0] for _, c in cut]) - inner.keys()
         if older:
             inner.update((w, older[w]) for w in new & older.keys())
-        self._learn(new - inner.keys(), inner, " ")
-        others = {x for c in cut if len(c) > 1 for x in c[1:]}.union(*cut_heads)
-        self._learn(others - first.keys(), first, "")
-        for k, c in zip(late, cut):
+            new -= inner.keys()
+        self._learn(new, inner, " ")
+        self._learn({x for _, c in cut for x in c[1:]}.union(*cut_heads) - first.keys(), first, "")
+        for k in words:
+            got[k] = inner[pieces[k]]
+        for k, c in cut:
             x = inner[c[0]]
             if len(c) > 1:
                 x = inner[pieces[k]] = x + b"".join([first[y] for y in c[1:]])
@@ -131,8 +132,8 @@ class Encoder:
             self.older, self.inner = self.inner, {}
         if len(self.first) > CACHE_WORDS // 4:
             self.first.clear()
-        odd = [i for i, t in enumerate(texts) if _odd(t)]
         plain = pa.array([t if t else "" for t in texts], pa.large_string())
+        odd = np.flatnonzero(pc.match_substring_regex(plain, _ODD).to_numpy(zero_copy_only=False)).tolist()
         lists = pc.split_pattern(plain, " ")
         if odd:
             mask = np.zeros(len(texts), bool)
