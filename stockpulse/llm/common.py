@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8_000_000
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the session names it.
@@ -44,6 +46,16 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let the Arrow batches that go to Python workers end at ``BATCH_BYTES``, unless the session says where.
+
+    By default their rows are counted, and whole texts make batches of tens of
+    MB, which lie beside an executor's heap and again in each of its workers.
+    """
+    if spark.conf.get(BATCH_CONF, None) is None:
+        spark.conf.set(BATCH_CONF, BATCH_BYTES)
+
+
 def fold(id_col: Column, k: int) -> Column:
     """crc32 of the id as text, modulo k (a null id counts as empty text)."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % F.lit(k)

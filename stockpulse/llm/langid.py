@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockpulse.llm.common import fold, free_name, hold
+from stockpulse.llm.common import bound_batches, fold, free_name, hold
 
 FOLDS = 5
 #: Labelled rows of each language that the model is fitted on.
@@ -42,6 +42,8 @@ STEPS, RATE, DECAY = 30, 0.1, 1e-4
 UNKNOWN = "und"
 #: Words in the cache of a worker, and cells of a padded block.
 CACHE, CELLS = 300_000, 1 << 18
+#: New words whose features are in memory at a time.
+LEARNED = 8_000
 
 
 def normal(token: str) -> str:
@@ -144,15 +146,15 @@ class Model:
     def _learn(self, tokens: set[str]) -> None:
         todo = [(t, n) for t in tokens if (n := normal(t))]
         self.cache.update(dict.fromkeys(tokens, -1))
-        if not todo:
-            return
-        f, start = features([n for _, n in todo], self.lexicon)
-        rows = np.add.reduceat(self.weights[f], start, axis=0)
-        while self.used + len(rows) > len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[self.used:self.used + len(rows)] = rows
-        self.cache.update(zip((t for t, _ in todo), range(self.used, self.used + len(rows))))
-        self.used += len(rows)
+        for at in range(0, len(todo), LEARNED):
+            some = todo[at:at + LEARNED]
+            f, start = features([n for _, n in some], self.lexicon)
+            rows = np.add.reduceat(self.weights[f], start, axis=0)
+            while self.used + len(rows) > len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.table[self.used:self.used + len(rows)] = rows
+            self.cache.update(zip((t for t, _ in some), range(self.used, self.used + len(rows))))
+            self.used += len(rows)
 
     def word_marginals(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text its words' line numbers and marginals (word, label); words without letters are left out."""
@@ -272,6 +274,7 @@ def train(docs: DataFrame, per_lang: int = PER_LANG, folds: int = FOLDS) -> Mode
 
 def predict(model: Model, spark, text: Column) -> Column:
     """Struct (lang, score, sure) of each text."""
+    bound_batches(spark)
     sent = spark.sparkContext.broadcast(pickle.dumps(model))
     key = zlib.crc32(sent.value)
 

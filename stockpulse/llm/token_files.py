@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpulse.llm.common import scratch_path, with_bases
+from stockpulse.llm.common import bound_batches, scratch_path, with_bases
 from stockpulse.llm.elias_fano import EliasFano
 from stockpulse.llm.tokens import token_batches
 
@@ -80,6 +80,7 @@ class Segment:
 def write_token_files(docs: DataFrame, path: str, end_id: int = END_ID, tokenizer: str | None = None, segment_ids: int = SEGMENT_IDS) -> None:
     """Encode all documents and write the segments below ``path``."""
     spark = docs.sparkSession
+    bound_batches(spark)
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     placed = plain.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")

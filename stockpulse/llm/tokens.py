@@ -13,9 +13,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockpulse.llm.common import hold, written
+from stockpulse.llm.common import bound_batches, hold, written
 
-#: Entries of an encoder's word cache: at half of them the older half goes.
+#: Entries of an encoder's word cache: beyond them only the half used last stays.
 CACHE_WORDS = 800_000
 
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -69,9 +69,9 @@ class Encoder:
         vocab = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocab.values()) + 1, bool)
         self.spaced[[i for t, i in vocab.items() if t[:1] == _SPACE]] = True
-        #: Parts behind a space and others, each with the half of the cache that goes next.
-        self.inner: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        #: Pieces behind a space, their ids, and the call that last used each; parts behind something else.
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.used, self.now = np.zeros(0, "i8"), 0
         self.first: dict[str, bytes] = {}
 
     def _learn(self, parts: set[str], cache: dict[str, bytes], lead: str) -> None:
@@ -98,38 +98,41 @@ class Encoder:
             for w, e in zip(some, self.tokenizer.encode_batch_fast([lead + w for w in some], add_special_tokens=False)):
                 cache[w] = np.array(e.ids, "<u4").tobytes()
 
-    def _pieces(self, pieces: list[str], heads: list[str]) -> list[bytes]:
-        """Ids of different pieces, each behind a space, and of others, each without."""
-        inner, first, older = self.inner, self.first, self.older
-        got = list(map(inner.get, pieces))
-        late = [k for k, x in enumerate(got) if x is None]
-        if older:  # words in use move to the newer half
-            for k, x in zip(late, list(map(older.get, [pieces[k] for k in late]))):
-                if x is not None:
-                    got[k] = inner[pieces[k]] = x
-            late = [k for k in late if got[k] is None]
-        # most words are letters alone and have no parts
-        words = [k for k in late if pieces[k].isalpha()]
-        cut = [(k, _parts(pieces[k])) for k in late if not pieces[k].isalpha()]
-        cut_heads = list(map(_parts, heads))
-        new = {pieces[k] for k in words}.union([c[0] for _, c in cut]) - inner.keys()
-        if older:
-            inner.update((w, older[w]) for w in new & older.keys())
-            new -= inner.keys()
-        self._learn(new, inner, " ")
-        self._learn({x for _, c in cut for x in c[1:]}.union(*cut_heads) - first.keys(), first, "")
-        for k in words:
-            got[k] = inner[pieces[k]]
-        for k, c in cut:
-            x = inner[c[0]]
-            if len(c) > 1:
-                x = inner[pieces[k]] = x + b"".join([first[y] for y in c[1:]])
-            got[k] = x
-        return got + [b"".join([first[x] for x in c]) for c in cut_heads]
+    def _rows(self, pieces: pa.Array) -> np.ndarray:
+        """Each piece's row in the cache (-1: none); rows found count as used now."""
+        at = pc.index_in(pieces, self.words).fill_null(-1).to_numpy()
+        self.used[at[at >= 0]] = self.now
+        return at
+
+    def _add(self, new: pa.Array) -> None:
+        """Put different pieces, each behind a space, into the cache."""
+        # most pieces are letters alone and have no parts
+        alone = pc.utf8_is_alpha(new)
+        words, pieces = new.filter(alone).to_pylist(), new.filter(pc.invert(alone)).to_pylist()
+        cut = list(map(_parts, pieces))
+        begins = pa.array({c[0] for c in cut}.difference(words), pa.large_string())
+        rows = self._rows(begins)
+        got: dict[str, bytes] = {}
+        self._learn({*words, *begins.filter(pa.array(rows < 0)).to_pylist()}, got, " ")
+        self._learn({x for c in cut for x in c[1:]} - self.first.keys(), self.first, "")
+        known = dict(zip(begins.filter(pa.array(rows >= 0)).to_pylist(), self.ids.take(pa.array(rows[rows >= 0])).to_pylist()))
+        get = self.first.__getitem__
+        longer = {p: (got[c[0]] if c[0] in got else known[c[0]]) + b"".join(map(get, c[1:])) for p, c in zip(pieces, cut) if len(c) > 1}
+        self.words = pa.concat_arrays([self.words, pa.array([*got, *longer], pa.large_string())])
+        self.ids = pa.concat_arrays([self.ids, pa.array([*got.values(), *longer.values()], pa.large_binary())])
+        self.used = np.append(self.used, np.full(len(self.words) - len(self.used), self.now, "i8"))
+
+    def _heads(self, heads: list[str]) -> list[bytes]:
+        """Ids of pieces that no space comes before."""
+        cut = list(map(_parts, heads))
+        self._learn(set().union(*cut) - self.first.keys(), self.first, "")
+        return [b"".join([self.first[x] for x in c]) for c in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.inner) > CACHE_WORDS // 2:
-            self.older, self.inner = self.inner, {}
+        self.now += 1
+        if len(self.words) > CACHE_WORDS:
+            keep = pa.array(np.sort(np.argpartition(-self.used, CACHE_WORDS // 2)[:CACHE_WORDS // 2]))
+            self.words, self.ids, self.used = self.words.take(keep), self.ids.take(keep), self.used[keep]
         if len(self.first) > CACHE_WORDS // 4:
             self.first.clear()
         plain = pa.array([t if t else "" for t in texts], pa.large_string())
@@ -144,18 +147,19 @@ class Encoder:
             lists = pa.concat_arrays([lists.filter(pa.array(~mask)), pa.array([_LONE_SPACE.split(texts[i]) for i in odd], lists.type)]).take(pa.array(order))
         bounds = lists.offsets.to_numpy().astype("i8")
         bounds -= bounds[0]
-        coded = lists.flatten().dictionary_encode()
-        at = coded.indices.to_numpy().astype("i8")
-        words = coded.dictionary.to_pylist()
-        heads, own = np.unique(at[bounds[:-1]], return_inverse=True)
-        at[bounds[:-1]] = own + len(words)
-        use = np.zeros(len(words) + len(heads), bool)
-        use[at] = True
-        use = np.flatnonzero(use)
-        got = self._pieces([words[k] for k in use[use < len(words)].tolist()], [words[k] for k in heads.tolist()])
-        place = np.empty(len(words) + len(heads), "i8")
-        place[use] = np.arange(len(use))
-        ids = pa.array(got, pa.large_binary()).take(pa.array(place[at]))
+        pieces = lists.flatten()
+        behind = np.ones(len(pieces), bool)
+        behind[bounds[:-1]] = False
+        heads = pieces.filter(pa.array(~behind)).dictionary_encode()
+        at = self._rows(pieces).astype("i4")
+        late = np.flatnonzero((at < 0) & behind)
+        if len(late):
+            some, known = pieces.take(pa.array(late)), len(self.words)
+            self._add(some.unique())
+            at[late] = pc.index_in(some, self.words[known:]).to_numpy() + known
+        at[bounds[:-1]] = heads.indices.to_numpy() + len(self.ids)
+        every = pa.concat_arrays([self.ids, pa.array(self._heads(heads.dictionary.to_pylist()), pa.large_binary())])
+        ids = every.take(pa.array(at))
         data, ends = memoryview(ids.buffers()[2] or b""), np.frombuffer(ids.buffers()[1], "i8", len(ids) + 1)[bounds].tolist()
         return [bytes(data[a:z]) for a, z in zip(ends, ends[1:])]
 
@@ -203,6 +207,7 @@ def token_table(docs: DataFrame, end_id: int, tokenizer: str | None = None) -> D
     before the document. The rows are written to the shared folder, so part
     and local_start are fixed from then on.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         lambda batches: token_batches(batches, end_id, tokenizer), "doc_id long, part int, local_start long, n_tokens long, ids binary")
     return written(rows, "tokens", compression="zstd")
