@@ -1,37 +1,39 @@
-"""MinHash near-duplicates from bottom-k sketches of one hash function.
+"""MinHash near-duplicates: bands of minima under many hash functions.
 
 A document's set has a 64-bit hash of each different shingle of ``SHINGLE``
-words; its sketch is the ``SKETCH`` least hashes. Equal sets are one node.
-
-Inverted lists: the ``INDEXED`` least hashes of a node are its entries. Two
-sets at Jaccard 0.8 share at least ``SHARED`` of them (or, where sets are so
-small that the sketches hold them whole, 0.8 of them), so it is enough to list
-each node under its rarest entries, all but ``SHARED`` - 1: two such nodes
-still meet in a list. Entries that much of the corpus has (frequent phrases)
-come last in that order and head no list, unless a node has nothing else.
+words. Equal sets are one node. A node has ``BANDS`` keys, each made of the
+set's minima under ``ROWS`` hash functions; nodes with the same key are a list,
+and of lists with the same nodes one stays. Two sets of likeness J have a key
+in common with probability J ** ``ROWS``, so sets that only share frequent
+phrases rarely meet, and rows of lists grow in proportion to the nodes.
 
 ``STARS`` times every node is compared with one centre, a node that leads most
 of its lists and is not in its component yet; so groups of near copies join
 with a few comparisons a node. Lists that still hold several components are
-split into bands of set size (partners are in the same band or the next); of
-lists with the same nodes one stays. They are gone through in blocks of at
-most ``CELL`` nodes: numbers of common sketch values for a whole block at a
-time, then the estimate by the union's sketch (the values that both have among
-the ``SKETCH`` least of both). For this a sketch travels as its ``marks``, 16
-bits of each value in order: a common value's place in the union follows from
-its places in both. Only pairs past the filter leave a block, and in the first
-pass of them only the likeliest of each two components.
-
-Pairs that leave are verified on the full sets. In the second pass, over what
-is still apart, the likeliest partner of each node comes first, then sixteen,
-then all; pairs that have come into one component meanwhile are linked already
-and fall away, all others are verified. Groups are the connected components of
-the verified links.
-
-A pair at 0.8 or more fails to share ``SHARED`` entries, or the filter's half
-of the union's sketch, with a probability below 1e-12 (binomial tail, 64 and
-128 draws; marks that collide can but add to the filter's count, save for two of
-one sketch, which count as one). The check on full sets is exact.
+gone through whole, save pairs within one component: the nodes outside a list's
+largest component are dealt into blocks of at most ``CELL``; a block is held,
+and those nodes of the list that it has to meet pass by it, so each goes to as
+many places as there are blocks (one, unless more than ``CELL`` nodes are
+outside). More than ``STRIPE`` of them are dealt into stripes, each with
+the block of its own. Within, ``SQUARE`` nodes at a time are set against each
+of the others by their ``marks``, 16 bits of each of a set's ``SKETCH`` least
+hashes in order. Where both sketches hold their sets whole, the common marks
+tell the likeness (from above, as marks can collide), and pairs below the
+threshold stay; else the estimate by the union's sketch does, the values that
+both have among the ``SKETCH`` least of both: a common value's place in the union
+follows from its places in both. Only pairs past this filter leave a block, and
+in the first pass of them only the likeliest of each two components.
+
+Pairs that leave are verified on the full sets, which are written once for the
+nodes in lists. In the second pass, over what is still apart, the likeliest
+partner of each node comes first, then sixteen, then all; pairs that have come
+into one component meanwhile are linked already and fall away, all others are
+verified. Groups are the connected components of the verified links.
+
+A pair at 0.8 or more fails to have one of the keys in common, or ``LIKELY`` of
+the union's sketch, with a probability below 1e-12 (72 bands of 5 draws, and
+512 draws; marks that collide add to what is in common, never take from it). The
+check on full sets is exact.
 
 Results for odd input: texts without words (null, empty) have an empty set and
 are linked with nothing; repeated rows get equal results; a null doc_id keeps
@@ -53,9 +55,13 @@ from stockpulse.llm.common import connected_components, written
 from stockpulse.llm.ngram_lm import word_hashes
 
 SHINGLE, THRESHOLD = 2, 80
-SKETCH, INDEXED, SHARED = 128, 64, 25
-#: Nodes in a block of a list.
-CELL = 256
+SKETCH, BANDS, ROWS = 512, 72, 5
+#: Of the least values of two sets' union, the part that both must have.
+LIKELY = 0.65
+#: Nodes that are held of a list, and nodes that pass by them, in one place.
+CELL, STRIPE = 4096, 65536
+#: Nodes on each side that are compared at a time.
+SQUARE = 256
 STARS = 2
 
 
@@ -104,43 +110,59 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return next(shingle_sets([text], shingle))
 
 
-def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, h1, h2, n, digest, entries, marks) of every row.
+_MIXED = (_shingle_hashes(np.arange(1, 2 * BANDS * ROWS + 1, dtype="u8"), 1) >> np.uint64(32)).astype("u4")
+#: The hash functions: a factor and a shift each, modulo 2 ** 32.
+_FACTORS, _SHIFTS = _MIXED[:BANDS * ROWS] | np.uint32(1), _MIXED[BANDS * ROWS:]
+
+
+def band_keys(sets: list[np.ndarray]) -> np.ndarray:
+    """The ``BANDS`` keys of each set (sets by bands, 64 bits)."""
+    least = np.full((len(sets), BANDS * ROWS), 0xFFFFFFFF, "u4")
+    part = np.empty((128, BANDS * ROWS), "u4")
+    for at, s in zip(least, sets):
+        x = (s >> np.uint64(32)).astype("u4")[:, None]
+        for i in range(0, len(x), len(part)):
+            now = part[:min(len(part), len(x) - i)]
+            np.multiply(x[i:i + len(part)], _FACTORS, out=now)
+            now += _SHIFTS
+            np.minimum(at, now.min(axis=0), out=at)
+    key = np.repeat(np.arange(1, BANDS + 1, dtype="u8")[None], len(sets), axis=0)
+    for j in range(ROWS):
+        key = (key ^ least[:, j::ROWS]) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    key *= np.uint64(0xBF58476D1CE4E5B9)
+    return key ^ (key >> np.uint64(32))
+
 
-    ``n``: the set's size; ``digest``: that of the whole set (null: no set);
-    ``entries``: the ``INDEXED`` least hashes; ``marks``: 16 bits of each of the ``SKETCH`` least, in order.
+def sketches(docs: DataFrame, shingle: int = SHINGLE, keys: bool = True) -> DataFrame:
+    """(doc_id, h1, h2, n, digest, keys) of every row; without ``keys``, if not asked for.
+
+    ``n``: the set's size; ``digest``: that of the whole set (null: no set); ``keys``: those of its bands.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = list(shingle_sets(b.column(3).to_pylist(), shingle))
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:3], pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                 pa.array([s[:INDEXED].view("i8") for s in sets], pa.list_(pa.int64())), pa.array([s[:SKETCH].astype("<u2").tobytes() for s in sets], pa.binary())],
-                ["doc_id", "h1", "h2", "n", "digest", "entries", "marks"])
+            out = {**dict(zip(("doc_id", "h1", "h2"), b.columns)), "n": pa.array([len(s) for s in sets], pa.int64()),
+                   "digest": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary())}
+            if keys:
+                out["keys"] = pa.ListArray.from_arrays(np.arange(0, len(sets) * BANDS + 1, BANDS, dtype="i4"), band_keys(sets).view("i8").ravel())
+            yield pa.RecordBatch.from_pydict(out)
 
     text = F.col("text").cast("string")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_text_hashes(text), text.alias("text")) \
-        .mapInArrow(run, "doc_id long, h1 long, h2 long, n long, digest binary, entries array<long>, marks binary")
+        .mapInArrow(run, "doc_id long, h1 long, h2 long, n long, digest binary" + (", keys array<long>" if keys else ""))
 
 
 def _text_hashes(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
 
 
-def inverted_lists(nodes: DataFrame) -> DataFrame:
-    """(value, node): every node under its rarest entries, as many as it takes; values of one node alone are left out."""
-    entries = nodes.select("node", "n", F.explode("entries").alias("value"))
-    many = entries.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = entries.join(many, "value").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("r"))
-    size = F.least(F.col("n"), F.lit(INDEXED))
-    # partners of a set of up to this many are within the entries as well
-    whole = INDEXED * THRESHOLD // 100
-    shared = F.when(F.col("n") <= whole, F.ceil(F.col("n") * THRESHOLD / 100)).otherwise(F.lit(SHARED))
-    lone = size - F.size("r")
-    take = F.greatest(size - shared + 1 - lone, F.lit(0)).cast("int")
-    return ranked.select("node", F.explode(F.slice("r", 1, take)).alias("e")).select(F.col("e.value").alias("value"), "node")
+def key_lists(nodes: DataFrame) -> DataFrame:
+    """(value, node): every node under its keys; keys of one node alone are left out, and of keys with the same nodes all but one."""
+    entries = nodes.select(F.explode("keys").alias("value"), "node").repartition("value")
+    several = entries.groupBy("value").agg(F.count("*").alias("m"), F.expr("bit_xor(xxhash64(node))").alias("x1"), F.expr("bit_xor(xxhash64(7, node))").alias("x2")).where("m > 1")
+    return entries.join(several.groupBy("m", "x1", "x2").agg(F.min("value").alias("value")).select("value"), "value")
 
 
 def _mixed(lists: DataFrame, roots: DataFrame) -> DataFrame:
@@ -159,89 +181,75 @@ def _centres(mixed: DataFrame, turn: int) -> DataFrame:
     return met.groupBy(F.col("node").alias("u")).agg(F.max(F.struct("k", (-F.col("centre")).alias("c"))).alias("best")).select("u", (-F.col("best.c")).alias("v"))
 
 
-def _alike(a: np.ndarray, b: np.ndarray) -> float:
-    """Estimate of two sets' likeness from the sketch of their union, given the marks of both."""
-    _, i, j = np.intersect1d(a, b, return_indices=True)
-    size = min(SKETCH, len(a) + len(b) - len(i))
-    i = np.sort(i) + 1
-    place = i + np.sort(j) + 1 - np.arange(1, len(i) + 1)
-    return np.count_nonzero(place <= size) / size
+def _estimates(table: np.ndarray, own: np.ndarray, n: int, every: np.ndarray, starts: np.ndarray, ns: np.ndarray) -> np.ndarray:
+    """Likeness of a set of ``n`` with these marks to each of the sets of ``ns`` whose marks are ``every`` from ``starts`` on; 0: not past the filter.
+
+    ``table``: a zero for each mark, and again afterwards.
+    """
+    table[own[::-1]] = np.arange(len(own), 0, -1)
+    rank = table[every]
+    table[own] = 0
+    shared = rank > 0
+    common = np.minimum(np.add.reduceat(shared, starts, dtype="i8"), np.minimum(n, ns))
+    union = n + ns - common
+    e = np.where(common * 100 >= union * THRESHOLD, common / union, 0)
+    whole = np.maximum(n, ns) <= SKETCH
+    if not whole.all():
+        sizes = np.diff(np.append(starts, len(every)))
+        seen = np.cumsum(shared)
+        place = rank + np.arange(1, len(every) + 1) - seen - np.repeat(starts - (seen - shared)[starts], sizes)
+        part = np.add.reduceat(shared & (place <= SKETCH), starts, dtype="i8") / SKETCH
+        e = np.where(whole, e, np.where(part >= LIKELY, part, 0))
+    return e
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(u, v, estimate) of the pairs whose estimate passes the filter."""
+    """(u, v, estimate) of the pairs that pass the filter."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, start = np.zeros(1 << 16, "i4"), np.zeros(1, "i8")
         for b in batches:
-            e = np.array([_alike(np.frombuffer(x, "<u2"), np.frombuffer(y, "<u2")) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())])
-            keep = pa.array(e >= 0.5)
+            e = np.array([_estimates(table, np.frombuffer(x, "<u2"), n, np.frombuffer(y, "<u2"), start, np.array([m]))[0]
+                          for n, m, x, y in zip(*(c.to_pylist() for c in b.columns[2:]))], "f8")
+            keep = pa.array(e > 0)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep), pa.array(e).filter(keep)], ["u", "v", "estimate"])
 
     s = nodes.select("node", "n", "marks")
     met = pairs.join(s.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("marks").alias("s_u")), "u") \
         .join(s.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("marks").alias("s_v")), "v")
-    return met.where(_sizes_fit(F.col("n_u"), F.col("n_v"))).select("u", "v", "s_u", "s_v").mapInArrow(run, "u long, v long, estimate double")
+    return met.where(_sizes_fit(F.col("n_u"), F.col("n_v"))).select("u", "v", "n_u", "n_v", "s_u", "s_v").mapInArrow(run, "u long, v long, estimate double")
 
 
 def _sizes_fit(a: Column, b: Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * THRESHOLD
 
 
-def _few_pairs(a: list, b: list, best: bool) -> np.ndarray:
-    """``_block_pairs`` of a few nodes."""
-    found = {}
-    for i, x in enumerate(a):
-        for y in (b[i + 1:] if a is b else b):
-            if x[1] != y[1] and (x[3] or y[3]) and min(x[2], y[2]) * 100 >= max(x[2], y[2]) * THRESHOLD:
-                e = _alike(np.frombuffer(x[4], "<u2"), np.frombuffer(y[4], "<u2"))
-                if e >= 0.5:
-                    u, v = min(x[0], y[0]), max(x[0], y[0])
-                    key = (min(x[1], y[1]), max(x[1], y[1])) if best else (u, v)
-                    found[key] = max(found.get(key, (0, 0, 0)), (int(e * 1_000_000), -u, -v))
-    return np.array([(-u, -v, e) for e, u, v in found.values()], "i8").reshape(-1, 3)
-
-
-def _block_pairs(a: list, b: list, best: bool) -> np.ndarray:
-    """Pairs past the filter between two blocks of (node, root, n, in_band, marks), of different roots; within one, if they are the same.
+def _block_pairs(table: np.ndarray, a: list, b: list, best: bool) -> np.ndarray:
+    """Pairs past the filter between two blocks of (node, root, n, marks), of different roots; within one, if they are the same.
 
     Rows (u, v, estimate in millionths); ``best``: only the likeliest pair of each two roots.
     """
-    every = a if a is b else a + b
-    if len(every) <= 4:  # most blocks: pair by pair
-        return _few_pairs(a, b, best)
-    sets = [np.frombuffer(x[4], "<u2") for x in every]
+    sets = [np.frombuffer(x[3], "<u2") for x in b]
     sizes = np.array([len(x) for x in sets])
-    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rows = np.repeat(np.arange(len(sets)), sizes)
-    place = np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
-    often = times > 1
-    keep = often[at]
-    rows, place, column = rows[keep], place[keep], (np.cumsum(often) - 1)[at[keep]]
-    rank = np.zeros((len(sets), int(often.sum())), "i2")
-    rank[rows, column] = place
-    has = (rank > 0).astype("f4")
-    cut = 0 if a is b else len(a)
-    common = has[:len(a)] @ has[cut:].T
-    node, root, n, inside = (np.array([x[k] for x in every]) for k in range(4))
-    root_a, root_b, n_a, n_b, in_a, in_b = root[:len(a), None], root[None, cut:], n[:len(a), None], n[None, cut:], inside[:len(a), None], inside[None, cut:]
-    # a pair past the filter has half of the least SKETCH values of the union in common
-    fit = (root_a != root_b) & (in_a | in_b) & (np.minimum(n_a, n_b) * 100 >= np.maximum(n_a, n_b) * THRESHOLD) & (common >= 0.5 * np.minimum(SKETCH, np.maximum(n_a, n_b)) - 2)
-    if a is b:
-        fit = np.triu(fit, 1)
+    every, starts = np.concatenate(sets), np.cumsum(sizes) - sizes
+    node, root, n = (np.array([x[k] for x in b]) for k in range(3))
     out = []
-    for i in np.flatnonzero(fit.any(axis=1)):
-        others = np.flatnonzero(fit[i]) + cut
-        own = np.flatnonzero(rank[i])
-        own = own[np.argsort(rank[i, own])]
-        theirs = rank[others][:, own]
-        shared = theirs > 0
-        size = np.minimum(SKETCH, sizes[i] + sizes[others] - shared.sum(axis=1))
-        among = rank[i, own] + theirs - np.cumsum(shared, axis=1)
-        e = (shared & (among <= size[:, None])).sum(axis=1) / size
-        good = e >= 0.5
-        others, e = others[good], e[good]
-        out.append(np.stack([np.minimum(node[i], node[others]), np.maximum(node[i], node[others]), (e * 1_000_000).astype("i8"),
-                             np.full(len(others), root[i]), root[others]], axis=1))
+    for i, (own, own_root, own_n, marks) in enumerate(a):
+        fit = (root != own_root) & (np.minimum(n, own_n) * 100 >= np.maximum(n, own_n) * THRESHOLD)
+        if a is b:
+            fit[:i + 1] = False
+        others = np.flatnonzero(fit)
+        if not len(others):
+            continue
+        marks = np.frombuffer(marks, "<u2")
+        if 2 * len(others) < len(b):
+            e = _estimates(table, marks, own_n, np.concatenate([sets[j] for j in others]), np.cumsum(sizes[others]) - sizes[others], n[others])
+        else:
+            e = _estimates(table, marks, own_n, every, starts, n)[others]
+        others, e = others[e > 0], e[e > 0]
+        if len(others):
+            out.append(np.stack([np.minimum(own, node[others]), np.maximum(own, node[others]), (e * 1_000_000).astype("i8"),
+                                 np.full(len(others), own_root), root[others]], axis=1))
     found = np.concatenate(out) if out else np.empty((0, 5), "i8")
     if best and len(found):
         r0, r1 = np.minimum(found[:, 3], found[:, 4]), np.maximum(found[:, 3], found[:, 4])
@@ -254,66 +262,87 @@ def _block_pairs(a: list, b: list, best: bool) -> np.ndarray:
 
 def _open_pairs(lists: DataFrame, nodes: DataFrame, cell: int, best: bool) -> DataFrame:
     """(u, v, estimate): pairs past the filter that meet in a list of ``_mixed`` and are in different components; ``best``: as in ``_block_pairs``."""
-    band = F.floor(F.log(F.col("n").cast("double")) / -F.log(F.lit(THRESHOLD / 100)) + 1e-9).cast("int")
-    banded = lists.join(nodes.select("node", band.alias("own_band")), "node") \
-        .select("value", "node", "root", "own_band", F.explode(F.array(F.col("own_band"), F.col("own_band") + 1)).alias("band")) \
-        .withColumn("in_band", F.col("band") == F.col("own_band"))
-    mixed = banded.groupBy("value", "band").agg(
-        F.count("*").alias("m"), F.min("root").alias("r0"), F.max("root").alias("r1"), F.max("in_band").alias("any"),
-        F.expr("bit_xor(xxhash64(node))").alias("x1"), F.expr("bit_xor(xxhash64(7, node))").alias("x2")).where("r0 <> r1 and any")
-    # lists of the same nodes in the same band: one of them
-    mixed = mixed.groupBy("band", "m", "x1", "x2").agg(F.min("value").alias("value"))
-    blocks = F.ceil(F.col("m") / F.lit(cell)).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
-    dealt = banded.join(mixed.select("value", "band", blocks.alias("blocks")), ["value", "band"]).withColumn("own", own) \
-        .select("node", "root", "value", "band", "in_band", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
-        .select("node", "root", "value", "band", "in_band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") <= F.col("other")).alias("first"))
+    of_root = lists.groupBy("value", "root").agg(F.count("*").alias("c"))
+    sizes = of_root.groupBy("value").agg(F.max(F.struct("c", "root")).alias("most"), F.sum("c").alias("m")).select(
+        "value", F.col("most.root").alias("main"), F.ceil((F.col("m") - F.col("most.c")) / F.lit(cell)).cast("int").alias("blocks"),
+        F.ceil(F.col("m") / F.lit(cell * STRIPE // CELL)).cast("int").alias("stripes"))
+    dealt = lists.join(sizes, "value")
+    by = F.xxhash64("node")
+    # a node outside the largest component is held in its block, once for each stripe, and passes by the blocks before; the others pass by all
+    own = F.when(F.col("root") == F.col("main"), F.col("blocks")).otherwise(F.pmod(by, F.col("blocks").cast("long")).cast("int"))
+    held = F.when(F.col("root") == F.col("main"), F.array().cast("array<struct<i:int,s:int,passes:boolean>>")).otherwise(
+        F.transform(F.sequence(F.lit(0), F.col("stripes") - 1), lambda s: F.struct(own.alias("i"), s.alias("s"), F.lit(False).alias("passes"))))
+    stripe = F.pmod(F.xxhash64(F.lit(1), "node"), F.col("stripes").cast("long")).cast("int")
+    passes = F.when(own == 0, F.array().cast("array<struct<i:int,s:int,passes:boolean>>")).otherwise(
+        F.transform(F.sequence(F.lit(0), own - 1), lambda i: F.struct(i.alias("i"), stripe.alias("s"), F.lit(True).alias("passes"))))
+    dealt = dealt.select("value", "node", "root", F.explode(F.concat(held, passes)).alias("at")).select("value", "at.*", "node", "root")
+
+    square = min(SQUARE, cell)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, left, right, out, size = None, [], [], [], 0
+        now, left, right, out, size, table = None, [], [], [], 0, np.zeros(1 << 16, "i4")
 
-        def close() -> None:
+        def meet(a: list, b: list) -> None:
             nonlocal size
-            got = np.empty((0, 3), "i8")
-            if now and now[2] == now[3]:
-                got = _block_pairs(left, left, best)
-            elif left and right:
-                got = _block_pairs(left, right, best)
+            got = _block_pairs(table, a, b, best)
             if len(got):
                 out.append(got)
                 size += len(got)
 
         def batch() -> pa.RecordBatch:
+            nonlocal out, size
             e = np.concatenate(out)
+            out, size = [], 0
             return pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1]), pa.array(e[:, 2] / 1_000_000)], ["u", "v", "estimate"])
 
+        def squares(held_too: bool) -> Iterator[pa.RecordBatch]:
+            """What passes by meets what is held; what is held meets itself, if asked for."""
+            parts = [left[i:i + square] for i in range(0, len(left), square)]
+            for i, a in enumerate(parts):
+                for b in ([right] if right else []) + (parts[i:] if held_too else []):
+                    meet(a, b)
+                    if size > 50_000:
+                        yield batch()
+
         for b in batches:
-            for *at, first, node, root, n, in_band, marks in zip(*(x.to_pylist() for x in b.columns)):
+            for *at, passing, node, root, n, marks in zip(*(x.to_pylist() for x in b.columns)):
                 if at != now:
-                    close()
+                    # the held nodes of a block are in all its stripes, and meet one another in the first
+                    yield from squares(now is not None and now[2] == 0)
                     now, left, right = at, [], []
-                    if size > 50_000:
-                        yield batch()
-                        out, size = [], 0
-                (left if first else right).append((node, root, n, in_band, marks))
-        close()
+                (right if passing else left).append((node, root, n, marks))
+                if len(right) == square:
+                    yield from squares(False)
+                    right = []
+        yield from squares(now is not None and now[2] == 0)
         if out:
             yield batch()
 
     n = max(1, int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    at = ["value", "band", "i", "j"]
-    return dealt.join(nodes.select("node", "n", "marks"), "node").repartition(n, *at).sortWithinPartitions(*at).select(*at, "first", "node", "root", "n", "in_band", "marks") \
+    at = ["value", "i", "s"]
+    return dealt.join(nodes.select("node", "n", "marks"), "node").repartition(n, *at).sortWithinPartitions(*at, "passes").select(*at, "passes", "node", "root", "n", "marks") \
         .mapInArrow(run, "u long, v long, estimate double").groupBy("u", "v").agg(F.max("estimate").alias("estimate"))
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
-    """(u, v) of the pairs whose full sets reach the threshold."""
+def full_sets(nodes: DataFrame, docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(node, n, marks, full, short): the hashes of each node's whole set, 16 bits of each, sorted, and its marks."""
 
-    def full(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = list(shingle_sets(b.column(3).to_pylist(), shingle))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([x.tobytes() for x in sets], pa.binary()),
-                                              pa.array([np.sort(x.astype("<u2")).tobytes() for x in sets], pa.binary())], ["node", "is_u", "is_v", "full", "short"])
+            sets = list(shingle_sets(b.column(1).to_pylist(), shingle))
+            low = [x.astype("<u2") for x in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in sets], pa.int64()), *(
+                pa.array([x.tobytes() for x in y], pa.binary()) for y in ([x[:SKETCH] for x in low], sets, [np.sort(x) for x in low]))], ["node", "n", "marks", "full", "short"])
+
+    asked = nodes.select("node", F.col("rep.doc_id").alias("d"), F.col("rep.h1").alias("a"), F.col("rep.h2").alias("b"))
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_text_hashes(text), text.alias("text"))
+    met = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b")))
+    return met.select("node", "text").dropDuplicates(["node"]).mapInArrow(run, "node long, n long, marks binary, full binary, short binary")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v) of the pairs whose full sets reach the threshold."""
 
     def common(x: np.ndarray, y: np.ndarray) -> int:
         """Values in both, as often as in the one that has fewer."""
@@ -333,17 +362,9 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int)
         return run
 
     def checked(some: DataFrame, column: str, kind: str, name: str) -> DataFrame:
-        of = [sets.where(f"is_{x}").select(F.col("node").alias(x), F.col(column).alias(f"f_{x}")) for x in ("u", "v")]
+        of = [sets.join(some.select(F.col(x).alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias(x), F.col(column).alias(f"f_{x}")) for x in ("u", "v")]
         return written(some.select("u", "v").join(of[1], "v").join(of[0], "u").select("u", "v", "f_u", "f_v").mapInArrow(check(kind), "u long, v long"), name)
 
-    sides = pairs.select(F.col("u").alias("node"), F.lit(True).alias("is_u")).union(pairs.select("v", F.lit(False)))
-    asked = sides.groupBy("node").agg(F.max("is_u").alias("is_u"), F.max(~F.col("is_u")).alias("is_v")).join(nodes.select("node", "rep"), "node") \
-        .select("node", "is_u", "is_v", F.col("rep.doc_id").alias("d"), F.col("rep.h1").alias("a"), F.col("rep.h2").alias("b"))
-    text = F.col("text").cast("string")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_text_hashes(text), text.alias("text"))
-    met = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b"))) \
-        .select("node", "is_u", "is_v", "text").dropDuplicates(["node"])
-    sets = written(met.mapInArrow(full, "node long, is_u boolean, is_v boolean, full binary, short binary"), "minhash-sets")
     # 16 bits of each hash never show too little in common, and are a quarter of the bytes; what they leave is checked in full
     return checked(checked(pairs, "short", "<u2", "minhash-near"), "full", "<u8", "minhash-links")
 
@@ -364,22 +385,23 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame, shingle: int = SHINGLE, cell: int = CELL) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
-    made = sketches(docs, shingle)
     # hashing twice costs less than a written table of all sketches
-    rows = written(made.select("doc_id", "h1", "h2", "n", "digest"), "minhash-rows")
+    rows = written(sketches(docs, shingle, keys=False), "minhash-rows")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2")
-    nodes = written(made.where("n > 0").groupBy("digest", "n", "entries", "marks").agg(F.min(row).alias("rep"), F.min("doc_id").alias("least"))
+    nodes = written(sketches(docs, shingle).where("n > 0").groupBy("digest", "n", "keys").agg(F.min(row).alias("rep"), F.min("doc_id").alias("least"))
                     .withColumn("node", F.monotonically_increasing_id()), "minhash-nodes")
-    lists = written(inverted_lists(nodes), "minhash-lists")
-    listed = written(nodes.select("node", "n", "marks").join(lists.select("node").distinct(), "node", "left_semi"), "minhash-listed")
-    roots = listed.select("node", F.col("node").alias("root"))
+    lists = written(key_lists(nodes), "minhash-lists")
+    listed = nodes.select("node", "rep").join(lists.select("node").distinct(), "node", "left_semi")
+    sets = written(full_sets(listed, docs, shingle), "minhash-sets")
+    roots = sets.select("node", F.col("node").alias("root"))
+    lists = lists.withColumn("root", F.col("node"))
     for turn in range(STARS):
-        lists = _mixed(lists, roots)
-        star = written(_likely(_centres(lists, turn), listed), "minhash-star")
-        roots = _joined(roots, _verified(star, nodes, docs, shingle))
+        lists = _mixed(lists, roots) if turn else lists
+        star = written(_likely(_centres(lists, turn), sets), "minhash-star")
+        roots = _joined(roots, _verified(star, sets))
     lists = _mixed(lists, roots)
-    roots = _joined(roots, _verified(written(_open_pairs(lists, listed, cell, True), "minhash-best"), nodes, docs, shingle))
-    open_ = written(_open_pairs(_mixed(lists, roots), listed, cell, False), "minhash-open")
+    roots = _joined(roots, _verified(written(_open_pairs(lists, sets, cell, True), "minhash-best"), sets))
+    open_ = written(_open_pairs(_mixed(lists, roots), sets, cell, False), "minhash-open")
     for width in (1, 16, None):
         if open_.isEmpty():
             break
@@ -389,7 +411,7 @@ def components(docs: DataFrame, shingle: int = SHINGLE, cell: int = CELL) -> Dat
             now, open_ = ranked.where(F.col("r") <= width).drop("r"), ranked.where(F.col("r") > width).drop("r")
         else:
             now = open_
-        roots = _joined(roots, _verified(now, nodes, docs, shingle))
+        roots = _joined(roots, _verified(now, sets))
         open_ = written(_apart(open_, roots), "minhash-open")
     of = nodes.select("node", "digest", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = of.groupBy("root").agg(F.min("least").alias("component"))

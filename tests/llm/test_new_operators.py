@@ -243,6 +243,35 @@ def test_minhash_chains(spark):
     assert sorted(map(tuple, minhash.components(df, cell=4).collect()), key=repr) == _brute_minhash(docs)
 
 
+def test_minhash_large_groups(spark, monkeypatch):
+    """No table grows with the square of a group of texts just below the threshold; long texts around it, whose sketches are a part of their sets."""
+    rng = random.Random(5)
+
+    def changed(words, times):
+        now = list(words)
+        for _ in range(times):
+            now[rng.randrange(len(now))] = f"x{rng.randrange(10 ** 6)}"
+        return " ".join(now)
+
+    base = [f"w{k}" for k in range(100)]
+    texts = [changed(base, 5) for _ in range(400)]
+    for g, (times, copies) in enumerate(((40, 5), (80, 5), (90, 5), (160, 5))):
+        base = [f"v{g}_{k}" for k in range(1500)]
+        texts += [" ".join(base)] + [changed(base, times) for _ in range(copies)]
+    docs = list(enumerate(texts))
+    rows, written = {}, minhash.written
+
+    def counted(df, name, **options):
+        out = written(df, name, **options)
+        rows[name] = max(rows.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "written", counted)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, minhash.components(df).collect()), key=repr) == _brute_minhash(docs)
+    assert max(rows.values()) <= 72 * len(docs), rows
+
+
 def test_minhash_odd_rows(spark, odd):
     docs = [(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()]
     got = sorted(map(tuple, minhash.components(odd).collect()), key=repr)
